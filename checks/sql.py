@@ -164,8 +164,8 @@ _cte("longv", ("rt0",), f"SELECT transaction_id, x FROM (UNPIVOT (SELECT transac
 _cte(
     "pca",
     ("longv",),
-    """SELECT transaction_id, avg(x) AS pca_mean, stddev_pop(x) AS pca_std, skewness(x) AS pca_skewness, kurtosis(x) AS pca_kurtosis
-    FROM longv GROUP BY 1""",
+    """SELECT transaction_id, avg(x) AS pca_mean, stddev_pop(x) AS pca_std, CASE WHEN min(x) = max(x) THEN 0e0 ELSE skewness(x) END AS pca_skewness,
+    CASE WHEN min(x) = max(x) THEN 0e0 ELSE kurtosis(x) END AS pca_kurtosis FROM longv GROUP BY 1""",
 )
 _cte(
     "rolled",
@@ -218,7 +218,7 @@ _cte(
 _cte(
     "changes",
     ("uniq",),
-    """SELECT id, id * 10 + k AS lsn, k = 2 AS deleted, 'fraud_transactions' AS source_table, epoch_ms(ts) AS source_ts_ms,
+    """SELECT id, id * 10 + k AS lsn, k = 2 AS deleted, 'fraud_transactions' AS source_table, epoch_us(ts) // 1000 AS source_ts_ms,
     CASE WHEN k = 1 THEN coalesce(Amount, 0e0) + 1e0 ELSE Amount END AS amount, Class AS class
     FROM uniq, (VALUES (0), (1), (2)) kinds(k) WHERE k = 0 OR (k = 1 AND id % 10 = 3) OR (k = 2 AND id % 17 = 5)""",
 )
@@ -245,10 +245,10 @@ def _with(names: tuple[str, ...]) -> str:
 ORACLE: dict[str, str] = {}
 
 
-def _add(key: str, needs: str, sql: str, doubles: str = "") -> None:
-    """Register; ``doubles`` names the columns to round to six digits (and to free of minus zero)."""
+def _add(key: str, needs: str, sql: str, doubles: str = "", digits: int = 6) -> None:
+    """Register; ``doubles`` names the columns to round (and to free of minus zero)."""
     if doubles:
-        replaced = ", ".join(f"round({c}, 6) + 0e0 AS {c}" for c in doubles.split())
+        replaced = ", ".join(f"round({c}, {digits}) + 0e0 AS {c}" for c in doubles.split())
         sql = f"SELECT * REPLACE ({replaced}) FROM ({sql}) q"
     ORACLE[key] = _with(tuple(needs.split())) + sql
 
@@ -518,7 +518,7 @@ _add(
     f"SELECT date_trunc('hour', {TIME_US}) AS timestamp, Amount_Category, count(*) AS transactions FROM silver GROUP BY 1, 2",
 )
 RISKS = "avg_amount fraud_rate avg_outlier_ratio risk_score"
-_add("gold_risk_profiles", "risks", "SELECT * FROM risks", RISKS)
+_add("gold_risk_profiles", "risks", "SELECT * FROM risks", RISKS, digits=9)
 _add("gold_summary_stats", "stats", "SELECT * FROM stats", "fraud_rate total_amount avg_amount max_amount")
 _add(
     "gold_retention",
@@ -628,7 +628,7 @@ _add(
     """SELECT id, CASE id % 8 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN ts WHEN 2 THEN date_trunc('second', ts)
       WHEN 3 THEN date_trunc('day', ts) WHEN 4 THEN NULL WHEN 5 THEN date_trunc('second', ts) WHEN 6 THEN date_trunc('millisecond', ts)
       ELSE ts END AS parsed,
-    CASE id % 8 WHEN 5 THEN make_timestamp(CAST(floor(epoch_us(ts) / 1e6) AS BIGINT) * 1000) WHEN 6 THEN make_timestamp(epoch_ms(ts))
+    CASE id % 8 WHEN 5 THEN make_timestamp(CAST(floor(epoch_us(ts) / 1e6) AS BIGINT) * 1000) WHEN 6 THEN make_timestamp(epoch_us(ts) // 1000)
       WHEN 7 THEN ts END AS legacy FROM base""",
 )
 _add(
@@ -672,6 +672,7 @@ _add(
     sum(amount) AS total_amount, avg(amount) AS avg_amount, quantile_disc(amount, 0.5) AS median_amount, stddev_samp(amount) AS std_amount,
     avg(data_quality_score) AS avg_data_quality, CAST(sum(fraud_class) AS DOUBLE) / count(*) AS fraud_rate FROM rt GROUP BY 1""",
     f"{HOURS} fraud_rate",
+    digits=9,
 )
 _add("st_cdc_latest", "latest", "SELECT id, lsn, deleted, source_table, source_ts_ms, amount, class FROM latest", "amount")
 _add("st_cdc_deletes", "latest", "SELECT id, lsn, amount FROM latest WHERE NOT deleted", "amount")

@@ -112,7 +112,7 @@ def outlier_fixed(df: DataFrame, cols: Sequence[str] = FLAGGED) -> DataFrame:
     )
 
 
-def outlier_iqr(df: DataFrame, cols: Sequence[str] = V_COLS, accuracy: int = 10_000) -> DataFrame:
+def outlier_iqr(df: DataFrame, cols: Sequence[str] = V_COLS, accuracy: int = 100_000) -> DataFrame:
     """Flags outside the quartiles by more than 1.5 interquartile ranges; one pass for all columns."""
     quartiles = df.agg(
         F.struct(*[F.percentile_approx(c, [0.25, 0.75], accuracy).alias(c) for c in cols]).alias("q")

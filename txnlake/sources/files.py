@@ -14,6 +14,11 @@ from txnlake.schemas import BRONZE_SCHEMA, CORRUPT, STREAM_NESTED_SCHEMA
 BUCKET_PATTERN = r".*/(?:hour_bucket=)?(\d{4}-\d{2}-\d{2}--\d{2})/.*"
 SNAPSHOT_PREFIX = "creditcard_sample_"
 ROWS_PER_FILE = 5_000_000
+# Six digits of a second; the default of the CSV writer keeps three.
+CSV_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def land_raw(spark: SparkSession, source: str, target: str) -> DataFrame:
@@ -46,6 +51,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = BRONZE_SCHEM
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .options(**CSV_TIMES)
         .csv(path)
     )
 
@@ -139,7 +145,7 @@ def write_gold(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> No
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).options(**CSV_TIMES).csv(path)
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
