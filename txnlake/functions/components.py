@@ -61,3 +61,12 @@ def with_component_stats(df: DataFrame, cols: Sequence[str], prefix: str = "pca_
         F.when(flat, F.lit(0.0)).otherwise(skew).alias(f"{prefix}skewness"),
         F.when(flat, F.lit(0.0)).otherwise(kurt).alias(f"{prefix}kurtosis"),
     )
+
+
+def unpivoted(df: DataFrame, cols: Sequence[str], *keep: str, kind: str = "DOUBLE") -> DataFrame:
+    """Rows ``(column, value)`` beside the kept columns.
+
+    A grouping by ``column`` then folds any number of columns before its shuffle, in compact code.
+    """
+    parts = ", ".join(f"named_struct('column', '{c}', 'value', CAST(`{c}` AS {kind}))" for c in cols)
+    return df.selectExpr(*keep, f"inline(array({parts}))")

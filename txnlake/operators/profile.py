@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txnlake.functions.components import unpivoted
 from txnlake.operators import scale
 from txnlake.operators.ml import flag_columns
 from txnlake.operators.quality import component_columns
@@ -18,12 +19,6 @@ TOP_VALUES = 5
 TEXT_COLUMNS = 5
 
 
-def _long(df: DataFrame, cols: Sequence[str], kind: str) -> DataFrame:
-    """Rows ``(column, value)``: one narrow grouping then serves any number of columns."""
-    parts = ", ".join(f"named_struct('column', '{c}', 'value', CAST(`{c}` AS {kind}))" for c in cols)
-    return df.selectExpr(f"inline(array({parts}))")
-
-
 def _metric(section: str, item: str, value: Column) -> Column:
     return F.struct(F.lit(section).alias("metric"), F.lit(item).alias("item"), value.cast("double").alias("value"))
 
@@ -35,7 +30,7 @@ def dataset(df: DataFrame, **limits) -> DataFrame:
     rows, nulls = F.count(F.lit(1)), F.count_if(F.col("value").isNull())
     head = [rows.alias("rows"), nulls.alias("nulls"), (nulls / rows * 100).alias("null_percent")]
     stats = (
-        _long(df, numbers, "DOUBLE")
+        unpivoted(df, numbers)
         .groupBy("column")
         .agg(
             *head,
@@ -46,7 +41,7 @@ def dataset(df: DataFrame, **limits) -> DataFrame:
         )
     )
     if others:
-        plain = _long(df, others, "STRING").groupBy("column").agg(*head)
+        plain = unpivoted(df, others, kind="STRING").groupBy("column").agg(*head)
         stats = stats.unionByName(plain, allowMissingColumns=True)
     quartiles = scale.exact_quantiles(df, {c: F.col(c) for c in numbers}, [0.25, 0.5, 0.75], **limits)
     # At most one row per column of the schema.
@@ -67,7 +62,7 @@ def dataset(df: DataFrame, **limits) -> DataFrame:
 def categorical(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Distinct values and the five most frequent ones of the first five text columns."""
     text = list(cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)][:TEXT_COLUMNS])
-    counts = _long(df, text, "STRING").where("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+    counts = unpivoted(df, text, kind="STRING").where("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
     distinct = counts.groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values"))
     w = Window.partitionBy("column").orderBy(F.desc("count"), "value")
     top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= TOP_VALUES)
@@ -104,14 +99,14 @@ def silver_quality(df: DataFrame) -> DataFrame:
 
 def _shares(counts: DataFrame, key: str, prefix: str) -> DataFrame:
     """Rows ``(metric, item, value)`` for counts and shares of a table with few rows."""
-    total = counts.agg(F.sum("n")).scalar()
+    shared = scale.with_scalar(counts, counts.agg(F.sum("n")), "total")
     pairs = F.inline(
         F.array(
             F.struct(F.lit(f"{prefix}_count").alias("metric"), F.col(key).cast("string").alias("item"), F.col("n").cast("double").alias("value")),
-            F.struct(F.lit(f"{prefix}_percent").alias("metric"), F.col(key).cast("string").alias("item"), (F.col("n") / total * 100).alias("value")),
+            F.struct(F.lit(f"{prefix}_percent").alias("metric"), F.col(key).cast("string").alias("item"), (F.col("n") / F.col("total") * 100).alias("value")),
         )
     )
-    return counts.select(pairs)
+    return shared.select(pairs)
 
 
 def silver_amount(df: DataFrame, **limits) -> DataFrame:
@@ -151,11 +146,11 @@ def silver_processing(df: DataFrame) -> DataFrame:
 
 def bronze_silver_diff(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     added = sorted(set(silver.columns) - set(bronze.columns))
-    before = bronze.agg(F.count(F.lit(1))).scalar()
-    return silver.agg(F.count(F.lit(1)).alias("silver_rows")).select(
-        before.alias("bronze_rows"),
+    rows = scale.with_scalar(silver.agg(F.count(F.lit(1)).alias("silver_rows")), bronze.agg(F.count(F.lit(1))), "bronze_rows")
+    return rows.select(
+        "bronze_rows",
         "silver_rows",
-        (before - F.col("silver_rows")).alias("removed_rows"),
+        (F.col("bronze_rows") - F.col("silver_rows")).alias("removed_rows"),
         F.lit(len(bronze.columns)).alias("bronze_columns"),
         F.lit(len(silver.columns)).alias("silver_columns"),
         F.lit(len(added)).alias("new_columns"),

@@ -234,7 +234,7 @@ def expect_between(df: DataFrame, column: str = "Amount", low: float = 0.0, high
 def validation_sample(df: DataFrame, rows: int = VALIDATION_ROWS, key: str = "id") -> DataFrame:
     """A repeatable sample: the rows with the smallest hash of the key."""
     hashed = df.withColumn("_hash", F.xxhash64(key))
-    return scale.smallest(hashed, "_hash", rows).drop("_hash")
+    return scale.smallest(hashed, "_hash", lambda _: rows).drop("_hash")
 
 
 ACCURATE_AMOUNT, ACCURATE_COMPONENT = 25_000.0, 10.0

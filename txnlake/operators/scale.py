@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +36,14 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def with_scalar(df: DataFrame, stats: DataFrame, name: str) -> DataFrame:
+    """Add the single value of a one-row table as a column.
+
+    The subquery is planned once, however many expressions read the column afterwards.
+    """
+    return df.select("*", stats.scalar().alias(name))
+
+
 def _sorted_with_position(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
     """Range-sorted rows with ``_part`` (sorted partition) and ``_idx`` (place in it), written out.
 
@@ -54,11 +64,15 @@ def _running_before(totals: DataFrame, order: str, value: str, name: str) -> Dat
     return totals.select(order, F.coalesce(F.sum(value).over(w), F.lit(0)).alias(name))
 
 
-def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "rn") -> DataFrame:
-    """Number all rows from 1 in the given order."""
+def global_row_number(
+    df: DataFrame, order: Sequence[Column | str], name: str = "rn", total: str | None = None
+) -> DataFrame:
+    """Number all rows from 1 in the given order; ``total`` names a column for the number of rows."""
     placed = _sorted_with_position(df, order, "row-number")
     sizes = placed.groupBy("_part").agg((F.max("_idx") + 1).alias("_n"))
     before = _running_before(sizes, "_part", "_n", "_before")
+    if total:
+        before = with_scalar(before, sizes.agg(F.sum("_n")), total)
     # One row per sort partition, whatever the size of the data.
     return (
         placed.join(F.broadcast(before), "_part")
@@ -89,8 +103,8 @@ def join_by_value(df: DataFrame, lookup: DataFrame, key: str, count: str, share:
     served are spread over it by a salt that matches nothing.
     """
     cols = [c for c in lookup.columns if c not in (key, count)]
-    total = lookup.agg(F.sum(count)).scalar()
-    is_hot = (F.col(count) > total / F.lit(float(share))) | F.col(key).isNull()
+    lookup = with_scalar(lookup, lookup.agg(F.sum(count)), "_total")
+    is_hot = (F.col(count) > F.col("_total") / F.lit(float(share))) | F.col(key).isNull()
     hot = lookup.where(is_hot).select(F.col(key).alias("_hk"), F.lit(True).alias("_hot"), *[F.col(c).alias(f"_h_{c}") for c in cols])
     cold = lookup.where(~is_hot).select(
         F.col(key).alias("_ck"), F.lit(0).alias("_cs"), *[F.col(c).alias(f"_c_{c}") for c in cols]
@@ -105,8 +119,8 @@ def percent_rank(df: DataFrame, by: str, name: str) -> DataFrame:
     """``(rank - 1) / (rows - 1)`` over the whole table, ties sharing the lowest rank, nulls first."""
     counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_total_before(counts, by, "_n", "_less")
-    rows = ranked.agg(F.sum("_n")).scalar()
-    share = F.when(rows > 1, F.col("_less") / (rows - 1).cast("double")).otherwise(F.lit(0.0))
+    ranked = with_scalar(ranked, ranked.agg(F.sum("_n")), "_rows")
+    share = F.when(F.col("_rows") > 1, F.col("_less") / (F.col("_rows") - 1).cast("double")).otherwise(F.lit(0.0))
     return join_by_value(df, ranked.select(by, "_n", share.alias(name)), by, "_n")
 
 
@@ -282,88 +296,92 @@ def exact_quantiles(
     )
 
 
-def smallest(df: DataFrame, order: str, n: int) -> DataFrame:
-    """The ``n`` rows smallest by a numeric ``order`` column.
+def smallest(df: DataFrame, order: str, n: Callable[[int], int]) -> DataFrame:
+    """The rows smallest by a numeric ``order`` column; ``n`` gives their number from the row count.
 
     An approximate cut drops the bulk of the rows before the top-n; a count of the rows below the
     cut guards it, so the result is exact.
     """
-    if n <= 0:
+    grid = [i / 1000 for i in range(1, 1001)]
+    stats = df.agg(F.count(F.lit(1)).alias("rows"), F.percentile_approx(order, grid, 10000).alias("q")).first()
+    rows = stats["rows"]
+    wanted = min(n(rows), rows)
+    if wanted <= 0:
         return df.limit(0)
-    stats = df.agg(
-        F.count(order).alias("rows"), F.percentile_approx(order, [i / 1000 for i in range(1, 1001)], 10000).alias("q")
-    ).first()
-    if not stats["rows"] or n >= stats["rows"]:
-        return df.orderBy(order).limit(n)
-    cut = stats["q"][min(999, math.ceil(n / stats["rows"] * 1000) + 1)]
-    if df.where(F.col(order) <= cut).count() < n:
-        return df.orderBy(order).limit(n)
-    return df.where(F.col(order) <= cut).orderBy(order).limit(n)
+    top = df
+    if stats["q"]:
+        below = F.col(order).isNull() | (F.col(order) <= stats["q"][min(999, math.ceil(wanted / rows * 1000) + 1)])
+        if df.where(below).count() >= wanted:
+            top = df.where(below)
+    return top.orderBy(order).limit(wanted)
 
 
 def pairs_within(
     left: DataFrame,
     right: DataFrame,
-    left_us: Column,
-    right_us: Column,
+    us: str,
     width_us: int,
-    products: dict[str, list[tuple[Column, Column]]],
+    left_weights: dict[str, Column],
+    right_weights: dict[str, Column],
+    products: dict[str, list[tuple[str, str]]],
 ) -> DataFrame:
-    """Sums over all pairs with ``abs(left_us - right_us) < width_us``, without making the pairs.
+    """Sums over all pairs with ``abs(left.us - right.us) < width_us``, without making the pairs.
 
-    Each output is a sum of products (left weight x right weight) over the pairs. The weight of all
-    right rows inside a window is a difference of two running sums, so every left instant becomes
-    two probes on the time axis: one counted at ``t + width`` (before equal instants) and one
-    subtracted at ``t - width`` (after equal instants). Rows of one instant are summed first, and the
-    running sums go microsecond within second, second within day, day within all: no window
+    Each output is a sum of products (left weight x right weight, both whole numbers) over the pairs.
+    The weight of all right rows inside a window is a difference of two running sums, so every left
+    instant becomes two probes on the time axis: one counted at ``t + width`` (before equal instants)
+    and one subtracted at ``t - width`` (after equal instants). Rows of one instant are summed first,
+    and the running sums go microsecond within second, second within day, day within all: no window
     partition grows beyond 3 x 1,000,000 instants, 86,400 seconds or the number of days.
     """
     big = T.DecimalType(38, 0)
-    terms = [(name, a, b) for name, pairs in products.items() for a, b in pairs]
-    n = len(terms)
+    probe_cols = {n: f"p_{n}" for n in left_weights}
+    data_cols = {n: f"d_{n}" for n in right_weights}
+    empty = F.lit(0).cast("long")
 
-    def sums(df, us, cols, prefix):
-        return df.groupBy(us.alias("us")).agg(*[F.sum(c.cast(big)).alias(f"{prefix}{i}") for i, c in enumerate(cols)])
+    def instants(df, weights, names):
+        sums = [F.sum(c.cast("long")).alias(names[n]) for n, c in weights.items()]
+        return df.where(F.col(us).isNotNull()).groupBy(F.col(us).alias("us")).agg(*sums)
 
-    probes_at = sums(left.where(left_us.isNotNull()), left_us, [a for _, a, _ in terms], "p")
-    data = sums(right.where(right_us.isNotNull()), right_us, [b for _, _, b in terms], "d")
-    zero = F.lit(0).cast(big)
     # Order of equal instants: adding probe, data, subtracting probe.
-    edges = F.array(
-        F.struct((F.col("us") + width_us).alias("us"), F.lit(0).alias("turn"), F.lit(1).alias("sign")),
-        F.struct((F.col("us") - width_us).alias("us"), F.lit(2).alias("turn"), F.lit(-1).alias("sign")),
+    edges = F.inline(
+        F.array(
+            F.struct((F.col("us") + width_us).alias("at"), F.lit(0).alias("turn"), F.lit(1).alias("sign")),
+            F.struct((F.col("us") - width_us).alias("at"), F.lit(2).alias("turn"), F.lit(-1).alias("sign")),
+        )
     )
-    probes = probes_at.select(F.explode(edges).alias("e"), *[f"p{i}" for i in range(n)]).select(
-        "e.us", "e.turn", *[(F.col(f"p{i}") * F.col("e.sign")).cast(big).alias(f"p{i}") for i in range(n)],
-        *[zero.alias(f"d{i}") for i in range(n)],
+    probes = instants(left, left_weights, probe_cols).select(edges, *probe_cols.values())
+    signed = [(F.col(c) * F.col("sign")).alias(c) for c in probe_cols.values()]
+    no_data = [empty.alias(c) for c in data_cols.values()]
+    points = instants(right, right_weights, data_cols)
+    no_probe = [empty.alias(c) for c in probe_cols.values()]
+    axis = (
+        probes.select(F.col("at").alias("us"), "turn", *signed, *no_data)
+        .unionByName(points.select("us", F.lit(1).alias("turn"), *no_probe, *data_cols.values()))
+        .withColumn("sec", F.expr("(us - pmod(us, 1000000L)) div 1000000L"))
     )
-    points = data.select("us", F.lit(1).alias("turn"), *[zero.alias(f"p{i}") for i in range(n)], *[f"d{i}" for i in range(n)])
-    axis = probes.unionByName(points).withColumn("sec", F.floor(F.col("us") / F.lit(1_000_000)))
+
+    def rolled(df, by):
+        return df.groupBy(by).agg(*[F.sum(c).alias(c) for c in [*probe_cols.values(), *data_cols.values()]])
 
     def crossed(df, within, order):
-        """Sum of probe x (data before it) inside each partition of the given level."""
-        w = Window.partitionBy(*within) if within else Window.partitionBy()
-        w = w.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        """Per output: the sum of probe x (data before it) inside each partition of the level."""
+        w = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         before = df.select(
-            *[(F.col(f"p{i}") * F.coalesce(F.sum(f"d{i}").over(w), zero)).cast(big).alias(f"x{i}") for i in range(n)]
+            *probe_cols.values(), *[F.coalesce(F.sum(c).over(w), empty).alias(c) for c in data_cols.values()]
         )
-        return before.agg(*[F.sum(f"x{i}").alias(f"x{i}") for i in range(n)])
 
-    def rolled(df, by):
-        return df.groupBy(*by).agg(
-            *[F.sum(f"p{i}").cast(big).alias(f"p{i}") for i in range(n)],
-            *[F.sum(f"d{i}").cast(big).alias(f"d{i}") for i in range(n)],
-        )
+        def product(terms):
+            parts = [F.col(probe_cols[a]).cast("decimal(19,0)") * F.col(data_cols[b]).cast("decimal(19,0)") for a, b in terms]
+            return reduce(add, parts).cast(big)
+
+        return before.agg(*[F.sum(product(terms)).cast(big).alias(name) for name, terms in products.items()])
 
-    seconds = rolled(axis, ["sec"]).withColumn("day", F.floor(F.col("sec") / F.lit(86400)))
-    days = rolled(seconds, ["day"])
+    seconds = rolled(axis, "sec").withColumn("day", F.floor(F.col("sec") / F.lit(86400)))
+    days = rolled(seconds, "day")
     levels = (
         crossed(axis, ["sec"], ["us", "turn"])
         .unionByName(crossed(seconds, ["day"], ["sec"]))
         .unionByName(crossed(days, [], ["day"]))
     )
-    totals = levels.agg(*[F.coalesce(F.sum(f"x{i}"), zero).cast(big).alias(f"x{i}") for i in range(n)])
-    out: dict[str, Column] = {}
-    for i, (name, _, _) in enumerate(terms):
-        out[name] = out[name] + F.col(f"x{i}") if name in out else F.col(f"x{i}")
-    return totals.select(*[c.cast(big).alias(name) for name, c in out.items()])
+    return levels.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast(big).alias(n) for n in products])

@@ -40,7 +40,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def sample(df: DataFrame, max_rows: int = SAMPLE_ROWS, share: float = SAMPLE_SHARE, order: str = "id") -> DataFrame:
     """The first rows by ``order``: a share of the table, at most ``max_rows``."""
-    return scale.smallest(df, order, min(max_rows, int(df.count() * share)))
+    return scale.smallest(df, order, lambda rows: min(max_rows, int(rows * share)))
 
 
 def dedup(df: DataFrame) -> DataFrame:
@@ -69,10 +69,9 @@ def fill_missing(df: DataFrame) -> DataFrame:
 def fill_median(df: DataFrame, cols: Sequence[str] | None = None, accuracy: int = 10_000) -> DataFrame:
     """Nulls become the column's median, all medians from one pass."""
     cols = list(cols or numeric_columns(df))
-    medians = df.agg(
-        F.struct(*[F.percentile_approx(c, 0.5, accuracy).alias(c) for c in cols]).alias("medians")
-    ).scalar()
-    return df.withColumns({c: F.coalesce(c, medians.getField(c)) for c in cols})
+    medians = df.agg(F.struct(*[F.percentile_approx(c, 0.5, accuracy).alias(c) for c in cols]))
+    filled = scale.with_scalar(df, medians, "_medians")
+    return filled.withColumns({c: F.coalesce(c, f"_medians.{c}") for c in cols}).drop("_medians")
 
 
 def time_cast(df: DataFrame) -> DataFrame:
@@ -89,9 +88,8 @@ def amount_category(df: DataFrame) -> DataFrame:
 
 def row_fraction(df: DataFrame, order: Sequence[str] = ("id",), name: str = "Row_Fraction") -> DataFrame:
     """Place of the row, from 0, divided by the number of rows, in a fixed order."""
-    numbered = scale.global_row_number(df, list(order), "_rn")
-    rows = df.agg(F.count(F.lit(1))).scalar()
-    return numbered.withColumn(name, (F.col("_rn") - 1).cast("double") / rows.cast("double")).drop("_rn")
+    numbered = scale.global_row_number(df, list(order), "_rn", total="_rows")
+    return numbered.withColumn(name, (F.col("_rn") - 1).cast("double") / F.col("_rows")).drop("_rn", "_rows")
 
 
 def amount_percentile(df: DataFrame, name: str = "Amount_Percentile") -> DataFrame:
@@ -114,16 +112,14 @@ def outlier_fixed(df: DataFrame, cols: Sequence[str] = FLAGGED) -> DataFrame:
 
 def outlier_iqr(df: DataFrame, cols: Sequence[str] = V_COLS, accuracy: int = 100_000) -> DataFrame:
     """Flags outside the quartiles by more than 1.5 interquartile ranges; one pass for all columns."""
-    quartiles = df.agg(
-        F.struct(*[F.percentile_approx(c, [0.25, 0.75], accuracy).alias(c) for c in cols]).alias("q")
-    ).scalar()
+    quartiles = df.agg(F.struct(*[F.percentile_approx(c, [0.25, 0.75], accuracy).alias(c) for c in cols]))
+    known = scale.with_scalar(df, quartiles, "_q")
 
     def flag(c: str) -> Column:
-        q1, q3 = quartiles.getField(c).getItem(0), quartiles.getField(c).getItem(1)
-        spread = F.lit(IQR_FACTOR) * (q3 - q1)
-        return comp.is_outlier(F.col(c), q1 - spread, q3 + spread)
+        spread = f"{IQR_FACTOR}D * (_q.{c}[1] - _q.{c}[0])"
+        return F.expr(f"CAST({c} < _q.{c}[0] - {spread} OR {c} > _q.{c}[1] + {spread} AS INT)")
 
-    return df.withColumns({f"{c}_IsOutlier": flag(c) for c in cols})
+    return known.withColumns({f"{c}_IsOutlier": flag(c) for c in cols}).drop("_q")
 
 
 def metadata(
@@ -179,21 +175,21 @@ def build(
 def run_metrics(bronze: DataFrame, sampled: bool = False) -> DataFrame:
     """Counts of one run: original, processed, final, duplicates, removed and processed share in %."""
     source = sample(bronze) if sampled else bronze
-    total = bronze.agg(F.count(F.lit(1))).scalar()
     groups = source.groupBy(*source.columns).agg(F.count(F.lit(1)).alias("_n"))
     counted = groups.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("sample_size"),
         F.count_if(F.col("Class").isNotNull()).alias("final_records"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates_removed"),
     )
+    counted = scale.with_scalar(counted, bronze.agg(F.count(F.lit(1))), "original_total_records")
     return counted.select(
         F.lit("SAMPLE" if sampled else "FULL").alias("processing_mode"),
-        total.alias("original_total_records"),
+        "original_total_records",
         "sample_size",
         "final_records",
         "duplicates_removed",
         (F.col("sample_size") - F.col("final_records")).alias("records_removed"),
-        F.round(F.try_divide(F.col("sample_size"), total) * 100, 2).alias("sample_percentage"),
+        F.round(F.try_divide("sample_size", "original_total_records") * 100, 2).alias("sample_percentage"),
     )
 
 

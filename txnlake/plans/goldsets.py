@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnlake.functions.amount import amount_band
+from txnlake.functions.components import unpivoted
 from txnlake.functions.timing import HOUR
 from txnlake.operators import scale
 from txnlake.operators.silver import FLAGGED
@@ -99,13 +100,14 @@ def outlier_by_class(current: DataFrame) -> DataFrame:
 
 def feature_distribution(current: DataFrame) -> DataFrame:
     """Mean, deviation and range of every component and of the amount, from one pass."""
-    digits = {c: 2 if c == "Amount" else 6 for c in [*V_COLS, "Amount"]}
-    names = {"avg": "avg_value", "stddev": "stddev_value", "min": "min_value", "max": "max_value"}
-    stats = [F.expr(f"round({f}({c}), {d}) AS {f}_{c}") for c, d in digits.items() for f in names]
-    rows = [
-        F.struct(F.lit(c).alias("feature_name"), *[F.col(f"{f}_{c}").alias(n) for f, n in names.items()]) for c in digits
-    ]
-    return current.agg(*stats).select(F.inline(F.array(*rows)))
+    is_amount = F.col("column") == "Amount"
+    stats = {"avg_value": F.avg, "stddev_value": F.stddev, "min_value": F.min, "max_value": F.max}
+    measured = unpivoted(current, [*V_COLS, "Amount"]).groupBy("column").agg(*[f("value").alias(n) for n, f in stats.items()])
+    # Rounding takes a fixed number of digits, so both roundings are made and one is kept.
+    return measured.select(
+        F.col("column").alias("feature_name"),
+        *[F.when(is_amount, F.round(n, 2)).otherwise(F.round(n, 6)).alias(n) for n in stats],
+    )
 
 
 def dataset_compare(sets: dict[str, DataFrame]) -> DataFrame:
@@ -190,6 +192,9 @@ def overall_fraud_rate(current: DataFrame) -> DataFrame:
 
 def correlation(current: DataFrame) -> DataFrame:
     """Correlation of every component and the amount with the label, from one pass."""
-    cols = [*V_COLS, "Amount"]
-    wide = current.agg(*[F.corr(F.col(c), F.col("Class").cast("double")).alias(c) for c in cols])
-    return wide.unpivot([], cols, "feature_name", "correlation")
+    label = F.col("Class").cast("double")
+    return (
+        unpivoted(current, [*V_COLS, "Amount"], "Class")
+        .groupBy(F.col("column").alias("feature_name"))
+        .agg(F.corr(F.col("value"), label).alias("correlation"))
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txnlake.functions.components import unpivoted
 from txnlake.functions.scoring import ANOMALY_SHARE
 from txnlake.functions.timing import micros
 from txnlake.operators import scale
@@ -116,17 +117,17 @@ def hourly_unified(hourly: DataFrame, realtime: DataFrame, as_of: Column) -> Dat
 
 
 def top_features(current: DataFrame) -> DataFrame:
-    """Mean of every component for frauds and for the rest, by absolute difference.
+    """Mean of every component for frauds and for the rest, by absolute difference; one scan for all."""
 
-    The means stay one wide aggregation over a single scan; only its one row is unpivoted.
-    """
-    means = [F.expr(f"avg(IF(Class = {k}, {v}, NULL)) AS {n}_{v}") for v in V_COLS for n, k in (("f", 1), ("n", 0))]
-    rows = [
-        F.struct(F.lit(v).alias("feature_name"), F.col(f"f_{v}").alias("avg_fraud_value"), F.col(f"n_{v}").alias("avg_normal_value"))
-        for v in V_COLS
-    ]
-    long = current.agg(*means).select(F.inline(F.array(*rows)))
-    return long.withColumn("fraud_difference", F.col("avg_fraud_value") - F.col("avg_normal_value")).orderBy(
+    def mean_of(label: int) -> Column:
+        return F.avg(F.when(F.col("Class") == label, F.col("value")))
+
+    means = (
+        unpivoted(current, V_COLS, "Class")
+        .groupBy(F.col("column").alias("feature_name"))
+        .agg(mean_of(1).alias("avg_fraud_value"), mean_of(0).alias("avg_normal_value"))
+    )
+    return means.withColumn("fraud_difference", F.col("avg_fraud_value") - F.col("avg_normal_value")).orderBy(
         F.desc(F.abs("fraud_difference")), "feature_name"
     )
 
@@ -164,19 +165,24 @@ def prediction_accuracy(current: DataFrame, realtime: DataFrame, within_seconds:
     stream = realtime.where("fraud_class IS NOT NULL").select(
         micros(F.col("processed_at")).alias("us"), flag(F.col("is_anomaly")).alias("predicted"), F.col("fraud_class").alias("actual")
     )
-    one, right = F.lit(1), flag(F.col("predicted") == F.col("actual"))
-    yes, no = F.col("predicted"), 1 - F.col("predicted")
+    weights = {
+        "all": F.lit(1),
+        "right": flag(F.col("predicted") == F.col("actual")),
+        "yes": F.col("predicted"),
+        "no": 1 - F.col("predicted"),
+    }
     sums = scale.pairs_within(
         batch,
         stream,
-        F.col("us"),
-        F.col("us"),
+        "us",
         within_seconds * 1_000_000,
+        weights,
+        weights,
         {
-            "total_comparisons": [(one, one)],
-            "batch_right": [(right, one)],
-            "stream_right": [(one, right)],
-            "agreeing": [(yes, yes), (no, no)],
+            "total_comparisons": [("all", "all")],
+            "batch_right": [("right", "all")],
+            "stream_right": [("all", "right")],
+            "agreeing": [("yes", "yes"), ("no", "no")],
         },
     )
 

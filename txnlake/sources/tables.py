@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnlake.operators.scale import with_scalar
 from txnlake.schemas import OLTP_SCHEMA, V_COLS
 
 
@@ -57,13 +58,13 @@ def table_stats(df: DataFrame, as_of: Column, label: str = "class", created: str
     recent = F.count_if(F.col(created) >= as_of - F.make_dt_interval(F.lit(0), F.lit(1)))
     per_class = df.groupBy(F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("records"), recent.alias("recent"))
     # The grouped table has one row per class, so its total is read as a scalar.
-    totals = per_class.agg(F.struct(F.sum("records").alias("n"), F.sum("recent").alias("r"))).scalar()
-    return per_class.select(
+    totals = per_class.agg(F.struct(F.sum("records").alias("n"), F.sum("recent").alias("r")))
+    return with_scalar(per_class, totals, "t").select(
         "class",
         "records",
-        (F.col("records") / totals["n"] * 100).alias("percentage"),
-        totals["n"].alias("total_records"),
-        totals["r"].alias("recent_records"),
+        (F.col("records") / F.col("t.n") * 100).alias("percentage"),
+        F.col("t.n").alias("total_records"),
+        F.col("t.r").alias("recent_records"),
     )
 
 

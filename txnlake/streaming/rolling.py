@@ -7,57 +7,63 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from txnlake.streaming.features import ROLLING_COLS, ROLLING_ROWS
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_SCHEMA = "amounts array<double>"
+# What the state step reads; all other columns travel as one text, untouched by Python.
+STEP_COLS = ["account_id", "transaction_id", "time_stamp", "amount_log"]
+TEXT_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-class LastAmounts(StatefulProcessor):
-    """Keeps the last amounts of a key; emits each record with the statistics of its frame.
+def frame_statistics(values: np.ndarray, first: int, size: int = ROLLING_ROWS) -> np.ndarray:
+    """Mean, population deviation, minimum, maximum and count / 5 of the frame ending at each place from ``first``."""
+    # Frames as rows of one array; places before the first value stay empty (NaN).
+    padded = np.concatenate([np.full(size - 1, np.nan), values])
+    frames = np.lib.stride_tricks.sliding_window_view(padded, size)[first:]
+    return np.column_stack(
+        [
+            np.nanmean(frames, axis=1),
+            np.nanstd(frames, axis=1),
+            np.nanmin(frames, axis=1),
+            np.nanmax(frames, axis=1),
+            (~np.isnan(frames)).sum(axis=1) / 5.0,
+        ]
+    )
 
-    State is one array of at most 99 numbers per key. Records of a micro-batch are taken in event
-    order, so files that arrive in order give the batch result.
-    """
 
-    def __init__(self, columns: list[str], size: int = ROLLING_ROWS):
-        self.columns = columns
-        self.size = size
+def rolling_stream(records: DataFrame, size: int = ROLLING_ROWS) -> DataFrame:
+    """Add the rolling columns to a stream of feature records.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("amounts", T.ArrayType(T.DoubleType()))])
-        self.last = handle.getValueState("last_amounts", schema)
+    The state of a key is one array of its last 99 amounts. Records of a micro-batch are taken in
+    event order, so files that arrive in order give the batch result.
+    """
+    spark = records.sparkSession
+    spark.conf.set(PROVIDER, ROCKSDB)
+    rest = [f for f in records.schema.fields if f.name not in STEP_COLS]
+    packed = records.select(*STEP_COLS, F.to_json(F.struct(*[f.name for f in rest]), TEXT_OPTIONS).alias("_rest"))
+    schema = T.StructType([*packed.schema.fields, *[T.StructField(c, T.DoubleType()) for c in ROLLING_COLS]])
+    names = schema.names
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(parts), ignore_index=True)
         batch = batch.sort_values(["time_stamp", "transaction_id"], kind="stable", ignore_index=True)
-        old = list(self.last.get()[0]) if self.last.exists() else []
-        values = np.concatenate([np.asarray(old, dtype=float), batch["amount_log"].to_numpy(dtype=float)])
-        stats = np.empty((len(batch), 5))
-        for i in range(len(batch)):
-            end = len(old) + i + 1
-            frame = values[max(0, end - self.size) : end]
-            stats[i] = (frame.mean(), frame.std(), frame.min(), frame.max(), len(frame) / 5.0)
-        self.last.update(([float(x) for x in values[-(self.size - 1) :]],))
+        old = np.asarray(state.get[0] if state.exists else [], dtype=float)
+        values = np.concatenate([old, batch["amount_log"].to_numpy(dtype=float)])
+        stats = frame_statistics(values, len(old), size)
+        state.update(([float(x) for x in values[-(size - 1) :]],))
         for j, name in enumerate(ROLLING_COLS):
             batch[name] = stats[:, j]
-        yield batch[self.columns]
+        yield batch[names]
 
-    def close(self) -> None:
-        pass
-
-
-def rolling_stream(records: DataFrame) -> DataFrame:
-    """Add the rolling columns to a stream of feature records."""
-    spark = records.sparkSession
-    spark.conf.set(PROVIDER, ROCKSDB)
-    schema = T.StructType([*records.schema.fields, *[T.StructField(c, T.DoubleType()) for c in ROLLING_COLS]])
-    return records.groupBy("account_id").transformWithStateInPandas(
-        statefulProcessor=LastAmounts(schema.names),
-        outputStructType=schema,
-        outputMode="Append",
-        timeMode="None",
+    stepped = packed.groupBy("account_id").applyInPandasWithState(
+        step, schema, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
+    opened = stepped.withColumn("_rest", F.from_json("_rest", T.StructType(rest), TEXT_OPTIONS))
+    own = [F.col(c) if c in STEP_COLS else F.col(f"_rest.{c}") for c in records.columns]
+    return opened.select(*own, *ROLLING_COLS)
