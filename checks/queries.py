@@ -267,6 +267,17 @@ def dq_sample_for_validation(s, d):
     return quality.validation_sample(clean(s, d), 5000)
 
 
+@query
+def dq_silver_features_present(s, d):
+    return quality.features_present(plain_silver(s, d))
+
+
+@query
+def dq_required_columns(s, d):
+    """Raises when a column is missing; passes the table on."""
+    return quality.require_columns(fx.txn(s, d)).select("Time", "Amount", "Class")
+
+
 @query
 def dq_silver_pca_range(s, d):
     """Offenders at the usual bound of 50 and, since the test data keep within it, at 3.9 too."""

@@ -994,21 +994,23 @@ _add(
     FROM stats GROUP BY 1""",
     "avg_fraud_rate",
 )
+
+
+def _present(names, table: str = "silver") -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {'false' if c == 'TimeOfDay' else 'true'} AS present, "
+        f"{'count(*) * 0' if c == 'TimeOfDay' else f'count({c})'} AS filled FROM {table}"
+        for c in names
+    )
+
+
 _add(
     "prof_silver_features",
-    "",
-    " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, {'false' if c == 'TimeOfDay' else 'true'} AS present"
-        for c in (
-            "Amount_Category",
-            "Amount_Log",
-            "Amount_Percentile",
-            "Hour",
-            "DayOfWeek",
-            "IsWeekend",
-            "TimeOfDay",
-            "ProcessedTimestamp",
-            "DataQuality_Score",
-        )
+    "silver",
+    _present(
+        ["Amount_Category", "Amount_Log", "Amount_Percentile", "Hour", "DayOfWeek", "IsWeekend", "TimeOfDay"]
+        + ["ProcessedTimestamp", "DataQuality_Score"]
     ),
 )
+_add("dq_silver_features_present", "silver", _present(["Amount_Log", "Hour", "IsWeekend", "DataQuality_Score"]))
+_add("dq_required_columns", "txn", "SELECT Time, Amount, Class FROM txn", "Time Amount")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from txnlake.functions.components import unpivoted
 from txnlake.operators import scale
 from txnlake.operators.ml import flag_columns
-from txnlake.operators.quality import component_columns
+from txnlake.operators.quality import component_columns, features_present
 from txnlake.schemas import HOURLY_EXPECTED, SILVER_EXPECTED
 
 _NUMBERS = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType)
@@ -70,8 +70,7 @@ def categorical(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def silver_features(df: DataFrame, expected: Sequence[str] = SILVER_EXPECTED) -> DataFrame:
-    rows = [(c, c in df.columns) for c in expected]
-    return df.sparkSession.createDataFrame(rows, "feature string, present boolean")
+    return features_present(df, expected)
 
 
 def silver_quality(df: DataFrame) -> DataFrame:

@@ -179,9 +179,13 @@ def require_columns(df: DataFrame, required: Sequence[str] = REQUIRED_BRONZE) ->
 
 
 def features_present(df: DataFrame, expected: Sequence[str] = SILVER_ENGINEERED) -> DataFrame:
-    """One row per expected column, read from the schema alone."""
-    rows = [(c, c in df.columns) for c in expected]
-    return df.sparkSession.createDataFrame(rows, "feature string, present boolean")
+    """One row per expected column: whether it is there, and how many rows hold a value."""
+    filled = [F.count(c).alias(f"n_{i}") if c in df.columns else F.lit(0).cast("long").alias(f"n_{i}") for i, c in enumerate(expected)]
+    rows = [
+        F.struct(F.lit(c).alias("feature"), F.lit(c in df.columns).alias("present"), F.col(f"n_{i}").alias("filled"))
+        for i, c in enumerate(expected)
+    ]
+    return df.agg(*filled).select(F.inline(F.array(*rows)))
 
 
 def bronze_profile(df: DataFrame) -> DataFrame:

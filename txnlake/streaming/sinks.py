@@ -17,8 +17,21 @@ def _trigger(writer: DataStreamWriter, once: bool) -> DataStreamWriter:
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=CHECKPOINT_PERIOD)
 
 
-def json_files(records: DataFrame, path: str, checkpoint: str, bucket_by: str = "processed_at", once: bool = False):
-    """Append JSON lines below one folder per hour; a checkpoint every 60 seconds."""
+def json_files(
+    records: DataFrame,
+    path: str,
+    checkpoint: str,
+    bucket_by: str = "processed_at",
+    once: bool = False,
+    writers: int | None = None,
+):
+    """Append JSON lines below one folder per hour; a checkpoint every 60 seconds.
+
+    ``writers`` bounds the files of one micro-batch and hour; rows are dealt out evenly, so a busy
+    hour is still written by all of them.
+    """
+    if writers:
+        records = records.repartition(writers)
     bucketed = records.withColumn("hour_bucket", hour_bucket(F.col(bucket_by)))
     writer = (
         bucketed.writeStream.format("json")
