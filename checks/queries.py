@@ -714,7 +714,7 @@ def st_rolling_100_stream(s, d):
 def st_file_sink(s, d):
     records = _record_stream(s, d).select("transaction_id", "amount", "fraud_class", "processed_at")
     path = work_path(s, "json-sink")
-    sinks.json_files(records, path, work_path(s, "json-sink-cp"), once=True).awaitTermination()
+    sinks.json_files(records, path, work_path(s, "json-sink-cp"), once=True, writers=2).awaitTermination()
     raw = files.read_json_text(s, path)
     return raw.groupBy("hour_bucket").agg(F.count(F.lit(1)).alias("lines"))
 
