@@ -50,21 +50,17 @@ def cyclic(df: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
-def _amount_frame(w) -> dict[str, Column]:
-    return {
-        "Amount_Rolling_Mean": F.avg("Amount_Log").over(w),
-        "Amount_Rolling_Std": F.stddev_pop("Amount_Log").over(w),
-    }
+ROLLING = {"Amount_Rolling_Mean": "mean", "Amount_Rolling_Std": "std"}
 
 
 def rolling_100(df: DataFrame, **limits) -> DataFrame:
     """Mean and population deviation of the account's last 100 amounts, by time."""
-    return scale.rolling(df, ["account_id"], ["Time", "id"], ROLLING_ROWS, _amount_frame, **limits)
+    return scale.rolling(df, ["account_id"], ["Time", "id"], ROLLING_ROWS, "Amount_Log", ROLLING, **limits)
 
 
 def rolling_100_global(df: DataFrame, **limits) -> DataFrame:
     """The same over the whole table."""
-    return scale.rolling(df, [], ["Time", "id"], ROLLING_ROWS, _amount_frame, **limits)
+    return scale.rolling(df, [], ["Time", "id"], ROLLING_ROWS, "Amount_Log", ROLLING, **limits)
 
 
 def outlier_ratio(df: DataFrame) -> DataFrame:

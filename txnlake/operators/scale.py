@@ -129,35 +129,36 @@ def rolling(
     keys: Sequence[str],
     order: Sequence[str],
     rows: int,
-    exprs: Callable[[Window], dict[str, Column]],
+    value: str,
+    outputs: dict[str, str],
     hot_rows: int = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
     small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
-    """Frame of the current and the ``rows - 1`` preceding rows, per key or (no keys) over everything.
+    """Statistics of ``value`` over the current and the ``rows - 1`` preceding rows, per key or overall.
 
-    Ordinary keys use a plain partitioned window. Keys with more than ``hot_rows`` rows are split
-    into blocks that carry the last rows of the block before them.
+    ``outputs`` maps new columns to ``mean``, ``std`` (population), ``min``, ``max`` or ``rows``.
+    Ordinary keys stay in one task each. Keys with more than ``hot_rows`` rows, and the form without
+    keys, are split into blocks that carry the last rows of the block before them.
     """
     if not keys:
-        return _rolling_blocks(df, [], order, rows, exprs, block_rows)
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(1 - rows, 0)
+        return _rolling_blocks(df, [], order, rows, value, outputs, block_rows)
     if estimated_bytes(df) <= small_bytes:
-        return df.withColumns(exprs(w))
+        return _framed(df, keys, order, rows, value, outputs)
     hot = (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
     )
     # At most (all rows / hot_rows) keys: written once, so both sides below see the same list.
     hot = materialize(hot, "hot-keys")
     if hot.isEmpty():
-        return df.withColumns(exprs(w))
+        return _framed(df, keys, order, rows, value, outputs)
     on = [df[k].eqNullSafe(hot[k]) for k in keys]
-    cold_part = df.join(F.broadcast(hot), on, "left_anti").withColumns(exprs(w))
-    hot_part = _rolling_blocks(df.join(F.broadcast(hot), on, "left_semi"), keys, order, rows, exprs, block_rows)
+    cold_part = _framed(df.join(F.broadcast(hot), on, "left_anti"), keys, order, rows, value, outputs)
+    hot_part = _rolling_blocks(df.join(F.broadcast(hot), on, "left_semi"), keys, order, rows, value, outputs, block_rows)
     return cold_part.unionByName(hot_part)
 
 
-def _rolling_blocks(df, keys, order, rows, exprs, block_rows):
+def _rolling_blocks(df, keys, order, rows, value, outputs, block_rows):
     """Rows numbered in key order; a block also receives the last ``rows - 1`` rows before it."""
     if block_rows < rows:
         raise ValueError("a block must be at least as long as the frame")
@@ -167,8 +168,49 @@ def _rolling_blocks(df, keys, order, rows, exprs, block_rows):
     spread = numbered.withColumn("_own", block).withColumn(
         "_block", F.explode(F.when(in_tail, F.array(F.col("_own"), F.col("_own") + 1)).otherwise(F.array(F.col("_own"))))
     )
-    w = Window.partitionBy("_block", *keys).orderBy("_rn").rowsBetween(1 - rows, 0)
-    return spread.withColumns(exprs(w)).where("_block = _own").drop("_rn", "_own", "_block")
+    framed = _framed(spread, ["_block", *keys], ["_rn"], rows, value, outputs)
+    return framed.where("_block = _own").drop("_rn", "_own", "_block")
+
+
+def _framed(df, keys, order, rows, value, outputs):
+    """The frame statistics in constant work per row.
+
+    Spark computes a sliding frame anew for every row. Here each key is cut into stretches of
+    ``rows`` rows: a frame is the end of one stretch and the beginning of the next, both of which are
+    growing frames, and their statistics are merged. All steps share one shuffle by key.
+    """
+    x = F.col(value)
+
+    def stats(w, name):
+        parts = {"n": F.count(x), "m": F.avg(x), "v": F.var_pop(x), "lo": F.min(x), "hi": F.max(x)}
+        return F.struct(*[p.over(w).alias(n) for n, p in parts.items()]).alias(name)
+
+    placed = df.select("*", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).alias("_place")).withColumn(
+        "_stretch", F.floor((F.col("_place") - 1) / F.lit(rows))
+    )
+    inside = Window.partitionBy(*keys, "_stretch")
+    growing = (Window.unboundedPreceding, 0)
+    both = placed.select("*", stats(inside.orderBy(F.desc("_place")).rowsBetween(*growing), "_to_end")).select(
+        "*", stats(inside.orderBy("_place").rowsBetween(*growing), "_from_start")
+    )
+    along = Window.partitionBy(*keys).orderBy("_stretch", "_place")
+    # The row where the frame begins; none in the first stretch and where the frame is one whole stretch.
+    begin = F.when((F.col("_place") % rows) != 0, F.lag("_to_end", rows - 1).over(along))
+    joined = both.withColumn("_begin", begin)
+    n1, n2 = F.coalesce("_begin.n", F.lit(0)), F.col("_from_start.n")
+    m1, m2 = F.coalesce("_begin.m", F.lit(0.0)), F.coalesce("_from_start.m", F.lit(0.0))
+    v1, v2 = F.coalesce("_begin.v", F.lit(0.0)), F.coalesce("_from_start.v", F.lit(0.0))
+    n = n1 + n2
+    mean = F.when(n1 == 0, F.col("_from_start.m")).otherwise((n1 * m1 + n2 * m2) / n)
+    spread = F.when(n1 == 0, F.col("_from_start.v")).otherwise((n1 * v1 + n2 * v2 + (m1 - m2) * (m1 - m2) * n1 * n2 / n) / n)
+    made = {
+        "mean": mean,
+        "std": F.sqrt(spread),
+        "min": F.least("_begin.lo", "_from_start.lo"),
+        "max": F.greatest("_begin.hi", "_from_start.hi"),
+        "rows": F.least(F.col("_place"), F.lit(rows)),
+    }
+    return joined.select(*df.columns, *[made[kind].alias(name) for name, kind in outputs.items()])
 
 
 def exact_quantiles(

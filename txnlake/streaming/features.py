@@ -112,20 +112,11 @@ def feature_record(df: DataFrame, processed_at: Column, created_at: Column | Non
     return out.select(*[c for c in RECORD_COLS if stats or not c.startswith("pca_")])
 
 
-def _rolling_frame(w) -> dict[str, Column]:
-    x = F.col("amount_log")
-    return {
-        "amount_rolling_mean": F.avg(x).over(w),
-        "amount_rolling_std": F.stddev_pop(x).over(w),
-        "amount_rolling_min": F.min(x).over(w),
-        "amount_rolling_max": F.max(x).over(w),
-        "transaction_velocity": F.count(F.lit(1)).over(w) / F.lit(5.0),
-    }
-
-
 def with_rolling(df: DataFrame, **limits) -> DataFrame:
     """Batch form of the rolling state: the account's last 100 records by event time."""
-    return scale.rolling(df, ["account_id"], ["time_stamp", "transaction_id"], ROLLING_ROWS, _rolling_frame, **limits)
+    kinds = dict(zip(ROLLING_COLS, ("mean", "std", "min", "max", "rows")))
+    framed = scale.rolling(df, ["account_id"], ["time_stamp", "transaction_id"], ROLLING_ROWS, "amount_log", kinds, **limits)
+    return framed.withColumn("transaction_velocity", F.col("transaction_velocity") / F.lit(5.0))
 
 
 def json_lines(df: DataFrame) -> DataFrame:
