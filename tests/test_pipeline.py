@@ -53,6 +53,21 @@ def test_report_names_steps(spark, lake):
     assert steps == set(silver.STEPS)
 
 
+def test_stored_metrics_equal_the_direct_ones(spark, sf_dir):
+    bronze = fx.txn(spark, sf_dir)
+    clean = silver.cleaned(bronze)
+    table = silver.build(bronze, percentile=False, clean=clean)
+    assert silver.stored_metrics(bronze, bronze, clean, table).first() == silver.run_metrics(bronze).first()
+
+
+def test_sampled_run(spark, lake, tmp_path):
+    out = pipeline.bronze_to_silver(spark, f"{lake}/raw", str(tmp_path), "s1", sampled=True)
+    rows = spark.read.parquet(out["current"])
+    modes = rows.select("ProcessingMode", "SampleSize", "OriginalTotalRecords").distinct().collect()
+    assert [tuple(r) for r in modes] == [("SAMPLE", 102, 1020)]
+    assert 0 < rows.count() <= 102
+
+
 def test_stream_job(spark, sf_dir, tmp_path):
     messages = fx.cdc_messages(spark, sf_dir).select("value")
     messages.write.text(str(tmp_path / "in"))

@@ -13,6 +13,7 @@ from txnlake.functions import components as comp
 from txnlake.functions import timing
 from txnlake.operators import scale
 from txnlake.schemas import V_COLS
+from txnlake.session import materialize
 
 # Fixed values.
 DEFAULT_AMOUNT = 22.0
@@ -147,22 +148,40 @@ def filter_label(df: DataFrame) -> DataFrame:
     return df.where(F.col("Class").isNotNull())
 
 
+def cleaned(source: DataFrame) -> DataFrame:
+    """Deduplicated and filled rows, written once.
+
+    Ranks, quartiles and counts each read a column or two of it instead of repeating the shuffle of
+    whole rows.
+    """
+    return materialize(fill_missing(dedup(source)), "silver-clean")
+
+
 def build(
     bronze: DataFrame,
     percentile: bool = True,
     amount_outlier: bool = False,
     sampled: bool = False,
     processed_at: Column | None = None,
+    clean: DataFrame | None = None,
 ) -> DataFrame:
     """The silver table.
 
     ``percentile`` adds the rank by amount (a sort over the distinct amounts); ``amount_outlier``
-    adds the quartile flag of the amount that the gold tables read.
+    adds the quartile flag of the amount that the gold tables read. ``clean`` may pass the result of
+    :func:`cleaned`; without either column nothing is written in between.
     """
     total = bronze.agg(F.count(F.lit(1))).scalar()
-    source = sample(bronze) if sampled else bronze
-    size = source.agg(F.count(F.lit(1))).scalar() if sampled else total
-    df = fill_missing(dedup(source))
+    source, size = bronze, total
+    if sampled:
+        source = materialize(sample(bronze), "silver-sample")
+        size = source.agg(F.count(F.lit(1))).scalar()
+    if clean is not None:
+        df = clean
+    elif percentile or amount_outlier:
+        df = cleaned(source)
+    else:
+        df = fill_missing(dedup(source))
     if amount_outlier:
         df = outlier_iqr(df, ["Amount"])
     df = amount_log(time_cast(df))
@@ -172,6 +191,28 @@ def build(
     return filter_label(metadata(df, size, total, "SAMPLE" if sampled else "FULL", processed_at))
 
 
+def stored_metrics(bronze: DataFrame, source: DataFrame, clean: DataFrame, silver: DataFrame, mode: str = "FULL") -> DataFrame:
+    """The counts of :func:`run_metrics` from tables that are already written: four plain counts."""
+    out = silver.agg(F.count(F.lit(1)).alias("final_records"))
+    for df, name in ((bronze, "original_total_records"), (source, "sample_size"), (clean, "_distinct")):
+        out = scale.with_scalar(out, df.agg(F.count(F.lit(1))), name)
+    return _metric_columns(
+        out.withColumn("duplicates_removed", F.col("sample_size") - F.col("_distinct")), mode
+    )
+
+
+def _metric_columns(counted: DataFrame, mode: str) -> DataFrame:
+    return counted.select(
+        F.lit(mode).alias("processing_mode"),
+        "original_total_records",
+        "sample_size",
+        "final_records",
+        "duplicates_removed",
+        (F.col("sample_size") - F.col("final_records")).alias("records_removed"),
+        F.round(F.try_divide("sample_size", "original_total_records") * 100, 2).alias("sample_percentage"),
+    )
+
+
 def run_metrics(bronze: DataFrame, sampled: bool = False) -> DataFrame:
     """Counts of one run: original, processed, final, duplicates, removed and processed share in %."""
     source = sample(bronze) if sampled else bronze
@@ -182,15 +223,7 @@ def run_metrics(bronze: DataFrame, sampled: bool = False) -> DataFrame:
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates_removed"),
     )
     counted = scale.with_scalar(counted, bronze.agg(F.count(F.lit(1))), "original_total_records")
-    return counted.select(
-        F.lit("SAMPLE" if sampled else "FULL").alias("processing_mode"),
-        "original_total_records",
-        "sample_size",
-        "final_records",
-        "duplicates_removed",
-        (F.col("sample_size") - F.col("final_records")).alias("records_removed"),
-        F.round(F.try_divide("sample_size", "original_total_records") * 100, 2).alias("sample_percentage"),
-    )
+    return _metric_columns(counted, "SAMPLE" if sampled else "FULL")
 
 
 def lineage_report(checks: DataFrame, metrics: DataFrame, source: str, destination: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from txnlake.functions.timing import seconds_to_ntz
 from txnlake.operators import gold, ml, profile, quality, silver
 from txnlake.schemas import CORRUPT, REQUIRED_BRONZE
+from txnlake.session import materialize
 from txnlake.sources import files
 from txnlake.streaming import decode, features, rolling, sinks
 
@@ -36,17 +37,24 @@ def land_bronze(spark: SparkSession, csv_path: str, lake: str, version: str) ->
     return with_keys(spark.read.parquet(path).where("NOT malformed").drop("malformed", CORRUPT))
 
 
-def bronze_to_silver(spark: SparkSession, csv_path: str, lake: str, version: str, sampled: bool = False) -> dict[str, str]:
+def bronze_to_silver(
+    spark: SparkSession, csv_path: str, lake: str, version: str, sampled: bool = False
+) -> dict[str, str]:
     """Validate, clean and write silver (a versioned copy and ``current``) and its run report.
 
     The text is parsed once: typed rows land as Parquet, malformed lines beside them.
     """
     bronze = land_bronze(spark, csv_path, lake, version)
     quality.require_columns(bronze, REQUIRED_BRONZE)
-    table = silver.build(bronze, amount_outlier=True, sampled=sampled)
+    source = materialize(silver.sample(bronze), "silver-sample") if sampled else bronze
+    clean = silver.cleaned(source)
+    mode = "SAMPLE" if sampled else "FULL"
+    table = silver.build(source, amount_outlier=True, clean=clean)
+    table = table.withColumns({"ProcessingMode": F.lit(mode), "OriginalTotalRecords": bronze.agg(F.count(F.lit(1))).scalar()})
     versioned, current = files.write_versioned(table, f"{lake}/silver", version)
     checks = quality.evaluate(bronze, quality.bronze_rules())
-    report = silver.lineage_report(checks, silver.run_metrics(bronze, sampled), csv_path, versioned)
+    metrics = silver.stored_metrics(bronze, source, clean, spark.read.parquet(versioned), mode)
+    report = silver.lineage_report(checks, metrics, csv_path, versioned)
     files.write_gold(report, f"{lake}/reports/silver-{version}")
     return {"versioned": versioned, "current": current, "report": f"{lake}/reports/silver-{version}"}
 
