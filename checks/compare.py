@@ -51,6 +51,13 @@ def _plain(x):
     return x
 
 
+def _equal(x, y) -> bool:
+    """Equal, or doubles one unit of the sixth digit apart: a mean on the border rounds either way."""
+    if isinstance(x, float) and isinstance(y, float):
+        return abs(x - y) <= 1.1e-6
+    return repr(x) == repr(y)
+
+
 def _rows(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     out = [tuple(_plain(r[i]) for i in order) for r in rows]
@@ -69,11 +76,11 @@ def compare(spark, con, name: str, sf_dir: str) -> str:
         return f"columns {sorted(set(cols) ^ set(want_cols))}"
     if len(mine) != len(want):
         return f"{len(mine)} rows, expected {len(want)}"
-    wrong = [(a, b) for a, b in zip(mine, want) if repr(a) != repr(b)]
+    wrong = [(a, b) for a, b in zip(mine, want) if not all(map(_equal, a, b))]
     if not wrong:
         return ""
     a, b = wrong[0]
-    cells = [(c, x, y) for c, x, y in zip(cols, a, b) if repr(x) != repr(y)]
+    cells = [(c, x, y) for c, x, y in zip(cols, a, b) if not _equal(x, y)]
     return f"{len(wrong)} of {len(mine)} rows differ, first: {cells[:4]}"
 
 

@@ -810,7 +810,8 @@ _add(
     "gl_hour_bucket",
     "cur",
     """SELECT CAST(floor(Time / 3600e0) AS BIGINT) AS hour_bucket, count(*) AS total_transactions, count(*) FILTER (Class = 1) AS fraud_count,
-    round(avg(CAST(Class AS DOUBLE)) * 100, 4) AS fraud_rate_percent, round(avg(Amount), 2) AS avg_amount FROM cur GROUP BY 1 ORDER BY 1 LIMIT 24""",
+    round(avg(CAST(Class AS DOUBLE)) * 100, 4) AS fraud_rate_percent,
+    CAST(CAST(CAST(avg(Amount) AS VARCHAR) AS DECIMAL(30, 2)) AS DOUBLE) AS avg_amount FROM cur GROUP BY 1 ORDER BY 1 LIMIT 24""",
 )
 _add(
     "gl_outlier_by_class",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from txnlake.functions import timing
 from txnlake.operators import gold, ml, silver
 from txnlake.schemas import V_COLS
-from txnlake.session import configure, spread, work_path
+from txnlake.session import ON_RELEASE, configure, spread, work_path
 from txnlake.streaming import features
 
 ORIGIN_US = 1704067200000000  # 2024-01-01
@@ -121,6 +121,7 @@ def stream_raw(spark: SparkSession, sf_dir: str) -> str:
 
 
 _STORED: dict[tuple[str, str, str], tuple[str, object]] = {}
+ON_RELEASE.append(_STORED.clear)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -32,7 +32,12 @@ _ROW_BITS = 33
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The planner's size estimate, the one it uses itself to choose join strategies."""
+    """The planner's size estimate, the one it uses itself to choose join strategies.
+
+    A client without a local planner counts as large.
+    """
+    if not hasattr(df, "_jdf"):
+        return SMALL_BYTES + 1
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 

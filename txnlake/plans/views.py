@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from txnlake.functions.components import summed
 from txnlake.operators.silver import FLAGGED
 from txnlake.schemas import STREAM_NESTED_SCHEMA, V_COLS
-from txnlake.sources.files import path_bucket  # noqa: F401  (used by readers of the raw table)
 
 
 def union_all(*parts: DataFrame) -> DataFrame:

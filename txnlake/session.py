@@ -12,6 +12,8 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 # the driver time of building wide plans.
 BUILDER_OPTIONS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 _fallback_dirs: dict[str, str] = {}
+# Called when the work folder goes, by whoever remembers paths below it.
+ON_RELEASE: list = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -48,6 +50,8 @@ def release(spark: SparkSession) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for forget in ON_RELEASE:
+        forget()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
