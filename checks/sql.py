@@ -396,6 +396,13 @@ EXPECT = """SELECT '{0}' AS expectation, '{1}' AS "column", count(*) AS element_
     count(*) FILTER ({2}) = 0 AS success FROM txn"""
 _add("dq_expect_in_set", "txn", EXPECT.format("in_set", "Class", "Class NOT IN (0, 1)"), "unexpected_percent")
 _add("dq_expect_between", "txn", EXPECT.format("between", "Amount", "Amount NOT BETWEEN 0 AND 1000"), "unexpected_percent")
+_add(
+    "dq_sample_for_validation",
+    "clean",
+    f"""SELECT {BRONZE} FROM clean
+    ORDER BY CAST(concat('0x', substr(md5(concat('42:', CAST(id AS VARCHAR))), 1, 15)) AS BIGINT) LIMIT 5000""",
+    f"Time {VS} Amount",
+)
 _add(
     "dq_silver_pca_range",
     "silver",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from txnlake.functions import components as comp
 from txnlake.functions import timing
+from txnlake.functions.hashing import key_hash
 from txnlake.operators import scale
 from txnlake.schemas import ML_BASE
 
@@ -96,8 +97,7 @@ def build(silver: DataFrame, rolling: str | None = "account", created_at: Column
 
 def in_train(key: Column, seed: int = SPLIT_SEED, tenths: int = TRAIN_TENTHS) -> Column:
     """Repeatable split by a hash of the key: the same row always falls on the same side."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 10 < tenths
+    return key_hash(key, seed) % 10 < tenths
 
 
 def with_split(df: DataFrame, seed: int = SPLIT_SEED, tenths: int = TRAIN_TENTHS) -> DataFrame:

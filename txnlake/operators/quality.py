@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txnlake.functions.hashing import key_hash
 from txnlake.operators import scale
 from txnlake.schemas import BRONZE_COLS, REQUIRED_BRONZE, SILVER_ENGINEERED, V_COLS
 
@@ -20,6 +21,7 @@ EXPECTED_AMOUNT_MAX = 50_000.0
 BRONZE_COMPONENT, BRONZE_CHECKED = 100.0, 5
 SILVER_COMPONENT, SILVER_CHECKED = 50.0, 3
 VALIDATION_ROWS = 10_000
+SAMPLE_SEED = 42
 
 
 @dataclass(frozen=True)
@@ -237,7 +239,7 @@ def expect_between(df: DataFrame, column: str = "Amount", low: float = 0.0, high
 
 def validation_sample(df: DataFrame, rows: int = VALIDATION_ROWS, key: str = "id") -> DataFrame:
     """A repeatable sample: the rows with the smallest hash of the key."""
-    hashed = df.withColumn("_hash", F.xxhash64(key))
+    hashed = df.withColumn("_hash", key_hash(F.col(key), SAMPLE_SEED, 15))
     return scale.smallest(hashed, "_hash", lambda _: rows).drop("_hash")
 
 
