@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import common, mixing, quality, token_counts, url_filters, warc
+from txnlake.llm import common, katz, mixing, quality, suffix_dedup, token_counts, url_filters, warc
 from txnlake.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,7 +83,21 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM p LE
 """
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return quality.judged(docs, quality.train(docs, common.table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(common.remainder_of_id() == 1, F.lit(False))
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", (~held).alias("train"))
+    model = katz.Model(docs)
+    return model.scores().select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
