@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import common, katz, mixing, quality, suffix_dedup, token_counts, url_filters, warc
+from txnlake.llm import common, decontaminate, fingerprints, katz, mixing, near_dup, quality, suffix_dedup, token_counts, url_filters, warc
 from txnlake.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,11 +29,38 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, str(public_tokenizers.path(TOKENIZER)), work_path(spark, "token-cache"))
 
 
+@query
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(common.table(spark, sf_dir, "documents"), percent=85)
+
+
+SQL["op2_near_duplicates"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_have FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both_have >= 85 * (x.n + y.n - both_have)),
+l AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT doc_id, doc_id AS o FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.o = l.a),
+c AS (SELECT doc_id, min(o) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
 @query
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(common.table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(common.table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.round_trip(common.table(spark, sf_dir, "pages"))
@@ -53,6 +80,11 @@ SELECT d.page_id, d.payload_bytes, d.payload_digest,
 FROM d LEFT JOIN f USING (payload_digest)
 """
 
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
 # Fixed values of the rule table: host, path, action.
 URL_RULES = [
     ("org", "/", "allow"),

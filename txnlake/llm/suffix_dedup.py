@@ -20,7 +20,7 @@ later of two equal blocks goes without asking.
 Defined cases: null and empty texts have no bytes; texts shorter than ``LENGTH`` lose nothing; rows that
 repeat an id do not remove from each other; a null id counts as larger than all others and two null ids as
 equal; overlapping matches count; a character cut by a removed run leaves the rewritten text. Further
-columns pass unchanged, those named like a result are renamed beforehand by the caller's choice of columns.
+columns pass unchanged; where one is named like a result the caller gives the results other ``names``.
 """
 
 from __future__ import annotations
@@ -227,12 +227,12 @@ def _removed(blocks: Blocks, ids: np.ndarray, flags: np.ndarray, window_flags) -
     return np.cumsum(edge, out=edge)[: len(blocks.data)] > 0
 
 
-RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+RESULT_NAMES = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
 _ASKED = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), ("payload", pa.binary())])
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the text that is left, and n_bytes, n_removed, n_spans, kept_sha256."""
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", names: list[str] = RESULT_NAMES) -> DataFrame:
+    """``docs`` with the text that is left, and n_bytes, n_removed, n_spans, kept_sha256 (or ``names``)."""
     spark = docs.sparkSession
     batches, kept_batches = common.store(common.text_batches(docs, text, lambda rows: _write(rows, doc_id)), "suffix-batches")
     buckets = common.bucket_count(batches)
@@ -282,9 +282,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         old = rows.column(text).to_pylist()
         new = pa.array([o if x is None else x for x, o in zip(left, old, strict=True)], rows.schema.field(text).type)
         made = rows.set_column(rows.schema.get_field_index(text), rows.schema.field(text), new)
-        for i, (name, kind) in enumerate((("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()))):
+        for i, (name, kind) in enumerate(zip(names, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)):
             made = made.append_column(name, pa.array([c[i] for c in counts], kind))
         return made
 
-    schema = docs.select("*", F.lit(0).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.lit("").alias("kept_sha256")).schema
+    schema = docs.select("*", *[F.lit(None).cast(kind).alias(n) for n, kind in zip(names, ("long", "long", "long", "string"), strict=True)]).schema
     return common.with_answers(batches, both, finish, schema)
