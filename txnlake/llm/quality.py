@@ -32,7 +32,7 @@ WIDTH, FILTERS, HIDDEN = 5, 16, 8
 HALF = 64  # bytes; a chunk is two halves
 SLICE = 2048  # halves scored at once
 SAMPLE_ROWS, SAMPLE_BYTES = 1500, 6000
-EPOCHS, RATE, GROUP = 8, 0.02, 16
+STEPS, RATE, GROUP = 800, 0.02, 16  # steps of Adam, whatever the sample's size
 ACCEPT = 0.3
 
 
@@ -80,7 +80,7 @@ def padded(data: bytes) -> np.ndarray:
     return np.frombuffer(data.ljust(halves * HALF + WIDTH - 1, b" "), np.uint8)
 
 
-def fit(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> Network:
+def fit(texts: list[bytes], labels: np.ndarray, steps: int = STEPS, seed: int = 11) -> Network:
     """Adam on the log loss; gradients pass only through the winning places of the pooling."""
     net = Network(seed)
     if len(texts) == 0 or labels.min() == labels.max():
@@ -90,23 +90,22 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int
     weights = net.weights()
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     inputs = [padded(t) for t in texts]
-    step = 0
-    for epoch in range(epochs):
-        order = r.permutation(len(inputs))
-        for at in range(0, len(order), GROUP):
-            grads = [np.zeros_like(w) for w in weights]
-            picked = order[at : at + GROUP]
-            for i in picked:
-                _gradient(net, inputs[i], labels[i], grads)
-            step += 1
-            rate = RATE * (1 - epoch / epochs)
-            for w, g, m, v in zip(weights, grads, first, second, strict=True):
-                g /= len(picked)
-                m *= 0.9
-                m += 0.1 * g
-                v *= 0.99
-                v += 0.01 * g * g
-                w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+    order: list[int] = []
+    for step in range(1, steps + 1):
+        while len(order) < GROUP:
+            order += r.permutation(len(inputs)).tolist()
+        picked, order = order[:GROUP], order[GROUP:]
+        grads = [np.zeros_like(w) for w in weights]
+        for i in picked:
+            _gradient(net, inputs[i], labels[i], grads)
+        rate = RATE * (1 - (step - 1) / steps)
+        for w, g, m, v in zip(weights, grads, first, second, strict=True):
+            g /= len(picked)
+            m *= 0.9
+            m += 0.1 * g
+            v *= 0.99
+            v += 0.01 * g * g
+            w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
     return net
 
 
