@@ -240,7 +240,7 @@ def _silver_check(name, rules):
     query(run)
 
 
-_bronze_check("dq_row_count_bounds", quality.row_count_rules)
+_bronze_check("dq_row_count_bounds", lambda: quality.row_count_rules(high=1_000_000))
 _bronze_check("dq_class_binary", quality.class_rules)
 _bronze_check("dq_amount_range", quality.amount_rules)
 _bronze_check("dq_time_nonnegative", quality.time_rules)
@@ -264,7 +264,7 @@ def dq_expect_between(s, d):
 
 @query
 def dq_sample_for_validation(s, d):
-    return quality.validation_sample(clean(s, d), 5000)
+    return quality.validation_sample(clean(s, d))
 
 
 @query
@@ -399,7 +399,7 @@ def silver_run_metrics(s, d):
 
 @query
 def silver_run_metrics_sample(s, d):
-    return silver.run_metrics(fx.txn(s, d), sampled=True)
+    return silver.run_metrics(fx.txn(s, d), silver.sample(fx.txn(s, d)))
 
 
 @query
@@ -522,7 +522,7 @@ def ml_metadata(s, d):
 @query
 def ml_build(s, d):
     """The whole feature table."""
-    return ml.build(plain_silver(s, d), rolling="account", created_at=F.col("ts"))
+    return ml.build(fx.silver_table(s, d, amount_outlier=True), rolling="account", created_at=F.col("ts"))
 
 
 @query
@@ -930,7 +930,7 @@ def prof_bronze_silver_diff(s, d):
 
 @query
 def prof_hourly(s, d):
-    return profile.hourly(fx.table(s, d, "hourly"))
+    return profile.hourly(gold.with_amount_categories(fx.table(s, d, "hourly"), fx.table(s, d, "silver")))
 
 
 @query

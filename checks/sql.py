@@ -51,9 +51,13 @@ def _cos(x: str, period: int) -> str:
 TIME_US = "make_timestamp(CAST(round(Time * 1e6) AS BIGINT))"
 IN_TRAIN = "CAST(concat('0x', substr(md5(concat('42:', CAST(id AS VARCHAR))), 1, 8)) AS BIGINT) % 10 < 8"
 
+IN_TENTH = "CAST(concat('0x', substr(md5(concat('42:', CAST(id AS VARCHAR))), 1, 8)) AS BIGINT) < 429496729"
+
 ROLL = "PARTITION BY account_id ORDER BY Time, id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW"
 ROLL_RT = "PARTITION BY account_id ORDER BY time_stamp, transaction_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW"
 
+MEAN = "CAST(sum(CAST(Amount AS DECIMAL(20, 6))) AS DOUBLE) / count(Amount)"
+
 CTE: dict[str, tuple[tuple[str, ...], str]] = {}
 
 
@@ -184,7 +188,7 @@ _cte(
     "summary",
     ("sets",),
     f"""SELECT dataset AS dataset_type, count(*) AS total_transactions, count(*) FILTER (Class = 1) AS fraud_transactions,
-    avg(CAST(Class AS DOUBLE)) AS fraud_rate, avg(Amount) AS avg_amount, stddev_samp(Amount) AS stddev_amount,
+    avg(CAST(Class AS DOUBLE)) AS fraud_rate, {MEAN} AS avg_amount, stddev_samp(Amount) AS stddev_amount,
     min(Amount) AS min_amount, max(Amount) AS max_amount, avg({_plus(FLAG_COLS)}) AS avg_outlier_features_per_transaction
     FROM sets GROUP BY 1""",
 )
@@ -380,7 +384,7 @@ _add(
     STATUS.format(
         " UNION ALL ".join(
             _rule(*r, "silver")
-            for r in [*_S_EMPTY, *_S_NULLS, *_S_CLASS, *_S_AMOUNT, *_S_HOUR, *_ranges("silver_pca_range", V[:3], 50, "fail")]
+            for r in [*_S_EMPTY, *_S_NULLS, *_S_CLASS, *_S_AMOUNT, *_S_HOUR, *_ranges("silver_pca_range", V, 50, "fail")]
         )
     ),
 )
@@ -388,7 +392,7 @@ _add(
     "dq_bronze_report",
     "txn",
     STATUS.format(
-        " UNION ALL ".join(_rule(*r, "txn") for r in [*_ROWS, *_CLASS, *_AMOUNT, *_TIME, *_ranges("pca_range", V[:5], 100, "warn")])
+        " UNION ALL ".join(_rule(*r, "txn") for r in [_ROWS[0], *_CLASS, *_AMOUNT, *_TIME, *_ranges("pca_range", V, 100, "warn")])
     ),
 )
 EXPECT = """SELECT '{0}' AS expectation, '{1}' AS "column", count(*) AS element_count, count(*) - count({1}) AS missing_count,
@@ -399,8 +403,7 @@ _add("dq_expect_between", "txn", EXPECT.format("between", "Amount", "Amount NOT
 _add(
     "dq_sample_for_validation",
     "clean",
-    f"""SELECT {BRONZE} FROM clean
-    ORDER BY CAST(concat('0x', substr(md5(concat('42:', CAST(id AS VARCHAR))), 1, 15)) AS BIGINT) LIMIT 5000""",
+    f"SELECT {BRONZE} FROM clean WHERE {IN_TENTH}",
     f"Time {VS} Amount",
 )
 _add(
@@ -408,7 +411,7 @@ _add(
     "silver",
     " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", min({c}) AS min_value, max({c}) AS max_value, {b}e0 AS bound FROM silver HAVING min({c}) < -{b} OR max({c}) > {b}"""
-        for cols, b in ((V[:3], 50.0), (V, 3.9))
+        for cols, b in ((V, 50.0), (V, 3.9))
         for c in cols
     ),
     "min_value max_value bound",
@@ -429,7 +432,7 @@ _add(
 _add(
     "silver_sample",
     "txn",
-    "SELECT id, account_id, ts, Amount, Class FROM txn ORDER BY id LIMIT (SELECT CAST(least(50000, floor(count(*) * 0.1e0)) AS BIGINT) FROM txn)",
+    f"SELECT id, account_id, ts, Amount, Class FROM txn WHERE {IN_TENTH}",
     "Amount",
 )
 _add("silver_dedup", "uniq", f"SELECT {BRONZE} FROM uniq", f"Time {VS} Amount")
@@ -489,9 +492,22 @@ METRICS = """SELECT '{mode}' AS processing_mode, (SELECT count(*) FROM txn) AS o
     (SELECT count(*) FROM s) - (SELECT count(*) FROM (SELECT DISTINCT * FROM s) WHERE Class IS NOT NULL) AS records_removed,
     round((SELECT count(*) FROM s) * 100e0 / (SELECT count(*) FROM txn), 2) AS sample_percentage"""
 _cte("full_s", ("txn",), "SELECT * FROM txn")
-_cte("tenth_s", ("txn",), "SELECT * FROM txn ORDER BY id LIMIT (SELECT CAST(least(50000, floor(count(*) * 0.1e0)) AS BIGINT) FROM txn)")
+_cte("tenth_s", ("txn",), f"SELECT * FROM txn WHERE {IN_TENTH}")
 _add("silver_run_metrics", "full_s", METRICS.format(mode="FULL").replace("FROM s)", "FROM full_s)"))
 _add("silver_run_metrics_sample", "tenth_s", METRICS.format(mode="SAMPLE").replace("FROM s)", "FROM tenth_s)"))
+_STEPS = ["duplicate_removal", "missing_value_handling", "feature_engineering", "outlier_detection", "data_quality_scoring"]
+_BRONZE_RULES = [_ROWS[0], *_CLASS, *_AMOUNT, *_TIME, *_ranges("pca_range", V, 100, "warn")]
+_add(
+    "silver_lineage_report",
+    "full_s",
+    f"""SELECT * FROM (WITH m AS ({METRICS.format(mode="FULL").replace("FROM s)", "FROM full_s)")}),
+    c AS ({" UNION ALL ".join(_rule(*r, "txn") for r in _BRONZE_RULES)})
+    SELECT 'bronze_layer' AS section, "check" || ':' || "column" AS item,
+    CASE WHEN passed THEN 'passed' ELSE 'failed' END || '=' || CAST(value AS VARCHAR) AS value FROM c
+    {" ".join(f"UNION ALL SELECT 'transformation', '{c}', CAST({c} AS VARCHAR) FROM m" for c in ["processing_mode", "original_total_records", "sample_size", "final_records", "duplicates_removed", "records_removed", "sample_percentage"])}
+    UNION ALL VALUES ('data_lineage', 'source', 'bronze/creditcard.csv'), ('data_lineage', 'destination', 'silver/current'),
+    ('silver_layer', 'filename', 'current'), {", ".join(f"('data_lineage', 'step_{i}', '{x}')" for i, x in enumerate(_STEPS, 1))})""",
+)
 
 # Gold hours
 HOURS = "total_amount avg_amount median_amount std_amount avg_data_quality"
@@ -573,11 +589,11 @@ _add("ml_metadata", "base", "SELECT id, '1.0' AS feature_version, ts AS created_
 _add(
     "ml_build",
     "silver",
-    f"""SELECT {ML_CARRIED}, {_list(V)}, Amount_Log, 0e0 AS Amount_Percentile, Hour, DayOfWeek, IsWeekend, DataQuality_Score, Class,
+    f"""SELECT {ML_CARRIED}, {_list(V)}, Amount_Log, Amount_Percentile, Amount_IsOutlier, Hour, DayOfWeek, IsWeekend, DataQuality_Score, Class,
     {_list(FLAG_COLS)}, V1 * Amount_Log AS V1_Amount_Interaction, V2 * Amount_Log AS V2_Amount_Interaction, {CYCLES}, {ROLLING},
-    ({_plus(FLAG_COLS)}) / 5e0 AS Outlier_Ratio, '1.0' AS feature_version, ts AS created_at, 'silver_layer' AS data_source
+    ({_plus([*FLAG_COLS, 'Amount_IsOutlier'])}) / 6e0 AS Outlier_Ratio, '1.0' AS feature_version, ts AS created_at, 'silver_layer' AS data_source
     FROM silver WINDOW w AS ({ROLL})""",
-    f"Time Amount {VS} {R3} V1_Amount_Interaction V2_Amount_Interaction Hour_Sin Hour_Cos DayOfWeek_Sin DayOfWeek_Cos Outlier_Ratio",
+    f"Time Amount {VS} {R3} Amount_Percentile V1_Amount_Interaction V2_Amount_Interaction Hour_Sin Hour_Cos DayOfWeek_Sin DayOfWeek_Cos Outlier_Ratio",
 )
 _add("ml_train_test_split", "cur", "SELECT id, split FROM cur")
 _add(
@@ -809,16 +825,16 @@ _add(
 _add(
     "gl_amount_by_class",
     "cur",
-    """SELECT Class AS fraud_class, count(*) AS transaction_count, round(avg(Amount), 2) AS avg_amount, round(stddev_samp(Amount), 2) AS stddev_amount,
+    f"""SELECT Class AS fraud_class, count(*) AS transaction_count, round({MEAN}, 2) AS avg_amount, round(stddev_samp(Amount), 2) AS stddev_amount,
     round(min(Amount), 2) AS min_amount, round(max(Amount), 2) AS max_amount, round(quantile_cont(Amount, 0.5), 2) AS median_amount,
     round(quantile_cont(Amount, 0.95), 2) AS p95_amount FROM cur GROUP BY 1""",
 )
 _add(
     "gl_hour_bucket",
     "cur",
-    """SELECT CAST(floor(Time / 3600e0) AS BIGINT) AS hour_bucket, count(*) AS total_transactions, count(*) FILTER (Class = 1) AS fraud_count,
+    f"""SELECT CAST(floor(Time / 3600e0) AS BIGINT) AS hour_bucket, count(*) AS total_transactions, count(*) FILTER (Class = 1) AS fraud_count,
     round(avg(CAST(Class AS DOUBLE)) * 100, 4) AS fraud_rate_percent,
-    CAST(CAST(CAST(avg(Amount) AS VARCHAR) AS DECIMAL(30, 2)) AS DOUBLE) AS avg_amount FROM cur GROUP BY 1 ORDER BY 1 LIMIT 24""",
+    round({MEAN}, 2) AS avg_amount FROM cur GROUP BY 1 ORDER BY 1 LIMIT 24""",
 )
 _add(
     "gl_outlier_by_class",
@@ -841,7 +857,7 @@ _add(
 _add(
     "gl_dataset_compare",
     "sets",
-    """SELECT dataset, count(*) AS record_count, round(avg(CAST(Class AS DOUBLE)) * 100, 4) AS fraud_rate_percent, round(avg(Amount), 2) AS avg_amount,
+    f"""SELECT dataset, count(*) AS record_count, round(avg(CAST(Class AS DOUBLE)) * 100, 4) AS fraud_rate_percent, round({MEAN}, 2) AS avg_amount,
     count(*) FILTER (V1_IsOutlier = 1) AS V1_outliers, round(count(*) FILTER (V1_IsOutlier = 1) * 100e0 / count(*), 2) AS outlier_percentage
     FROM sets GROUP BY 1""",
 )
@@ -962,8 +978,10 @@ _add(
 )
 _add("prof_silver_processing", "silver", f"SELECT {AS_OF} AS last_processed, 1e0 AS avg_quality")
 _ADDED = sorted(
-    ["Amount_IsOutlier", "Amount_Log", "Amount_Percentile", "Amount_Category", "Hour", "DayOfWeek", "IsWeekend", *FLAG_COLS]
-    + ["ProcessedTimestamp", "DataQuality_Score", "ProcessingMode", "SampleSize", "OriginalTotalRecords"]
+    [
+        *["Amount_IsOutlier", "Amount_Log", "Amount_Percentile", "Amount_Category", "Hour", "DayOfWeek", "IsWeekend", *FLAG_COLS],
+        *["ProcessedTimestamp", "DataQuality_Score", "ProcessingMode", "SampleSize", "OriginalTotalRecords"],
+    ]
 )
 _add(
     "prof_bronze_silver_diff",
@@ -974,7 +992,7 @@ _add(
 _add(
     "prof_hourly",
     "hourly",
-    """SELECT 'amount_category_dist' AS missing_columns, '' AS extra_columns, count(*) AS records, min(Hour) AS min_hour, max(Hour) AS max_hour,
+    """SELECT '' AS missing_columns, '' AS extra_columns, count(*) AS records, min(Hour) AS min_hour, max(Hour) AS max_hour,
     min(fraud_rate) AS min_fraud_rate, max(fraud_rate) AS max_fraud_rate, CAST(sum(total_transactions) AS BIGINT) AS total_transactions,
     CAST(sum(fraud_count) AS BIGINT) AS total_frauds, CAST(sum(fraud_count) AS DOUBLE) / CAST(sum(total_transactions) AS DOUBLE) AS overall_fraud_rate,
     min(timestamp) AS min_time, max(timestamp) AS max_time FROM hourly""",

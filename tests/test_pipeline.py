@@ -60,12 +60,27 @@ def test_stored_metrics_equal_the_direct_ones(spark, sf_dir):
     assert silver.stored_metrics(bronze, bronze, clean, table).first() == silver.run_metrics(bronze).first()
 
 
-def test_sampled_run(spark, lake, tmp_path):
-    out = pipeline.bronze_to_silver(spark, f"{lake}/raw", str(tmp_path), "s1", sampled=True)
-    rows = spark.read.parquet(out["current"])
-    modes = rows.select("ProcessingMode", "SampleSize", "OriginalTotalRecords").distinct().collect()
-    assert [tuple(r) for r in modes] == [("SAMPLE", 102, 1020)]
-    assert 0 < rows.count() <= 102
+def test_profiles_checks_and_categories_of_a_raw_file(spark, lake):
+    profiles = spark.read.parquet(f"{lake}/gold/{pipeline.RISK}")
+    silver_rows = spark.read.parquet(f"{lake}/silver/current").count()
+    assert profiles.count() > 0 and profiles.where("account_id IS NOT NULL").count() == 0
+    assert profiles.agg(F.sum("total_transactions")).first()[0] == silver_rows
+    assert {r["customer_segment"] for r in profiles.collect()} <= {"Low", "Medium", "High", "Very_High"}
+    hours = spark.read.parquet(f"{lake}/gold/{pipeline.HOURLY}")
+    counted = hours.select("total_transactions", F.aggregate(F.map_values("amount_category_dist"), F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
+    assert counted.where("n < total_transactions").count() == 0
+    assert spark.read.parquet(f"{lake}/reports/silver-rules-v1").where("item LIKE '%status'").count() == 1
+    assert spark.read.parquet(f"{lake}/reports/silver-v1").where("section = 'expectations'").count() > 0
+
+
+def test_sample_is_a_share_of_keys(spark, sf_dir):
+    rows = fx.txn(spark, sf_dir)
+    taken = silver.sample(rows, 0.3)
+    keys = {r["id"] for r in taken.select("id").collect()}
+    assert 0.2 < len(keys) / rows.select("id").distinct().count() < 0.4
+    assert taken.count() == rows.where(F.col("id").isin(sorted(keys))).count()
+    m = silver.run_metrics(rows, taken).first()
+    assert (m["processing_mode"], m["sample_size"]) == ("SAMPLE", taken.count())
 
 
 def test_stream_job(spark, sf_dir, tmp_path):

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from txnlake import fixture as fx
 from txnlake.plans import views
 from txnlake.schemas import BRONZE_COLS, CORRUPT
-from txnlake.session import shared_dir, spread
+from txnlake.session import shared_dir
 from txnlake.sources import catalog, files, tables
 
 
@@ -116,11 +116,6 @@ def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
 
 
-def test_spread_leaves_wide_scans_alone(spark):
-    assert spread(spark.range(10).repartition(20), "id").rdd.getNumPartitions() == 20
-    assert spread(spark.range(10).coalesce(1), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-
-
 def test_filters_and_columns_reach_the_scan(spark, sf_dir, capsys):
     current = fx.table(spark, sf_dir, "current")
     current.where("split = 'train' AND Amount > 100").select("id", "Amount").explain("formatted")

@@ -27,8 +27,8 @@ def test_dedup_and_metrics(spark, sf_dir):
     t = fx.txn(spark, sf_dir)
     counts = silver.duplicate_counts(t).first()
     assert counts["rows"] == counts["distinct_rows"] + counts["duplicates_removed"] == t.count()
-    m = silver.run_metrics(t, sampled=True).first()
-    assert m["sample_size"] == int(t.count() * 0.1)
+    m = silver.run_metrics(t, silver.sample(t)).first()
+    assert 0 < m["sample_size"] < m["original_total_records"] == t.count()
 
 
 def test_fill_leaves_label_time_and_keys(spark):

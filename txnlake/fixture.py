@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from txnlake.functions import timing
 from txnlake.operators import gold, ml, silver
 from txnlake.schemas import V_COLS
-from txnlake.session import ON_RELEASE, configure, spread, work_path
+from txnlake.session import ON_RELEASE, configure, work_path
 from txnlake.streaming import features
 
 ORIGIN_US = 1704067200000000  # 2024-01-01
@@ -27,7 +27,7 @@ def as_of():
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def _component(i: int) -> str:

@@ -63,3 +63,8 @@ def amount_zscore(amount: Column, mean: float = ZSCORE_MEAN, std: float = ZSCORE
     if std <= 0:
         return F.lit(0.0)
     return (amount - F.lit(mean)) / F.lit(std)
+
+
+def exact_mean(column: str) -> Column:
+    """A mean from an exact sum of six decimals, so that its last digit does not depend on the order of the rows."""
+    return F.try_divide(F.sum(F.col(column).cast("decimal(20,6)")).cast("double"), F.count(column))

@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnlake.functions import timing
+from txnlake.functions.amount import amount_category
 from txnlake.operators import ml
 from txnlake.schemas import HOURLY_COLS
 
 # Kept days per data set.
-RETENTION_DAYS = {"fraud_analytics": 90, "ml_features": 365, "summary_stats": 730}
+RETENTION_DAYS = {"fraud_analytics": 90, "ml_features": 365, "summary_stats": 730, "risk_profiles": 365}
 
 
 def default_columns(df: DataFrame) -> DataFrame:
@@ -102,6 +103,12 @@ def amount_category_dist(df: DataFrame) -> DataFrame:
     )
 
 
+def with_amount_categories(hours: DataFrame, silver: DataFrame) -> DataFrame:
+    """The hourly table with its counts per amount category; both sides have one row per hour or few."""
+    counts = amount_category_dist(silver).withColumnRenamed("timestamp", "_hour")
+    return hours.join(counts, F.col("timestamp").eqNullSafe(F.col("_hour")), "left").drop("_hour")
+
+
 # Our definition of the customer risk profile.
 RISK_WEIGHTS = {"fraud": 0.5, "outliers": 0.3, "amount": 0.2}
 RISK_CATEGORIES = ((0.15, "Low"), (0.3, "Medium"), (0.6, "High"))
@@ -112,12 +119,12 @@ def risk_profiles(silver: DataFrame) -> DataFrame:
     """Per account: activity, fraud rate, mean outlier ratio, a score in [0, 1], its category, a segment.
 
     score = 0.5 x fraud rate + 0.3 x mean outlier ratio + 0.2 x min(mean amount / 1000, 1). The
-    segment is the amount category of the mean amount.
+    segment is the amount category of the mean amount. Rows without an account are profiled together
+    per amount category, with a null account: a raw card file has no accounts.
     """
-    from txnlake.functions.amount import amount_category
-
     base = ml.outlier_ratio(silver)
-    per_account = base.groupBy(F.col("account_id")).agg(
+    unknown = F.when(F.col("account_id").isNull(), amount_category(F.col("Amount")))
+    per_account = base.groupBy(F.col("account_id"), unknown.alias("_segment")).agg(
         F.count(F.lit(1)).alias("total_transactions"),
         F.avg("Amount").alias("avg_amount"),
         F.avg(F.col("Class").cast("double")).alias("fraud_rate"),
@@ -133,9 +140,8 @@ def risk_profiles(silver: DataFrame) -> DataFrame:
     for bound, name in RISK_CATEGORIES:
         hit = F.col("risk_score") < bound
         category = F.when(hit, name) if category is None else category.when(hit, name)
-    return scored.withColumns(
-        {"risk_category": category.otherwise("Critical"), "customer_segment": amount_category(F.col("avg_amount"))}
-    )
+    segment = F.coalesce("_segment", amount_category(F.col("avg_amount")))
+    return scored.withColumns({"risk_category": category.otherwise("Critical"), "customer_segment": segment}).drop("_segment")
 
 
 GRAINS = (("daily", "day"), ("weekly", "week"), ("monthly", "month"))
@@ -151,6 +157,7 @@ def summary_stats(df: DataFrame, ts: str = "ts") -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("Class") == 1).alias("f"),
         F.sum("Amount").alias("a"),
+        F.count("Amount").alias("c"),
         F.max("Amount").alias("m"),
     )
     grains = F.inline(
@@ -164,14 +171,14 @@ def summary_stats(df: DataFrame, ts: str = "ts") -> DataFrame:
         )
     )
     return (
-        days.select("n", "f", "a", "m", grains)
+        days.select("n", "f", "a", "c", "m", grains)
         .groupBy("aggregation_level", "date")
         .agg(
             F.sum("n").alias("total_transactions"),
             F.sum("f").alias("fraud_count"),
             (F.sum("f") / F.sum("n")).alias("fraud_rate"),
             F.sum("a").alias("total_amount"),
-            (F.sum("a") / F.sum("n")).alias("avg_amount"),
+            F.try_divide(F.sum("a"), F.sum("c")).alias("avg_amount"),
             F.max("m").alias("max_amount"),
         )
     )

@@ -16,7 +16,6 @@ from txnlake.schemas import HOURLY_EXPECTED, SILVER_EXPECTED
 
 _NUMBERS = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType)
 TOP_VALUES = 5
-TEXT_COLUMNS = 5
 
 
 def _metric(section: str, item: str, value: Column) -> Column:
@@ -60,8 +59,8 @@ def dataset(df: DataFrame, **limits) -> DataFrame:
 
 
 def categorical(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Distinct values and the five most frequent ones of the first five text columns."""
-    text = list(cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)][:TEXT_COLUMNS])
+    """Distinct values and the five most frequent ones of every text column."""
+    text = list(cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])
     counts = unpivoted(df, text, kind="STRING").where("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
     distinct = counts.groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values"))
     w = Window.partitionBy("column").orderBy(F.desc("count"), "value")

@@ -9,19 +9,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.functions.hashing import key_hash
-from txnlake.operators import scale
+from txnlake.functions.hashing import in_share
 from txnlake.schemas import BRONZE_COLS, REQUIRED_BRONZE, SILVER_ENGINEERED, V_COLS
 
 FAIL, WARN = "fail", "warn"
 # Bounds of the rules.
-MIN_ROWS, MAX_ROWS = 1_000, 1_000_000
+MIN_ROWS = 1_000
 AMOUNT_MAX = 100_000.0
 EXPECTED_AMOUNT_MAX = 50_000.0
-BRONZE_COMPONENT, BRONZE_CHECKED = 100.0, 5
-SILVER_COMPONENT, SILVER_CHECKED = 50.0, 3
-VALIDATION_ROWS = 10_000
-SAMPLE_SEED = 42
+BRONZE_COMPONENT, SILVER_COMPONENT = 100.0, 50.0
+VALIDATION_SHARE, SAMPLE_SEED = 0.1, 42
 
 
 @dataclass(frozen=True)
@@ -77,7 +74,7 @@ def component_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c[:1] == "V" and c[1:].isdigit()]
 
 
-def row_count_rules(low: int = MIN_ROWS, high: int | None = MAX_ROWS) -> list[Rule]:
+def row_count_rules(low: int = MIN_ROWS, high: int | None = None) -> list[Rule]:
     rules = [Rule("row_count_min", "*", _rows(), lambda v: v >= low)]
     if high is not None:
         rules.append(Rule("row_count_max", "*", _rows(), lambda v: v <= high))
@@ -100,7 +97,7 @@ def time_rules() -> list[Rule]:
     return [Rule("time_nonnegative", "Time", F.min("Time"), lambda v: v >= 0)]
 
 
-def component_rules(cols: Sequence[str] = V_COLS[:BRONZE_CHECKED]) -> list[Rule]:
+def component_rules(cols: Sequence[str] = V_COLS) -> list[Rule]:
     return _component_rules(cols, BRONZE_COMPONENT, WARN, "pca_range")
 
 
@@ -134,7 +131,7 @@ def silver_hour_rules() -> list[Rule]:
     ]
 
 
-def silver_component_rules(cols: Sequence[str] = V_COLS[:SILVER_CHECKED]) -> list[Rule]:
+def silver_component_rules(cols: Sequence[str] = V_COLS) -> list[Rule]:
     return _component_rules(cols, SILVER_COMPONENT, FAIL, "silver_pca_range")
 
 
@@ -149,7 +146,7 @@ def silver_rules() -> list[Rule]:
     ]
 
 
-def component_offenders(df: DataFrame, cols: Sequence[str] = V_COLS[:SILVER_CHECKED], limit: float = SILVER_COMPONENT) -> DataFrame:
+def component_offenders(df: DataFrame, cols: Sequence[str] = V_COLS, limit: float = SILVER_COMPONENT) -> DataFrame:
     """Columns whose range leaves the limits, with that range."""
     wide = df.agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("lo", F.min), ("hi", F.max))])
     rows = [
@@ -237,10 +234,9 @@ def expect_between(df: DataFrame, column: str = "Amount", low: float = 0.0, high
     return _expectation(df, "between", column, ~F.col(column).between(low, high))
 
 
-def validation_sample(df: DataFrame, rows: int = VALIDATION_ROWS, key: str = "id") -> DataFrame:
-    """A repeatable sample: the rows with the smallest hash of the key."""
-    hashed = df.withColumn("_hash", key_hash(F.col(key), SAMPLE_SEED, 15))
-    return scale.smallest(hashed, "_hash", lambda _: rows).drop("_hash")
+def validation_sample(df: DataFrame, share: float = VALIDATION_SHARE, key: str = "id") -> DataFrame:
+    """A repeatable share of the keys."""
+    return df.where(in_share(F.col(key), share, SAMPLE_SEED))
 
 
 ACCURATE_AMOUNT, ACCURATE_COMPONENT = 25_000.0, 10.0

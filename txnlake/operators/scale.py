@@ -7,7 +7,7 @@ loop. The helpers here give the same results from range sorts, counts and prefix
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
@@ -25,22 +25,10 @@ BLOCK_ROWS = 500_000
 GATHER_ROWS = 100_000
 # A value held by more than one row in this many is looked up by broadcast.
 HOT_SHARE = 1000
-# Tables the planner estimates below this need no check for hot keys: one task can hold all of it.
-SMALL_BYTES = 256 * 1024 * 1024
 
 _ROW_BITS = 33
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The planner's size estimate, the one it uses itself to choose join strategies.
-
-    A client without a local planner counts as large.
-    """
-    if not hasattr(df, "_jdf"):
-        return SMALL_BYTES + 1
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def with_scalar(df: DataFrame, stats: DataFrame, name: str) -> DataFrame:
     """Add the single value of a one-row table as a column.
 
@@ -138,7 +126,6 @@ def rolling(
     outputs: dict[str, str],
     hot_rows: int = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
-    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """Statistics of ``value`` over the current and the ``rows - 1`` preceding rows, per key or overall.
 
@@ -148,8 +135,6 @@ def rolling(
     """
     if not keys:
         return _rolling_blocks(df, [], order, rows, value, outputs, block_rows)
-    if estimated_bytes(df) <= small_bytes:
-        return _framed(df, keys, order, rows, value, outputs)
     hot = (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
     )
@@ -158,8 +143,9 @@ def rolling(
     if hot.isEmpty():
         return _framed(df, keys, order, rows, value, outputs)
     on = [df[k].eqNullSafe(hot[k]) for k in keys]
-    cold_part = _framed(df.join(F.broadcast(hot), on, "left_anti"), keys, order, rows, value, outputs)
-    hot_part = _rolling_blocks(df.join(F.broadcast(hot), on, "left_semi"), keys, order, rows, value, outputs, block_rows)
+    # One entry per ``hot_rows`` rows of the table: the planner decides how to join it.
+    cold_part = _framed(df.join(hot, on, "left_anti"), keys, order, rows, value, outputs)
+    hot_part = _rolling_blocks(df.join(hot, on, "left_semi"), keys, order, rows, value, outputs, block_rows)
     return cold_part.unionByName(hot_part)
 
 
@@ -343,26 +329,6 @@ def exact_quantiles(
     )
 
 
-def smallest(df: DataFrame, order: str, n: Callable[[int], int]) -> DataFrame:
-    """The rows smallest by a numeric ``order`` column; ``n`` gives their number from the row count.
-
-    An approximate cut drops the bulk of the rows before the top-n; a count of the rows below the
-    cut guards it, so the result is exact.
-    """
-    grid = [i / 1000 for i in range(1, 1001)]
-    stats = df.agg(F.count(F.lit(1)).alias("rows"), F.percentile_approx(order, grid, 10000).alias("q")).first()
-    rows = stats["rows"]
-    wanted = min(n(rows), rows)
-    if wanted <= 0:
-        return df.limit(0)
-    top = df
-    if stats["q"]:
-        below = F.col(order).isNull() | (F.col(order) <= stats["q"][min(999, math.ceil(wanted / rows * 1000) + 1)])
-        if df.where(below).count() >= wanted:
-            top = df.where(below)
-    return top.orderBy(order).limit(wanted)
-
-
 def pairs_within(
     left: DataFrame,
     right: DataFrame,

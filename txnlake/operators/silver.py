@@ -11,17 +11,18 @@ from pyspark.sql import types as T
 from txnlake.functions import amount as amt
 from txnlake.functions import components as comp
 from txnlake.functions import timing
+from txnlake.functions.hashing import in_share
 from txnlake.operators import scale
 from txnlake.schemas import V_COLS
 from txnlake.session import materialize
 
-# Fixed values.
+# Fixed values; the steps are those every run takes, in order.
 DEFAULT_AMOUNT = 22.0
 DEFAULT_OTHER = 0.0
 FLAGGED = V_COLS[:5]
 OUTLIER_LOW, OUTLIER_HIGH = -3.0, 3.0
 IQR_FACTOR = 1.5
-SAMPLE_ROWS, SAMPLE_SHARE = 50_000, 0.1
+SAMPLE_SHARE, SAMPLE_SEED = 0.1, 42
 STEPS = (
     "duplicate_removal",
     "missing_value_handling",
@@ -39,9 +40,9 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC) and f.name not in NOT_FILLED]
 
 
-def sample(df: DataFrame, max_rows: int = SAMPLE_ROWS, share: float = SAMPLE_SHARE, order: str = "id") -> DataFrame:
-    """The first rows by ``order``: a share of the table, at most ``max_rows``."""
-    return scale.smallest(df, order, lambda rows: min(max_rows, int(rows * share)))
+def sample(df: DataFrame, share: float = SAMPLE_SHARE, key: str = "id") -> DataFrame:
+    """A repeatable share of the keys, with all rows of each."""
+    return df.where(in_share(F.col(key), share, SAMPLE_SEED))
 
 
 def dedup(df: DataFrame) -> DataFrame:
@@ -161,7 +162,6 @@ def build(
     bronze: DataFrame,
     percentile: bool = True,
     amount_outlier: bool = False,
-    sampled: bool = False,
     processed_at: Column | None = None,
     clean: DataFrame | None = None,
 ) -> DataFrame:
@@ -172,23 +172,19 @@ def build(
     :func:`cleaned`; without either column nothing is written in between.
     """
     total = bronze.agg(F.count(F.lit(1))).scalar()
-    source, size = bronze, total
-    if sampled:
-        source = materialize(sample(bronze), "silver-sample")
-        size = source.agg(F.count(F.lit(1))).scalar()
     if clean is not None:
         df = clean
     elif percentile or amount_outlier:
-        df = cleaned(source)
+        df = cleaned(bronze)
     else:
-        df = fill_missing(dedup(source))
+        df = fill_missing(dedup(bronze))
     if amount_outlier:
         df = outlier_iqr(df, ["Amount"])
     df = amount_log(time_cast(df))
     if percentile:
         df = amount_percentile(df)
     df = outlier_fixed(time_features(amount_category(df)))
-    return filter_label(metadata(df, size, total, "SAMPLE" if sampled else "FULL", processed_at))
+    return filter_label(metadata(df, total, total, processed_at=processed_at))
 
 
 def stored_metrics(bronze: DataFrame, source: DataFrame, clean: DataFrame, silver: DataFrame, mode: str = "FULL") -> DataFrame:
@@ -213,9 +209,11 @@ def _metric_columns(counted: DataFrame, mode: str) -> DataFrame:
     )
 
 
-def run_metrics(bronze: DataFrame, sampled: bool = False) -> DataFrame:
-    """Counts of one run: original, processed, final, duplicates, removed and processed share in %."""
-    source = sample(bronze) if sampled else bronze
+def run_metrics(bronze: DataFrame, taken: DataFrame | None = None) -> DataFrame:
+    """Counts of one run: original, processed, final, duplicates, removed and processed share in %.
+
+    ``taken``: the rows of a run over a sample."""
+    source = bronze if taken is None else taken
     groups = source.groupBy(*source.columns).agg(F.count(F.lit(1)).alias("_n"))
     counted = groups.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("sample_size"),
@@ -223,7 +221,7 @@ def run_metrics(bronze: DataFrame, sampled: bool = False) -> DataFrame:
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates_removed"),
     )
     counted = scale.with_scalar(counted, bronze.agg(F.count(F.lit(1))), "original_total_records")
-    return _metric_columns(counted, "SAMPLE" if sampled else "FULL")
+    return _metric_columns(counted, "FULL" if taken is None else "SAMPLE")
 
 
 def lineage_report(checks: DataFrame, metrics: DataFrame, source: str, destination: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.functions.amount import amount_band
+from txnlake.functions.amount import amount_band, exact_mean
 from txnlake.functions.components import unpivoted
 from txnlake.functions.timing import HOUR
 from txnlake.operators import scale
@@ -46,12 +46,14 @@ def amount_by_class(current: DataFrame, **limits) -> DataFrame:
     """Amount statistics per label, with exact interpolated percentiles."""
     stats = current.groupBy("Class").agg(
         F.count(F.lit(1)).alias("transaction_count"),
-        F.avg("Amount").alias("avg_amount"),
+        exact_mean("Amount").alias("avg_amount"),
         F.stddev("Amount").alias("stddev_amount"),
         F.min("Amount").alias("min_amount"),
         F.max("Amount").alias("max_amount"),
     )
-    series = {str(k): F.when(F.col("Class") == k, F.col("Amount")) for k in (0, 1)}
+    # One series per label that occurs: few by nature.
+    labels = [r["Class"] for r in current.where("Class IS NOT NULL").select("Class").distinct().collect()]
+    series = {str(k): F.when(F.col("Class") == k, F.col("Amount")) for k in sorted(labels)}
     quantiles = scale.exact_quantiles(current, series, [0.5, 0.95], **limits)
     wide = quantiles.groupBy(F.col("series").cast("int").alias("Class")).agg(
         F.max(F.when(F.col("prob") == 0.5, F.col("value"))).alias("median_amount"),
@@ -73,7 +75,7 @@ def hour_buckets(current: DataFrame, first: int = 24) -> DataFrame:
             F.count(F.lit(1)).alias("total_transactions"),
             _frauds().alias("fraud_count"),
             _rate_percent().alias("fraud_rate_percent"),
-            F.round(F.avg("Amount"), 2).alias("avg_amount"),
+            F.round(exact_mean("Amount"), 2).alias("avg_amount"),
         )
         .orderBy("hour_bucket")
         .limit(first)
@@ -117,7 +119,7 @@ def dataset_compare(sets: dict[str, DataFrame]) -> DataFrame:
                 F.lit(n).alias("dataset"),
                 F.count(F.lit(1)).alias("record_count"),
                 _rate_percent().alias("fraud_rate_percent"),
-                F.round(F.avg("Amount"), 2).alias("avg_amount"),
+                F.round(exact_mean("Amount"), 2).alias("avg_amount"),
                 F.count_if(F.col("V1_IsOutlier") == 1).alias("V1_outliers"),
             )
             for n, df in sets.items()
@@ -156,7 +158,7 @@ def fraud_samples(current: DataFrame, top: int = 20) -> DataFrame:
 
 
 def stream_sample(raw: DataFrame, rows: int = 5) -> DataFrame:
-    return raw.select("json_data").limit(rows)
+    return raw.select("json_data").orderBy("json_data").limit(rows)
 
 
 def row_count(df: DataFrame) -> DataFrame:

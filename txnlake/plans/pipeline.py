@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from txnlake.functions.timing import seconds_to_ntz
 from txnlake.operators import gold, ml, profile, quality, silver
 from txnlake.schemas import CORRUPT, REQUIRED_BRONZE
-from txnlake.session import materialize
 from txnlake.sources import files
 from txnlake.streaming import decode, features, rolling, sinks
 
@@ -37,24 +36,21 @@ def land_bronze(spark: SparkSession, csv_path: str, lake: str, version: str) ->
     return with_keys(spark.read.parquet(path).where("NOT malformed").drop("malformed", CORRUPT))
 
 
-def bronze_to_silver(
-    spark: SparkSession, csv_path: str, lake: str, version: str, sampled: bool = False
-) -> dict[str, str]:
+def bronze_to_silver(spark: SparkSession, csv_path: str, lake: str, version: str) -> dict[str, str]:
     """Validate, clean and write silver (a versioned copy and ``current``) and its run report.
 
     The text is parsed once: typed rows land as Parquet, malformed lines beside them.
     """
     bronze = land_bronze(spark, csv_path, lake, version)
     quality.require_columns(bronze, REQUIRED_BRONZE)
-    source = materialize(silver.sample(bronze), "silver-sample") if sampled else bronze
-    clean = silver.cleaned(source)
-    mode = "SAMPLE" if sampled else "FULL"
-    table = silver.build(source, amount_outlier=True, clean=clean)
-    table = table.withColumns({"ProcessingMode": F.lit(mode), "OriginalTotalRecords": bronze.agg(F.count(F.lit(1))).scalar()})
+    clean = silver.cleaned(bronze)
+    table = silver.build(bronze, amount_outlier=True, clean=clean)
     versioned, current = files.write_versioned(table, f"{lake}/silver", version)
     checks = quality.evaluate(bronze, quality.bronze_rules())
-    metrics = silver.stored_metrics(bronze, source, clean, spark.read.parquet(versioned), mode)
+    metrics = silver.stored_metrics(bronze, bronze, clean, spark.read.parquet(versioned))
     report = silver.lineage_report(checks, metrics, csv_path, versioned)
+    expected = [quality.expect_in_set(bronze), quality.expect_between(bronze)]
+    report = report.unionByName(profile.gold_report({"expectations": expected[0].unionByName(expected[1])}))
     files.write_gold(report, f"{lake}/reports/silver-{version}")
     return {"versioned": versioned, "current": current, "report": f"{lake}/reports/silver-{version}"}
 
@@ -67,11 +63,12 @@ def silver_to_gold(spark: SparkSession, lake: str, version: str, rolling_by: str
     source = files.latest_snapshot(spark, f"{lake}/silver")
     rows = spark.read.parquet(source)
     paths = {n: f"{lake}/gold/{n}" for n in (HOURLY, FEATURES, RISK, SUMMARY)}
-    files.write_gold(gold.build_hourly(rows, version), paths[HOURLY])
+    checked = quality.report(quality.evaluate(rows, quality.silver_rules()))
+    files.write_gold(profile.gold_report({"silver_rules": checked}), f"{lake}/reports/silver-rules-{version}")
+    files.write_gold(gold.with_amount_categories(gold.build_hourly(rows, version), rows), paths[HOURLY])
     features_table = ml.with_split(ml.build(rows, rolling=rolling_by))
     files.write_gold(features_table, paths[FEATURES], ["split"])
-    flagged = rows.where(F.col("account_id").isNotNull())
-    files.write_gold(gold.risk_profiles(flagged), paths[RISK])
+    files.write_gold(gold.risk_profiles(rows), paths[RISK])
     files.write_gold(gold.summary_stats(rows), paths[SUMMARY])
     files.write_gold(gold_report(spark, lake), f"{lake}/reports/gold-{version}")
     return paths

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txnlake.functions.amount import exact_mean
 from txnlake.functions.components import summed
 from txnlake.operators.silver import FLAGGED
 from txnlake.schemas import STREAM_NESTED_SCHEMA, V_COLS
@@ -57,7 +58,7 @@ def fraud_summary(combined: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_transactions"),
         F.count_if(F.col("Class") == 1).alias("fraud_transactions"),
         F.avg(F.col("Class").cast("double")).alias("fraud_rate"),
-        F.avg("Amount").alias("avg_amount"),
+        exact_mean("Amount").alias("avg_amount"),
         F.stddev("Amount").alias("stddev_amount"),
         F.min("Amount").alias("min_amount"),
         F.max("Amount").alias("max_amount"),

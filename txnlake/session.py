@@ -64,13 +64,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = work_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash the rows of a scan over all cores if it has fewer tasks than cores.
-
-    One small file is one task; wide features derived from it would use one core. A scan with enough
-    files or row groups is left alone, so nothing is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
