@@ -706,8 +706,9 @@ def st_quarantine(s, d):
 @query
 def st_rolling_100_stream(s, d):
     """The rolling state of the stream."""
-    out = rolling_state.rolling_stream(_record_stream(s, d))
-    return sinks.run_to_end(out, "rolling").select("transaction_id", *features.ROLLING_COLS)
+    records, out = _record_stream(s, d), work_path(s, "rolling")
+    rolling_state.rolling_files(records, out, work_path(s, "rolling-state"), work_path(s, "rolling-cp"), once=True).awaitTermination()
+    return rolling_state.read_rolled(records, out).select("transaction_id", *features.ROLLING_COLS)
 
 
 @query

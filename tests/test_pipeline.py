@@ -42,7 +42,7 @@ def test_commands(spark, lake):
     }
     for kind in ("fraud", "ml", "risk", "summary"):
         assert result(spark, ["validate", kind, lake]).count() > 0
-    assert result(spark, ["analyze", f"{lake}/gold/{pipeline.HOURLY}"]).count() == 13
+    assert result(spark, ["analyze", f"{lake}/gold/{pipeline.HOURLY}"]).count() == 14
     assert result(spark, ["report", lake]).select("section").distinct().count() == 5
     assert result(spark, ["validate", "nothing", lake]) is None
 
@@ -84,11 +84,12 @@ def test_sample_is_a_share_of_keys(spark, sf_dir):
 
 
 def test_stream_job(spark, sf_dir, tmp_path):
-    messages = fx.cdc_messages(spark, sf_dir).select("value")
+    deleted = spark.createDataFrame([('{"id": 1, "amount": 2.0, "__deleted": "true"}',)], "value string")
+    messages = fx.cdc_messages(spark, sf_dir).select("value").unionByName(deleted)
     messages.write.text(str(tmp_path / "in"))
     for query in pipeline.stream_job(tables.read_text_stream(spark, str(tmp_path / "in")), str(tmp_path), once=True):
         query.awaitTermination()
     written = files.read_json_text(spark, f"{tmp_path}/stream/records").count()
     rejected = spark.read.parquet(f"{tmp_path}/stream/quarantine").count()
-    assert written + rejected == messages.count()
+    assert written + rejected == messages.count() - 1
     assert rejected == fx.unique_txn(spark, sf_dir).where("id % 12 IN (1, 2, 3, 4)").count()

@@ -122,30 +122,50 @@ def halves(records, tmp_path):
     return folder, records.where(us <= middle).coalesce(1), records.where(us > middle).coalesce(1)
 
 
-def test_rolling_stream_restarts_from_its_checkpoint(spark, records, tmp_path):
-    folder, early, late = halves(records, tmp_path)
-    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
-    for part in (early, late):
+def rolled(spark, records, parts, tmp_path, delay=None):
+    """The parts as micro-batches of one stream."""
+    folder, out, state, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state", "cp"))
+    for part in parts:
         part.write.mode("append").parquet(folder)
-        stream = rolling_state.rolling_stream(spark.readStream.schema(records.schema).parquet(folder))
-        schema = stream.schema
-        sinks.table_files(stream, out, checkpoint, once=True).awaitTermination()
+        stream = spark.readStream.schema(records.schema).parquet(folder)
+        rolling_state.rolling_files(stream, out, state, checkpoint, delay, once=True).awaitTermination()
+    return rolling_state.read_rolled(records, out)
+
+
+def assert_rolled(got, want):
     cols = ["transaction_id", *features.ROLLING_COLS]
-    got = {r[0]: r[1:] for r in spark.read.schema(schema).parquet(out).select(*cols).collect()}
-    want = {r[0]: r[1:] for r in features.with_rolling(records).select(*cols).collect()}
+    got = {r[0]: r[1:] for r in got.select(*cols).collect()}
+    want = {r[0]: r[1:] for r in want.select(*cols).collect()}
     assert got.keys() == want.keys()
     for k in want:
         assert got[k] == pytest.approx(want[k], abs=1e-9)
 
 
-def test_rolling_stream_keeps_all_columns(spark, records, tmp_path):
-    records.limit(50).write.parquet(str(tmp_path / "in"))
-    stream = rolling_state.rolling_stream(spark.readStream.schema(records.schema).parquet(str(tmp_path / "in")))
-    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
-    sinks.table_files(stream, out, checkpoint, once=True).awaitTermination()
-    back = spark.read.schema(stream.schema).parquet(out).select(*records.columns)
-    original = spark.read.schema(records.schema).parquet(str(tmp_path / "in"))
-    assert back.exceptAll(original).count() == 0 and original.exceptAll(back).count() == 0
+def test_rolling_stream_restarts_from_its_checkpoint(spark, records, tmp_path):
+    _, early, late = halves(records, tmp_path)
+    assert_rolled(rolled(spark, records, (early, late), tmp_path), features.with_rolling(records))
+
+
+def test_rolling_stream_of_a_busy_account_with_late_rows(spark, records, tmp_path):
+    """One account has a third of the rows; every tenth row comes a batch late; the last batch brings time forward."""
+    busy = records.withColumn("account_id", F.when(F.col("transaction_id") % 3 == 0, 7).otherwise(F.col("account_id")))
+    span = busy.selectExpr("min(time_stamp) AS a", "max(time_stamp) AS b").first()
+    third = (span["b"] - span["a"]) / 3
+    part = F.when(F.col("time_stamp") < F.lit(span["a"] + third), 0).when(F.col("time_stamp") < F.lit(span["a"] + 2 * third), 1).otherwise(2)
+    dealt = busy.withColumn("part", part + (F.col("transaction_id") % 10 == 4).cast("int")).cache()
+    last = busy.limit(1).withColumns({"transaction_id": F.lit(10**9).cast("long"), "account_id": F.lit(-1).cast("long"), "time_stamp": F.lit(span["b"] + 4 * third).cast("timestamp_ntz")})
+    parts = [dealt.where(F.col("part") == i).drop("part").coalesce(1) for i in range(4)] + [last]
+    hours = int(third.total_seconds() // 3600) + 1
+    got = rolled(spark, busy, parts, tmp_path, delay=f"{hours} HOURS")
+    assert_rolled(got.where(F.col("transaction_id") < 10**9), features.with_rolling(busy))
+
+
+def test_rolling_stream_keeps_all_columns_and_repeats_safely(spark, records, tmp_path):
+    some = records.orderBy("transaction_id").limit(50)
+    once = rolling_state.roll(some, 0, str(tmp_path / "state")).collect()
+    assert rolling_state.roll(some, 0, str(tmp_path / "state")).exceptAll(spark.createDataFrame(once, rolling_state.with_rolling(some).schema)).count() == 0
+    back = rolling_state.roll(some, 0, str(tmp_path / "state")).select(*records.columns)
+    assert back.exceptAll(some).count() == 0 and some.exceptAll(back).count() == 0
 
 
 def test_velocity_stream_equals_batch_for_closed_windows(spark, records, tmp_path):

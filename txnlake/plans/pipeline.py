@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.functions.timing import seconds_to_ntz
+from txnlake.functions.timing import hour_bucket, seconds_to_ntz
 from txnlake.operators import gold, ml, profile, quality, silver
 from txnlake.schemas import CORRUPT, REQUIRED_BRONZE
+from txnlake.session import materialize
 from txnlake.sources import files
 from txnlake.streaming import decode, features, rolling, sinks
 
@@ -89,16 +90,23 @@ def gold_report(spark: SparkSession, lake: str) -> DataFrame:
     )
 
 
-def stream_job(messages: DataFrame, lake: str, once: bool = False) -> list:
-    """Decode, derive, roll and write a change stream; alerts and undecodable records get own folders."""
-    valid, rejected = decode.split_valid(messages)
-    record = features.feature_record(decode.typed(valid), F.current_timestamp())
+def stream_job(messages: DataFrame, lake: str, once: bool = False, delay: str | None = None) -> list:
+    """Decode, derive, roll and write a change stream; alerts and undecodable records get own folders.
 
-    def at(name: str) -> tuple[str, str]:
-        return f"{lake}/stream/{name}", f"{lake}/checkpoints/{name}"
-
-    return [
-        sinks.json_files(rolling.rolling_stream(record), *at("records"), once=once),
-        sinks.table_files(features.alerts(record), *at("alerts"), once=once),
-        sinks.table_files(rejected, *at("quarantine"), once=once),
-    ]
+    A micro-batch is decoded once for all three outputs; each goes to a folder of its batch, so that
+    a repeated micro-batch replaces what it wrote. Rewritten deletes are no transactions.
+    """
+    root = f"{lake}/stream"
+
+    def write(batch: DataFrame, number: int) -> None:
+        pictured = materialize(decode.with_image(batch), "stream-images")
+        valid, rejected = decode.parted(pictured)
+        record = materialize(features.feature_record(decode.typed(decode.live(valid)), F.current_timestamp()), "stream-records")
+        rolled = rolling.roll(record, number, f"{root}/state", delay)
+        hours = rolled.withColumn("hour_bucket", hour_bucket(F.col("processed_at")))
+        hours.write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("hour_bucket").json(f"{root}/records/batch={number}")
+        features.alerts(record).write.mode("overwrite").parquet(f"{root}/alerts/batch={number}")
+        rejected.write.mode("overwrite").parquet(f"{root}/quarantine/batch={number}")
+
+    writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", f"{lake}/checkpoints/stream")
+    return [sinks.trigger(writer, once).start()]

@@ -55,10 +55,19 @@ def with_image(df: DataFrame, value: str = "value") -> DataFrame:
 
 def split_valid(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """Decodable records and the quarantined rest."""
-    imaged = with_image(df, value)
+    return parted(with_image(df, value))
+
+
+def parted(imaged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of :func:`with_image` with an image, and those without."""
     return imaged.where(F.col(IMAGE).isNotNull()), imaged.where(F.col(IMAGE).isNull()).drop(IMAGE, KEYS)
 
 
+def live(valid: DataFrame) -> DataFrame:
+    """Without the deletes the connector rewrites to records."""
+    return valid.where(F.coalesce(F.get_json_object(IMAGE, "$.__deleted"), F.lit("false")) != "true")
+
+
 def _number(name: str) -> Column:
     """Typed value; where there is none: 0 for an absent member, else the member's text as a number."""
     return F.expr(

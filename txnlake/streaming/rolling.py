@@ -1,69 +1,66 @@
-"""Rolling state of the last 100 records per account."""
+"""Rolling state of the last 100 records per account, in Spark's own operators.
 
-from __future__ import annotations
+A micro-batch joins the last 99 records kept per account, the frames are computed as in the batch form
+(which splits busy accounts), and the new last records are kept for the next. Records newer than the
+horizon (the newest event time less ``delay``) wait for the next micro-batch, so that late ones still fall
+into their place. The state lies in two folders used in turn: a repeated micro-batch finds the state it
+began with and replaces its own output.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
+
+from txnlake.operators import scale
+from txnlake.streaming.features import ROLLING_COLS, ROLLING_ROWS, with_rolling
+from txnlake.streaming.sinks import trigger
+
+KEPT = ["account_id", "transaction_id", "time_stamp", "amount_log"]
+
 
-from txnlake.streaming.features import ROLLING_COLS, ROLLING_ROWS
+def last_records(rows: DataFrame, size: int = ROLLING_ROWS) -> DataFrame:
+    """The last ``size - 1`` records per account; all but these leave before the shuffle."""
+    newest = Window.partitionBy("account_id").orderBy(F.desc("time_stamp"), F.desc("transaction_id"))
+    return rows.select(*KEPT).withColumn("_place", F.row_number().over(newest)).where(F.col("_place") < size).drop("_place")
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE_SCHEMA = "amounts array<double>"
-# What the state step reads; all other columns travel as one text, untouched by Python.
-STEP_COLS = ["account_id", "transaction_id", "time_stamp", "amount_log"]
-TEXT_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
+def roll(batch: DataFrame, number: int, state: str, delay: str | None = None, **limits) -> DataFrame:
+    """Records of one micro-batch (and those that waited) with their rolling columns; writes the new state."""
+    spark = batch.sparkSession
+    before, after = f"{state}/{(number + 1) % 2}", f"{state}/{number % 2}"
+    if number:
+        waiting = spark.read.schema(batch.schema).parquet(f"{before}/waiting")
+        kept = spark.read.schema(batch.select(*KEPT).schema).parquet(f"{before}/kept")
+    else:
+        waiting, kept = batch.limit(0), batch.limit(0).select(*KEPT)
+    seen = batch.unionByName(waiting)
+    if delay is None:
+        ready, later = seen, seen.limit(0)
+    else:
+        known = seen.select("time_stamp").unionByName(kept.select("time_stamp"))
+        horizon = known.agg(F.max("time_stamp") - F.expr(f"INTERVAL {delay}"))
+        held = scale.with_scalar(seen, horizon, "_horizon")
+        waits = F.coalesce(F.col("time_stamp") > F.col("_horizon"), F.lit(False))
+        ready, later = held.where(~waits).drop("_horizon"), held.where(waits).drop("_horizon")
+    later.write.mode("overwrite").parquet(f"{after}/waiting")
+    last_records(kept.unionByName(ready.select(*KEPT))).write.mode("overwrite").parquet(f"{after}/kept")
+    both = ready.withColumn("_new", F.lit(True)).unionByName(kept.withColumn("_new", F.lit(False)), allowMissingColumns=True)
+    return with_rolling(both, **limits).where("_new").drop("_new")
 
-def frame_statistics(values: np.ndarray, first: int, size: int = ROLLING_ROWS) -> np.ndarray:
-    """Mean, population deviation, minimum, maximum and count / 5 of the frame ending at each place from ``first``."""
-    # Frames as rows of one array; places before the first value stay empty (NaN).
-    padded = np.concatenate([np.full(size - 1, np.nan), values])
-    frames = np.lib.stride_tricks.sliding_window_view(padded, size)[first:]
-    return np.column_stack(
-        [
-            np.nanmean(frames, axis=1),
-            np.nanstd(frames, axis=1),
-            np.nanmin(frames, axis=1),
-            np.nanmax(frames, axis=1),
-            (~np.isnan(frames)).sum(axis=1) / 5.0,
-        ]
-    )
 
+def rolling_files(records: DataFrame, path: str, state: str, checkpoint: str, delay: str | None = None, once: bool = False) -> StreamingQuery:
+    """Write a stream of feature records with rolling columns below ``<path>/batch=<n>``."""
 
-def rolling_stream(records: DataFrame, size: int = ROLLING_ROWS) -> DataFrame:
-    """Add the rolling columns to a stream of feature records.
+    def write(batch: DataFrame, number: int) -> None:
+        roll(batch, number, state, delay).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    The state of a key is one array of its last 99 amounts. Records of a micro-batch are taken in
-    event order, so files that arrive in order give the batch result.
-    """
-    spark = records.sparkSession
-    spark.conf.set(PROVIDER, ROCKSDB)
-    rest = [f for f in records.schema.fields if f.name not in STEP_COLS]
-    packed = records.select(*STEP_COLS, F.to_json(F.struct(*[f.name for f in rest]), TEXT_OPTIONS).alias("_rest"))
-    schema = T.StructType([*packed.schema.fields, *[T.StructField(c, T.DoubleType()) for c in ROLLING_COLS]])
-    names = schema.names
+    writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return trigger(writer, once).start()
 
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(parts), ignore_index=True)
-        batch = batch.sort_values(["time_stamp", "transaction_id"], kind="stable", ignore_index=True)
-        old = np.asarray(state.get[0] if state.exists else [], dtype=float)
-        values = np.concatenate([old, batch["amount_log"].to_numpy(dtype=float)])
-        stats = frame_statistics(values, len(old), size)
-        state.update(([float(x) for x in values[-(size - 1) :]],))
-        for j, name in enumerate(ROLLING_COLS):
-            batch[name] = stats[:, j]
-        yield batch[names]
 
-    stepped = packed.groupBy("account_id").applyInPandasWithState(
-        step, schema, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
-    )
-    opened = stepped.withColumn("_rest", F.from_json("_rest", T.StructType(rest), TEXT_OPTIONS))
-    own = [F.col(c) if c in STEP_COLS else F.col(f"_rest.{c}") for c in records.columns]
-    return opened.select(*own, *ROLLING_COLS)
+def read_rolled(records: DataFrame, path: str) -> DataFrame:
+    """What :func:`rolling_files` wrote."""
+    schema = ", ".join([records.schema.toDDL(), *[f"{c} DOUBLE" for c in ROLLING_COLS]])
+    return records.sparkSession.read.schema(schema).parquet(path)

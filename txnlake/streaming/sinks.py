@@ -13,7 +13,7 @@ from txnlake.session import work_path
 CHECKPOINT_PERIOD = "60 seconds"
 
 
-def _trigger(writer: DataStreamWriter, once: bool) -> DataStreamWriter:
+def trigger(writer: DataStreamWriter, once: bool) -> DataStreamWriter:
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=CHECKPOINT_PERIOD)
 
 
@@ -41,7 +41,7 @@ def json_files(
         .partitionBy("hour_bucket")
         .outputMode("append")
     )
-    return _trigger(writer, once).start()
+    return trigger(writer, once).start()
 
 
 def table_files(rows: DataFrame, path: str, checkpoint: str, once: bool = False, fmt: str = "parquet"):
@@ -49,7 +49,7 @@ def table_files(rows: DataFrame, path: str, checkpoint: str, once: bool = False,
     writer = (
         rows.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
     )
-    return _trigger(writer, once).start()
+    return trigger(writer, once).start()
 
 
 def append_images(changes: DataFrame, path: str, checkpoint: str, once: bool = False):
@@ -64,7 +64,7 @@ def append_images(changes: DataFrame, path: str, checkpoint: str, once: bool = F
         images.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     writer = changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _trigger(writer, once).start()
+    return trigger(writer, once).start()
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
