@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 from decimal import Decimal
 
@@ -29,6 +30,7 @@ def session(cpus: int = 8) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="txnlake-checks-"))
     )
     for key, value in BUILDER_OPTIONS.items():
         builder = builder.config(key, value)

@@ -47,6 +47,18 @@ def test_commands(spark, lake):
     assert result(spark, ["validate", "nothing", lake]) is None
 
 
+def test_tables_views_and_queries_by_name(spark, lake, sf_dir):
+    names = {r["name"] for r in result(spark, ["register", lake]).collect()}
+    assert f"gold_ml.{pipeline.FEATURES}" in names and "fraud_detection_summary" in names
+    total = spark.sql(f"SELECT count(*) FROM gold_ml.{pipeline.FEATURES}").first()[0]
+    assert total == spark.read.parquet(f"{lake}/silver/current").count()
+    assert spark.sql("SELECT max(total_transactions) FROM fraud_detection_summary").first()[0] == total
+    for name in ("amount_ranges", "dataset_compare", "fraud_summary"):
+        assert result(spark, ["query", name, lake]).count() > 0
+    assert result(spark, ["query", "nothing", lake]) is None
+    assert result(spark, ["silver", lake]).where("section = 'rules'").count() > 0
+
+
 def test_report_names_steps(spark, lake):
     report = spark.read.parquet(f"{lake}/reports/silver-v1")
     steps = {r["value"] for r in report.where("item LIKE 'step_%'").collect()}

@@ -5,6 +5,9 @@ python -m txnlake list <lake>                           data sets with size and
 python -m txnlake analyze <parquet>                     profile of one data set
 python -m txnlake validate <fraud|ml|risk|summary> <lake>
 python -m txnlake report <lake>                         report over all gold tables
+python -m txnlake register <lake>                       tables and views in the catalog, by name
+python -m txnlake query <name> <lake>                   one of the analytic queries
+python -m txnlake silver <lake>                         profile and rules of the newest silver table
 """
 
 from __future__ import annotations
@@ -13,7 +16,8 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnlake.operators import profile
+from txnlake.operators import profile, quality
+from txnlake.plans import lake as lake_tables
 from txnlake.plans import pipeline
 from txnlake.session import BUILDER_OPTIONS, configure
 from txnlake.sources import files
@@ -42,6 +46,14 @@ def result(spark: SparkSession, args: list[str]) -> DataFrame | None:
             return check(spark.read.parquet(f"{lake}/gold/{name}"))
         case ["report", lake]:
             return pipeline.gold_report(spark, lake)
+        case ["register", lake]:
+            return spark.createDataFrame([(n,) for n in lake_tables.register(spark, lake)], "name string")
+        case ["query", name, lake] if name in lake_tables.QUERIES:
+            return lake_tables.query(spark, lake, name)
+        case ["silver", lake]:
+            rows = spark.read.parquet(files.latest_snapshot(spark, f"{lake}/silver"))
+            rules = quality.evaluate(rows, quality.silver_rules())
+            return profile.gold_report({"quality": profile.silver_quality(rows), "rules": rules})
     return None
 
 

@@ -28,7 +28,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder. A temporary one is made only for a local master."""
+    """The cluster's shared folder. Only where none is set and the master is local, as in a trial, is one made."""
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if configured:
         return configured.rstrip("/")

@@ -23,6 +23,14 @@ def create_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {fmt} LOCATION '{location}'")
 
 
+def create_folder_table(spark: SparkSession, name: str, location: str) -> None:
+    """External table over a written data set, with its columns and partitions."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} USING PARQUET LOCATION '{location}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
 def create_like(spark: SparkSession, name: str, like: str, location: str) -> None:
     """External table with the columns of another one, at its own location."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,21 +72,26 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 
 def latest_snapshot(spark: SparkSession, root: str, prefix: str = SNAPSHOT_PREFIX, default: str = "current") -> str:
     """Folder of the newest Parquet file below ``<root>/<prefix>*``, else the default folder."""
-    try:
-        files = list_files(spark, f"{root}/{prefix}*", "*.parquet")
-        folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
-        newest = files.agg(F.max_by(folder, F.struct("modificationTime", "path"))).first()[0]
-    except AnalysisException:
-        newest = None
+    if not exists(spark, f"{root}/{prefix}*"):
+        return f"{root}/{default}"
+    files = list_files(spark, f"{root}/{prefix}*", "*.parquet")
+    folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
+    newest = files.agg(F.max_by(folder, F.struct("modificationTime", "path"))).first()[0]
     return newest or f"{root}/{default}"
 
 
+def exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches; other faults of the file system are errors."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def read_with_fallback(spark: SparkSession, parquet_path: str, csv_path: str) -> DataFrame:
-    """Silver Parquet, or the bronze CSV where there is none."""
-    try:
+    """Silver Parquet, or the bronze CSV where there is none. A faulty silver folder is an error."""
+    if exists(spark, parquet_path):
         return spark.read.parquet(parquet_path)
-    except AnalysisException:
-        return read_csv(spark, csv_path).drop(CORRUPT)
+    return read_csv(spark, csv_path).drop(CORRUPT)
 
 
 def read_json_text(spark: SparkSession, path: str) -> DataFrame:
