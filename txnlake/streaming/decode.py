@@ -1,8 +1,8 @@
-"""CDC JSON to typed columns.
+"""CDC JSON to typed columns, one parse per message.
 
 A record is the row image at ``payload.after`` or, without one, a flat object with ``id`` and
-``amount``. The member names are read next to the typed values, since an absent member (default 0)
-differs from an explicit null (missing).
+``amount``. The message becomes a variant once; members are looked up in it, which tells an absent member
+(default 0) from an explicit null (missing), and a number from text.
 """
 
 from __future__ import annotations
@@ -14,13 +14,7 @@ from txnlake.functions import timing
 from txnlake.schemas import V_COLS
 
 IMAGE = "_image"
-KEYS = "_keys"
 COMPONENTS = [c.lower() for c in V_COLS]
-IMAGE_SCHEMA = ", ".join(
-    ["id LONG", "account_id LONG", "time_stamp LONG"]
-    + [f"{c} DOUBLE" for c in COMPONENTS]
-    + ["amount DOUBLE", "class INT", "created_at STRING", "processed_at STRING"]
-)
 CHANGE_SCHEMA = "id LONG, amount DOUBLE, class INT, __deleted STRING, __table STRING, __lsn LONG, __source_ts_ms LONG"
 
 
@@ -29,28 +23,28 @@ def _once(df: DataFrame, **structs: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in structs.items()]))))
 
 
+def _member(of: str, path: str, kind: str = "variant") -> str:
+    return f"try_variant_get({of}, '$.{path}', '{kind}')"
+
+
 def with_image(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add the text of the row image and its member names; null marks an undecodable record.
+    """Add the row image as a variant; null marks an undecodable record.
 
     An image that is null or empty falls back to the flat form. A payload that is explicitly null,
     or no object, makes the record undecodable.
     """
-    doc = _once(df, _names=F.json_object_keys(F.col(value)))
-    names = F.col("_names")
-    flat = F.when(F.array_contains(names, "id") & F.array_contains(names, "amount"), F.col(value))
-    payload = F.get_json_object(value, "$.payload")
-    after = F.get_json_object(value, "$.payload.after")
-    members = F.size(F.json_object_keys(after))
-    image = F.when(
-        names.isNotNull(),
-        F.when(~F.array_contains(names, "payload"), flat)
-        .when(payload.isNull() | F.json_object_keys(payload).isNull(), F.lit(None))
-        .when(members > 0, after)
-        .when(after.isNull() | (members == 0), flat),
+    doc = _once(df, _doc=F.expr(f"try_parse_json(`{value}`)"))
+    flat = f"IF({_member('_doc', 'id')} IS NOT NULL AND {_member('_doc', 'amount')} IS NOT NULL, _doc, NULL)"
+    payload, after = _member("_doc", "payload"), _member("_doc", "payload.after")
+    # The number of members: null where the value is no object.
+    members = "cardinality(try_variant_get({}, '$', 'map<string,variant>'))"
+    image = F.expr(
+        f"""CASE WHEN {payload} IS NULL THEN {flat}
+        WHEN {members.format(payload)} IS NULL THEN NULL
+        WHEN {members.format(after)} > 0 THEN {after}
+        WHEN {after} IS NULL OR is_variant_null({after}) OR {members.format(after)} = 0 THEN {flat} END"""
     )
-    pictured = doc.withColumn(IMAGE, image)
-    own = F.when(F.col(IMAGE) == F.col(value), names).otherwise(F.json_object_keys(IMAGE))
-    return pictured.withColumn(KEYS, own).drop("_names")
+    return _once(doc, **{IMAGE: image}).drop("_doc")
 
 
 def split_valid(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -60,20 +54,17 @@ def split_valid(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFra
 
 def parted(imaged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of :func:`with_image` with an image, and those without."""
-    return imaged.where(F.col(IMAGE).isNotNull()), imaged.where(F.col(IMAGE).isNull()).drop(IMAGE, KEYS)
+    return imaged.where(F.col(IMAGE).isNotNull()), imaged.where(F.col(IMAGE).isNull()).drop(IMAGE)
 
 
 def live(valid: DataFrame) -> DataFrame:
     """Without the deletes the connector rewrites to records."""
-    return valid.where(F.coalesce(F.get_json_object(IMAGE, "$.__deleted"), F.lit("false")) != "true")
+    return valid.where(F.expr(f"coalesce({_member(IMAGE, '__deleted', 'string')}, 'false') <> 'true'"))
 
 
 def _number(name: str) -> Column:
-    """Typed value; where there is none: 0 for an absent member, else the member's text as a number."""
-    return F.expr(
-        f"CASE WHEN _t.{name} IS NOT NULL THEN _t.{name} WHEN NOT array_contains({KEYS}, '{name}') THEN 0D "
-        f"ELSE try_cast(get_json_object({IMAGE}, '$.{name}') AS DOUBLE) END AS {name}"
-    )
+    """Typed value: 0 for an absent member, null where there is no number."""
+    return F.expr(f"IF({_member(IMAGE, name)} IS NULL, 0D, {_member(IMAGE, name, 'double')}) AS {name}")
 
 
 def typed(df: DataFrame, epoch_units: str = "calendar") -> DataFrame:
@@ -81,22 +72,26 @@ def typed(df: DataFrame, epoch_units: str = "calendar") -> DataFrame:
 
     Numbers sent as text are cast; text that is no number becomes null and counts as missing.
     """
-    read = _once(df, _t=F.from_json(IMAGE, IMAGE_SCHEMA))
-    made = F.col("_t.created_at")
-    is_text = F.col(IMAGE).rlike(r'"created_at"\s*:\s*"')
+    rest = [c for c in df.columns if c not in (IMAGE, "value")]
+    read = df.select(
+        *rest,
+        *[F.expr(f"{_member(IMAGE, c, 'long')} AS {n}") for c, n in (("id", "id"), ("account_id", "account_id"), ("time_stamp", "time_offset"))],
+        *[_number(c) for c in [*COMPONENTS, "amount"]],
+        F.expr(f"IF({_member(IMAGE, 'class')} IS NULL, 0, {_member(IMAGE, 'class', 'int')}) AS class"),
+        F.expr(f"{_member(IMAGE, 'created_at', 'string')} AS _made"),
+        F.expr(f"schema_of_variant({_member(IMAGE, 'created_at')}) = 'STRING' AS _text"),
+        F.expr(f"{_member(IMAGE, 'processed_at', 'string')} AS processed_text"),
+    )
+    made, is_text = F.col("_made"), F.col("_text")
     epoch = made.try_cast("double")
     present = made.isNotNull() & F.when(is_text, made != "").otherwise(F.coalesce(epoch != 0, F.lit(True)))
     parsed = F.when(is_text, timing.parse_created_text(made)).otherwise(timing.parse_created_epoch(epoch, epoch_units))
     return read.select(
-        *[c for c in df.columns if c not in (IMAGE, KEYS, "value")],
-        "_t.id",
-        "_t.account_id",
-        F.col("_t.time_stamp").alias("time_offset"),
-        *[_number(c) for c in [*COMPONENTS, "amount"]],
-        F.when(F.array_contains(KEYS, "class"), F.col("_t.class")).otherwise(F.lit(0)).alias("class"),
+        *rest,
+        *["id", "account_id", "time_offset", *COMPONENTS, "amount", "class"],
         F.when(present, parsed).alias("created"),
         F.coalesce(present, F.lit(False)).alias("created_present"),
-        F.col("_t.processed_at").alias("processed_text"),
+        "processed_text",
     )
 
 
