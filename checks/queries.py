@@ -464,7 +464,7 @@ def gold_summary_stats(s, d):
 @query
 def gold_retention(s, d):
     """Rows of the last ten days; the fixture spans thirty."""
-    return gold.retain(fx.table(s, d, "current"), "created_at", fx.as_of(), 10).select("id", "created_at", "Amount")
+    return gold.retain(fx.table(s, d, "current", dated=True), "created_at", fx.as_of(), 10).select("id", "created_at", "Amount")
 
 
 # ML features -------------------------------------------------------------------------------------
@@ -774,7 +774,7 @@ def vw_stream_nested(s, d):
 
 @query
 def an_batch_vs_realtime(s, d):
-    return unified.batch_vs_realtime(fx.table(s, d, "hourly"), fx.table(s, d, "realtime"), fx.as_of())
+    return unified.batch_vs_realtime(fx.table(s, d, "hourly", dated=True), fx.table(s, d, "realtime", dated=True), fx.as_of())
 
 
 @query
@@ -789,7 +789,7 @@ def an_feature_quality(s, d):
 
 @query
 def an_hourly_unified(s, d):
-    return unified.hourly_unified(fx.table(s, d, "hourly"), fx.table(s, d, "realtime"), fx.as_of())
+    return unified.hourly_unified(fx.table(s, d, "hourly", dated=True), fx.table(s, d, "realtime", dated=True), fx.as_of())
 
 
 @query

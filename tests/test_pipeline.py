@@ -42,7 +42,7 @@ def test_commands(spark, lake):
     }
     for kind in ("fraud", "ml", "risk", "summary"):
         assert result(spark, ["validate", kind, lake]).count() > 0
-    assert result(spark, ["analyze", f"{lake}/gold/{pipeline.HOURLY}"]).count() == 14
+    assert result(spark, ["analyze", f"{lake}/gold/{pipeline.HOURLY}"]).count() == 15
     assert result(spark, ["report", lake]).select("section").distinct().count() == 5
     assert result(spark, ["validate", "nothing", lake]) is None
 

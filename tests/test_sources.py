@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from checks.queries import REGISTRY
 from txnlake import fixture as fx
 from txnlake.plans import views
 from txnlake.schemas import BRONZE_COLS, CORRUPT
@@ -116,6 +117,14 @@ def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
 
 
+@pytest.mark.parametrize("name", ["an_batch_vs_realtime", "an_hourly_unified", "gold_retention"])
+def test_date_filters_prune_folders(spark, sf_dir, capsys, name):
+    REGISTRY[name](spark, sf_dir).explain("formatted")
+    plan = capsys.readouterr().out
+    scans = [x for x in plan.split("PartitionFilters: ")[1:] if x.startswith("[isnotnull(day")]
+    assert len(scans) == (1 if name == "gold_retention" else 2)
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf_dir, capsys):
     current = fx.table(spark, sf_dir, "current")
     current.where("split = 'train' AND Amount > 100").select("id", "Amount").explain("formatted")

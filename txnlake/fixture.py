@@ -124,8 +124,12 @@ _STORED: dict[tuple[str, str, str], tuple[str, object]] = {}
 ON_RELEASE.append(_STORED.clear)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A stored gold or stream table, built on first use.
+# Time by whose day a table is partitioned.
+DAY_OF = {"hourly": "created_at", "current": "created_at", "realtime": "processed_at"}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, dated: bool = False) -> DataFrame:
+    """A stored gold or stream table, built on first use; ``dated`` keeps its partition column ``day``.
 
     Analytic queries read tables, not pipelines: ``current`` holds the ML features with all columns
     and its ``split``, ``hourly`` the gold hours, ``realtime`` the stream records.
@@ -143,11 +147,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if key not in _STORED:
         df = build()
         path = work_path(spark, f"table-{name}")
-        writer = df.write.partitionBy("split") if name == "current" else df.write
-        writer.parquet(path)
+        if name in DAY_OF:
+            df = df.withColumn("day", F.to_date(DAY_OF[name]))
+            parts = ["split", "day"] if name == "current" else ["day"]
+            df.hint("rebalance", *parts).write.partitionBy(*parts).parquet(path)
+        else:
+            df.write.parquet(path)
         _STORED[key] = (path, df.schema)
     path, schema = _STORED[key]
-    return spark.read.schema(schema).parquet(path)
+    rows = spark.read.schema(schema).parquet(path)
+    return rows if dated or name not in DAY_OF else rows.drop("day")
 
 
 def feature_sets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

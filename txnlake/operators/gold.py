@@ -185,5 +185,12 @@ def summary_stats(df: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def retain(df: DataFrame, ts: str, as_of: Column, days: int) -> DataFrame:
-    """Rows not older than ``days`` at ``as_of``; a plain comparison, so it reaches the scan."""
-    return df.where(F.col(ts) >= as_of - F.make_dt_interval(F.lit(days)))
+    """Rows not older than ``days`` at ``as_of``."""
+    return since(df, ts, as_of - F.make_dt_interval(F.lit(days)))
+
+
+def since(df: DataFrame, ts: str, first: Column) -> DataFrame:
+    """Rows from ``first`` on: a plain comparison, which reaches the scan, and on a table partitioned by
+    the ``day`` of ``ts`` one on the day too, which leaves out whole folders."""
+    rows = df.where(F.col(ts) >= first)
+    return rows.where(F.col("day") >= F.to_date(first)) if "day" in df.columns else rows

@@ -59,16 +59,18 @@ def bronze_to_silver(spark: SparkSession, csv_path: str, lake: str, version: str
 def silver_to_gold(spark: SparkSession, lake: str, version: str, rolling_by: str = "global") -> dict[str, str]:
     """Build the gold tables from the newest silver snapshot and write them with a report.
 
-    The feature table is written once, partitioned by ``split``: train and test are its partitions.
+    The feature table is written once, partitioned by ``split`` and day: train and test are its partitions.
     """
     source = files.latest_snapshot(spark, f"{lake}/silver")
     rows = spark.read.parquet(source)
     paths = {n: f"{lake}/gold/{n}" for n in (HOURLY, FEATURES, RISK, SUMMARY)}
     checked = quality.report(quality.evaluate(rows, quality.silver_rules()))
     files.write_gold(profile.gold_report({"silver_rules": checked}), f"{lake}/reports/silver-rules-{version}")
-    files.write_gold(gold.with_amount_categories(gold.build_hourly(rows, version), rows), paths[HOURLY])
+    hours = gold.with_amount_categories(gold.build_hourly(rows, version), rows)
     features_table = ml.with_split(ml.build(rows, rolling=rolling_by))
-    files.write_gold(features_table, paths[FEATURES], ["split"])
+    day = F.to_date("created_at")
+    files.write_gold(hours.withColumn("day", day), paths[HOURLY], ["day"], whole=True)
+    files.write_gold(features_table.withColumn("day", day), paths[FEATURES], ["split", "day"], whole=True)
     files.write_gold(gold.risk_profiles(rows), paths[RISK])
     files.write_gold(gold.summary_stats(rows), paths[SUMMARY])
     files.write_gold(gold_report(spark, lake), f"{lake}/reports/gold-{version}")
@@ -81,8 +83,8 @@ def gold_report(spark: SparkSession, lake: str) -> DataFrame:
     features_table = spark.read.parquet(f"{lake}/gold/{FEATURES}")
     return profile.gold_report(
         {
-            "hourly": profile.hourly(hours),
-            "ml_features": profile.ml({"current": features_table.drop("split")}),
+            "hourly": profile.hourly(hours.drop("day")),
+            "ml_features": profile.ml({"current": features_table.drop("split", "day")}),
             "risk_profiles": profile.risk(spark.read.parquet(f"{lake}/gold/{RISK}")),
             "summary_stats": profile.summary(spark.read.parquet(f"{lake}/gold/{SUMMARY}")),
             "inventory": files.inventory(spark, f"{lake}/gold"),

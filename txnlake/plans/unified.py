@@ -9,6 +9,7 @@ from txnlake.functions.components import unpivoted
 from txnlake.functions.scoring import ANOMALY_SHARE
 from txnlake.functions.timing import micros
 from txnlake.operators import scale
+from txnlake.operators.gold import since
 from txnlake.plans.views import stream_rates, union_all
 from txnlake.schemas import V_COLS
 from txnlake.streaming.features import alerts
@@ -27,10 +28,10 @@ def _for(source: str, column: str) -> Column:
 def batch_vs_realtime(hourly: DataFrame, realtime: DataFrame, as_of: Column) -> DataFrame:
     """Fraud rates of the last day per hour of day, batch beside stream."""
     day_ago = as_of - _days(1)
-    batch = hourly.where(F.col("created_at") >= day_ago).select(
+    batch = since(hourly, "created_at", day_ago).select(
         F.lit("batch").alias("source"), F.col("Hour").alias("hour"), "fraud_rate", "total_transactions"
     )
-    stream = stream_rates(realtime.where(F.col("processed_at") >= day_ago), F.hour("time_stamp").alias("hour")).select(
+    stream = stream_rates(since(realtime, "processed_at", day_ago), F.hour("time_stamp").alias("hour")).select(
         F.lit("realtime").alias("source"), "hour", "fraud_rate", "total_transactions"
     )
     return (
@@ -85,18 +86,18 @@ def feature_quality(current: DataFrame, realtime: DataFrame) -> DataFrame:
 def hourly_unified(hourly: DataFrame, realtime: DataFrame, as_of: Column) -> DataFrame:
     """Transactions and rates per date and hour of the last seven days.
 
-    The date filter is also put on the stream's raw timestamp, where it prunes the scan.
+    The date filter is put on the raw timestamps and on the day folders, where it prunes the scan.
     """
     first = F.to_date(as_of) - F.expr("INTERVAL 7 DAYS")
     shape = ["source", "hour", "analysis_date", "total_transactions", "fraud_rate"]
-    batch = hourly.where(F.col("created_at") >= first.cast("timestamp_ntz")).select(
+    batch = since(hourly, "created_at", first.cast("timestamp_ntz")).select(
         F.lit("batch").alias("source"),
         F.col("Hour").alias("hour"),
         F.to_date("created_at").alias("analysis_date"),
         "total_transactions",
         "fraud_rate",
     )
-    recent = realtime.where(F.col("processed_at") >= first.cast("timestamp_ntz"))
+    recent = since(realtime, "processed_at", first.cast("timestamp_ntz"))
     stream = (
         recent.groupBy(F.hour("time_stamp").alias("hour"), F.to_date("processed_at").alias("analysis_date"))
         .agg(F.count(F.lit(1)).alias("total_transactions"), (F.sum("fraud_class") / F.count(F.lit(1))).alias("fraud_rate"))

@@ -136,14 +136,15 @@ def write_versioned(df: DataFrame, root: str, version: str, prefix: str = SNAPSH
     return versioned, current_path
 
 
-def write_gold(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite a gold data set; with partitions only those present in ``df`` are replaced.
+def write_gold(df: DataFrame, path: str, partition_by: Sequence[str] = (), whole: bool = False) -> None:
+    """Overwrite a gold data set; with partitions only those present in ``df`` are replaced, unless it is ``whole``.
 
     Partitioned output is rebalanced first, so each partition gets few, evenly sized files.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+        mode = "static" if whole else "dynamic"
+        df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*partition_by).parquet(path)
     else:
         df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
 
