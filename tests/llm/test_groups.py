@@ -45,9 +45,10 @@ def test_near_duplicates_against_all_pairs(spark, families, percent):
     assert got.filter("kept").count() == len(set(want.values()))
 
 
-def test_near_duplicates_settle_large_buckets(spark, families, monkeypatch):
-    """With few leaders a round and bands of one value, buckets take several rounds and lose nothing."""
-    monkeypatch.setattr(near_dup, "LEADERS", 3)
+def test_near_duplicates_in_small_blocks(spark, families, monkeypatch):
+    """Buckets cut into many blocks lose nothing."""
+    monkeypatch.setattr(near_dup, "OUTSIDERS", 2)
+    monkeypatch.setattr(near_dup, "MEMBERS", 3)
     docs = spark.createDataFrame(families[:150], "doc_id long, text string")
     got = near_dup.near_duplicates(docs, 85)
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == brute.components(families[:150], 85)
@@ -67,17 +68,17 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert near_dup.near_duplicates(brute.empty(spark), 80).count() == 0
 
 
-def test_odd_sketch_estimates_high_similarity():
+@pytest.mark.parametrize("size", [40, 300, 20_000])
+def test_odd_sketch_estimates_high_similarity(size):
     r = np.random.default_rng(2)
     for share in (0.8, 0.9, 0.97):
-        both = r.integers(0, 1 << 63, int(2000 * share), dtype=np.uint64)
-        rest = (2000 - len(both)) // 2
-        a, b = (np.concatenate([both, r.integers(0, 1 << 63, rest, dtype=np.uint64)]) for _ in range(2))
-        one, two = (near_dup.odd_sketch(near_dup.minhash(np.unique(x))) for x in (a, b))
-        odd = sum(bin(int(x)).count("1") for x in one ^ two)
-        n, k = 64 * near_dup.SKETCH_WORDS, near_dup.BANDS * near_dup.ROWS
-        assert 1 + n / (4 * k) * np.log(1 - 2 * odd / n) == pytest.approx(share, abs=0.1)
-        assert odd <= near_dup.most_odd_bits(share - near_dup.MARGIN)
+        both = r.integers(0, 1 << 63, int(size * share), dtype=np.uint64)
+        rest = (size - len(both)) // 2
+        a, b = (np.unique(np.concatenate([both, r.integers(0, 1 << 63, rest, dtype=np.uint64)])) for _ in range(2))
+        true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        (n, one), (m, two) = near_dup.odd_sketch(a), near_dup.odd_sketch(b)
+        odd = int(np.bitwise_count(one ^ two).sum())
+        assert true - near_dup.MARGIN < near_dup.estimate(n, m, odd) < true + 0.15
 
 
 def test_components_of_chains_stars_and_loops(spark):

@@ -1,32 +1,33 @@
 """Near-duplicates by MinHash bands and odd sketches.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; a document's set is its distinct shingles of
-``SHINGLE`` words, with fewer words the whole sequence as one. Each set gives ``BANDS * ROWS``
-MinHash values. They serve twice:
-
-* bands of ``ROWS`` values are bucket keys: at a similarity of 0.8 two sets share no bucket with
-  probability (1 - 0.8^4)^40 < 1e-9;
-* folded into an odd sketch, a bitmap in which every (place, value) flips one bit. Of two sketches
-  the population count of their XOR estimates high similarities precisely: with k values, n bits and x odd bits
-  s = 1 + n / 4k * ln(1 - 2x / n). Candidates whose estimate is ``MARGIN`` below the threshold, some ten
+``SHINGLE`` words, with fewer words the whole sequence as one.
+
+* ``BANDS * ROWS`` MinHash values give bands, the keys of buckets: at a similarity of 0.8 two sets share no
+  bucket with probability (1 - 0.8^4)^40 < 1e-9.
+* ``BINS`` further MinHash samples (the least name in each bin of the names) are folded into an odd sketch, a
+  bitmap in which every sample flips one bit. Of two sketches the population count of their XOR
+  estimates how many samples differ, d = -n/2 ln(1 - 2x/n) with n bits, x of them odd, and so, precisely where it
+  is high, the similarity. Candidates whose estimate is ``MARGIN`` below the threshold, six or more
   standard deviations, go without a look at their texts.
 
-Equal sets are a class from the start, and only its smallest id goes on. In a bucket the smallest id leads and
-meets all others; links are confirmed on full sets; components follow. A bucket whose members
-are in one component then is settled. In the others, up to ``LEADERS`` members outside the bucket's
-largest component lead next, until every bucket is settled or every member has led: a pair is left out
-only when its two are known to be connected. No pairs of a group are made all at once, a round
-makes a bounded number per member, and nothing is capped.
+Equal sets are a class from the start, and only its smallest id goes on. In every bucket a leader (the member
+with the least hash of id and key) meets all others; candidates that pass are confirmed on full sets; components
+follow. A bucket whose members are in one component is settled. In the others, each member outside the bucket's
+largest component meets all members of other components: both sides are cut into blocks, a task takes one block
+of each, compares sketches, and gives out only candidates that pass, each in the first bucket the two share.
+A pair is left out only where its two are known to be connected or its sketches rule it out: no group's pairs are
+made, no bucket is one task, nothing is capped.
 
 Defined cases: null and empty texts and those of white space have an empty set, n_shingles 0, no links;
 rows that repeat an id are judged each by its own text, and where these differ the smallest text
-stands for the id against unequal ones; a null id has no links and no component, and is kept; other columns do not matter.
+stands for the id against unequal ones; a null id has no links and no component, and is kept; other
+columns do not matter.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,20 +35,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from txnlake.llm import common
 from txnlake.llm.components import components
 
 SHINGLE, BANDS, ROWS = 5, 40, 4
-SKETCH_WORDS = 8  # of 64 bits
-MARGIN = 0.25
-LEADERS = 64
+BINS, SKETCH_WORDS = 1024, 32  # samples of a sketch; its words of 64 bits
+MARGIN = 0.08
+OUTSIDERS, MEMBERS = 256, 1024  # rows of a block on either side
 WORDS_KEPT = 500_000  # names of words a worker remembers
 _RNG = np.random.default_rng(5)
 _PLACE = _RNG.integers(0, 1 << 62, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_HASH = _RNG.integers(0, 1 << 62, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _RNG.integers(0, 1 << 62, BANDS * ROWS, dtype=np.uint64)
+_FACTOR = _RNG.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_ADD = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _BAND = _RNG.integers(0, 1 << 62, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -82,31 +82,38 @@ def shingles(text: bytes) -> np.ndarray:
 
 
 def minhash(names: np.ndarray) -> np.ndarray:
-    best = np.full(len(_HASH), np.iinfo(np.uint64).max, np.uint64)
-    for a in range(0, len(names), 512):
-        part = names[a : a + 512]
-        np.minimum(best, ((part[:, None] + _ADD) * _HASH).min(axis=0), out=best)
+    """Least value of every hash function; 32 bits, which numpy multiplies several at a time."""
+    short = (names >> np.uint64(32)).astype(np.uint32)
+    best = np.full(len(_FACTOR), np.iinfo(np.uint32).max, np.uint32)
+    for a in range(0, len(short), 256):
+        np.minimum(best, ((short[a : a + 256, None] + _ADD) * _FACTOR).min(axis=0), out=best)
     return best
 
 
 def band_keys(values: np.ndarray) -> np.ndarray:
-    return _mix((_mix(values.reshape(BANDS, ROWS)) * _BAND).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
+    wide = _mix(values.astype(np.uint64) + np.arange(len(values), dtype=np.uint64) * np.uint64(1 << 32))
+    return _mix((wide.reshape(BANDS, ROWS) * _BAND).sum(axis=1, dtype=np.uint64))
 
 
-def odd_sketch(values: np.ndarray) -> np.ndarray:
-    """Each (place, value) flips one of 64 * SKETCH_WORDS bits."""
-    bit = _mix(values * np.uint64(0xD6E8FEB86659FD93) + np.arange(len(values), dtype=np.uint64)) % np.uint64(64 * SKETCH_WORDS)
-    odd = np.bincount(bit.astype(np.int64), minlength=64 * SKETCH_WORDS) % 2 == 1
-    return np.packbits(odd).view(np.uint64)
+def odd_sketch(names: np.ndarray) -> tuple[int, np.ndarray]:
+    """Number of samples, and the bitmap in which each flips one bit. ``names`` are sorted and distinct."""
+    scattered = np.sort(_mix(names))
+    bins = scattered >> np.uint64(64 - BINS.bit_length() + 1)
+    least = scattered[np.concatenate([[True], bins[1:] != bins[:-1]])] if len(names) else scattered
+    bit = (_mix(least) % np.uint64(64 * SKETCH_WORDS)).astype(np.int64)
+    odd = np.bincount(bit, minlength=64 * SKETCH_WORDS) % 2 == 1
+    return len(least), np.packbits(odd).view(np.uint64)
 
 
-def most_odd_bits(similarity: float) -> int:
-    """XOR population count of two sketches at an estimated similarity."""
-    n, k = 64 * SKETCH_WORDS, BANDS * ROWS
-    return math.ceil(n / 2 * (1 - math.exp(-4 * k * (1 - similarity) / n)))
+def estimate(a_samples, b_samples, odd_bits):
+    """Upper estimate of the similarity of numpy values; -1 where the sketches have nothing in common."""
+    n = 64.0 * SKETCH_WORDS
+    differ = -n / 2 * np.log(np.maximum(1 - 2 * odd_bits / n, 1e-9))
+    both = (a_samples + b_samples - differ) / 2
+    return np.where(both > 0, both / np.maximum(both + differ / 2, 1e-9), -1.0)
 
 
-SIGNED = "doc_id long, n_shingles long, digest string, bands array<long>, sketch array<long>"
+SIGNED = "doc_id long, n_shingles long, digest string, bands array<long>, samples int, sketch array<long>"
 
 
 def sign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -118,13 +125,13 @@ def sign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
             for data in common.text_bytes(batch.column(1)):
                 names = shingles(data)
                 if len(names):
-                    values = minhash(names)
-                    made.append((len(names), hashlib.blake2b(names.tobytes(), digest_size=16).hexdigest(), band_keys(values).view(np.int64), odd_sketch(values).view(np.int64)))
+                    samples, sketch = odd_sketch(names)
+                    made.append((len(names), hashlib.blake2b(names.tobytes(), digest_size=16).hexdigest(), band_keys(minhash(names)).view(np.int64), samples, sketch.view(np.int64)))
                 else:
-                    made.append((0, None, None, None))
-            kinds = (pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                    made.append((0, None, None, None, None))
+            kinds = (pa.int64(), pa.string(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int64()))
             columns = [pa.array([m[i] for m in made], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_shingles", "digest", "bands", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_shingles", "digest", "bands", "samples", "sketch"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, SIGNED)
 
@@ -157,46 +164,78 @@ def confirm(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent:
     return both.mapInArrow(run, "a long, b long")
 
 
-def candidates(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose odd sketches do not rule them out."""
-    most = most_odd_bits(max(0.0, percent / 100 - MARGIN))
-    one = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("a_sketch"))
-    two = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("b_sketch"))
+def candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose odd sketches do not rule them out: ``estimate`` in column functions."""
+    one, two = (classes.select(F.col("id").alias(x), F.col("samples").alias(f"{x}_n"), F.col("sketch").alias(f"{x}_sketch")) for x in "ab")
     odd = sum((F.bit_count(F.col("a_sketch")[i].bitwiseXOR(F.col("b_sketch")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
-    return pairs.distinct().join(one, "a").join(two, "b").filter(odd <= most).select("a", "b")
+    n = 64.0 * SKETCH_WORDS
+    differ = F.log(F.greatest(1 - 2 * odd / F.lit(n), F.lit(1e-9))) * F.lit(-n / 2)
+    both = pairs.distinct().join(one, "a").join(two, "b").select("a", "b", (F.col("a_n") + F.col("b_n")).alias("n"), differ.alias("d"))
+    return both.filter((F.col("n") - F.col("d")) / 2 >= F.lit(percent / 100 - MARGIN) * F.col("n") / 2).select("a", "b")
+
+
+MEMBER = "id long, root long, main long, samples int, bands array<long>, sketch array<long>"
+
+
+def between_components(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Candidates (a, b) in open buckets whose two are in different components.
+
+    ``placed``: key, id, root, main (root of the bucket's largest component).
+    """
+    out = F.col("root") != F.col("main")
+    sizes = placed.groupBy("key").agg(F.ceil(F.count_if(out) / OUTSIDERS).alias("outs"), F.ceil(F.count("*") / MEMBERS).alias("alls"))
+    full = placed.join(sizes.withColumnRenamed("key", "of"), F.col("key") == F.col("of")).drop("of")
+    full = full.join(classes.select(F.col("id").alias("of"), "samples", "bands", "sketch"), F.col("id") == F.col("of")).drop("of")
+    fields = ["id", "root", "main", "samples", "bands", "sketch"]
+    spread = F.xxhash64("id", F.lit(3))
+    left = full.filter(out).select("key", F.pmod(spread, "outs").alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("alls") - 1)).alias("y"), F.lit(True).alias("outside"), *fields)
+    right = full.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("outs") - 1)).alias("x"), F.pmod(spread, "alls").alias("y"), F.lit(False).alias("outside"), *fields)
+    least = percent / 100 - MARGIN
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        own = np.int64(key[0].as_py()).view(np.uint64)
+        outside = rows.column("outside").to_numpy()
+        values = {c: rows.column(c).to_numpy() for c in ("id", "root", "main", "samples")}
+        bands, sketches = (rows.column(c).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(rows), -1) for c in ("bands", "sketch"))
+        at, others = np.flatnonzero(outside), np.flatnonzero(~outside)
+        found = []
+        for i in at:
+            j = others[values["root"][others] != values["root"][i]]
+            # Of two outsiders the one with the smaller id asks.
+            j = j[(values["root"][j] == values["main"][j]) | (values["id"][j] > values["id"][i])]
+            odd = np.bitwise_count(sketches[j] ^ sketches[i]).sum(axis=1)
+            j = j[estimate(values["samples"][i], values["samples"][j], odd) >= least]
+            if len(j):
+                shared = bands[j] == bands[i]
+                j = j[bands[i][shared.argmax(axis=1)] == own]
+                found += [(min(x, values["id"][i]), max(x, values["id"][i])) for x in values["id"][j]]
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return left.unionByName(right).groupBy("key", "x", "y").applyInArrow(run, "a long, b long")
 
 
 def link(classes: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
-    """Components (id, root) of ``classes`` (id, bands, sketch)."""
-    spark = classes.sparkSession
+    """Components (id, root) of ``classes`` (id, bands, samples, sketch)."""
     buckets = classes.select("id", F.explode("bands").alias("key"))
-    # The first leader of a bucket is its smallest id; buckets of one member are settled.
-    first = buckets.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).filter("lead < last").select(F.col("key").alias("of"), "lead")
-    shared, path = common.store(buckets.join(first, F.col("key") == F.col("of")).select("key", "id", "lead"), "near-buckets")
-    pairs = shared.filter("lead < id").select(F.col("lead").alias("a"), F.col("id").alias("b"))
-    open_rows = shared.filter("lead < id").select("key", "id")
-    links, groups = None, None
-    while True:
-        found, _ = common.store(candidates(pairs, classes.select("id", "sketch"), percent), "near-candidates")
-        new, _ = common.store(confirm(found, docs, doc_id, text, percent), "near-links")
-        links = new if links is None else links.unionByName(new)
-        groups, _ = common.store(components(links), "near-groups")
-        # Members that have not led, with their component.
-        known = groups.select(F.col("id").alias("of"), "root")
-        placed = open_rows.join(known, F.col("id") == F.col("of"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
-        counts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
-        main = counts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("groups")).filter("groups > 1")
-        main = main.select(F.col("key").alias("of"), F.col("main.root").alias("main"))
-        placed, _ = common.store(placed.join(main, F.col("key") == F.col("of")).select("key", "id", "root", "main"), "near-open")
-        place = Window.partitionBy("key").orderBy("id")
-        leaders = placed.filter("root <> main").withColumn("k", F.row_number().over(place)).filter(F.col("k") <= LEADERS)
-        leaders = leaders.select(F.col("key").alias("of"), F.col("id").alias("lead"), F.col("root").alias("lead_root"))
-        leaders, _ = common.store(leaders, "near-leaders")
-        if leaders.isEmpty():
-            return groups
-        pairs = placed.join(leaders, (F.col("key") == F.col("of")) & (F.col("root") != F.col("lead_root")))
-        pairs = pairs.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
-        open_rows = placed.select("key", "id").join(leaders, (F.col("key") == F.col("of")) & (F.col("id") == F.col("lead")), "left_anti")
+    first = buckets.groupBy("key").agg(F.min_by("id", F.xxhash64("id", "key")).alias("lead"), F.count("*").alias("n")).filter("n > 1")
+    first = first.select(F.col("key").alias("of"), "lead", "n")
+    shared, path = common.store(buckets.join(first, F.col("key") == F.col("of")).select("key", "id", "lead", "n"), "near-buckets")
+    pairs = shared.filter("lead <> id").select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
+    links, _ = common.store(confirm(candidates(pairs, classes, percent), docs, doc_id, text, percent), "near-links")
+    groups, _ = common.store(components(links), "near-groups")
+    # Members that have not led, with their component; a bucket of two is settled.
+    known = groups.select(F.col("id").alias("of"), "root")
+    placed = shared.filter("n > 2 and lead <> id").select("key", "id").join(known, F.col("id") == F.col("of"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    counts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+    main = counts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("groups")).filter("groups > 1")
+    main = main.select(F.col("key").alias("of"), F.col("main.root").alias("main"))
+    placed, _ = common.store(placed.join(main, F.col("key") == F.col("of")).select("key", "id", "root", "main"), "near-open")
+    common.discard(classes.sparkSession, path)
+    if placed.isEmpty():
+        return groups
+    more, _ = common.store(between_components(placed, classes, percent), "near-between")
+    new, _ = common.store(confirm(more, docs, doc_id, text, percent), "near-more-links")
+    return groups if new.isEmpty() else components(links.unionByName(new))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -204,15 +243,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id",
     signed, _ = common.store(sign(docs, doc_id, text), "near-signed")
     one_each = signed.filter("digest is not null and doc_id is not null")
     classes = one_each.groupBy("digest").agg(F.min("doc_id").alias("id"))
-    # Signatures of the class's smallest id; equal sets have equal ones.
+    # Signatures of the class's smallest id; equal sets have equal ones. Stored: both joins with the
+    # documents read it plainly, so that Spark can split the rows of a set a third of them share.
     ids = classes.select(F.col("id").alias("of"), F.col("digest").alias("of_digest"))
     full = one_each.join(ids, (F.col("doc_id") == F.col("of")) & (F.col("digest") == F.col("of_digest"))).dropDuplicates(["of", "of_digest"])
-    full = full.select(F.col("of").alias("id"), "bands", "sketch")
-    full, _ = common.store(full, "near-classes")
-    groups = link(full, docs, doc_id, text, percent)
-    groups = groups.select(F.col("id").alias("__id"), "root")
-    by_digest = classes.select(F.col("digest").alias("__digest"), F.col("id").alias("class_id"))
+    full, _ = common.store(full.select(F.col("of").alias("id"), "digest", "bands", "samples", "sketch"), "near-classes")
+    groups = link(full, docs, doc_id, text, percent).select(F.col("id").alias("__id"), "root")
+    by_digest = full.select(F.col("digest").alias("__digest"), F.col("id").alias("class_id")).join(groups, F.col("class_id") == F.col("__id"), "left")
+    by_digest, _ = common.store(by_digest.select("__digest", F.coalesce("root", "class_id").alias("class_root")), "near-roots")
     rows = signed.select("doc_id", "n_shingles", "digest").join(by_digest, F.col("digest") == F.col("__digest"), "left")
-    rows = rows.join(groups, F.col("class_id") == F.col("__id"), "left")
-    component = F.coalesce("root", "class_id", "doc_id")
+    component = F.coalesce("class_root", "doc_id")
     return rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
