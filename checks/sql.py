@@ -58,6 +58,12 @@ ROLL_RT = "PARTITION BY account_id ORDER BY time_stamp, transaction_id ROWS BETW
 
 MEAN = "CAST(sum(CAST(Amount AS DECIMAL(20, 6))) AS DOUBLE) / count(Amount)"
 
+# Half up in whole numbers of a millionth.
+MEAN_2 = (
+    "CAST((2 * CAST(sum(CAST(Amount AS DECIMAL(20, 6))) * 1000000 AS HUGEINT) + count(Amount) * 10000) "
+    "// (2 * count(Amount) * 10000) AS DOUBLE) / 100"
+)
+
 CTE: dict[str, tuple[tuple[str, ...], str]] = {}
 
 
@@ -825,7 +831,7 @@ _add(
 _add(
     "gl_amount_by_class",
     "cur",
-    f"""SELECT Class AS fraud_class, count(*) AS transaction_count, round({MEAN}, 2) AS avg_amount, round(stddev_samp(Amount), 2) AS stddev_amount,
+    f"""SELECT Class AS fraud_class, count(*) AS transaction_count, {MEAN_2} AS avg_amount, round(stddev_samp(Amount), 2) AS stddev_amount,
     round(min(Amount), 2) AS min_amount, round(max(Amount), 2) AS max_amount, round(quantile_cont(Amount, 0.5), 2) AS median_amount,
     round(quantile_cont(Amount, 0.95), 2) AS p95_amount FROM cur GROUP BY 1""",
 )
@@ -834,7 +840,7 @@ _add(
     "cur",
     f"""SELECT CAST(floor(Time / 3600e0) AS BIGINT) AS hour_bucket, count(*) AS total_transactions, count(*) FILTER (Class = 1) AS fraud_count,
     round(avg(CAST(Class AS DOUBLE)) * 100, 4) AS fraud_rate_percent,
-    round({MEAN}, 2) AS avg_amount FROM cur GROUP BY 1 ORDER BY 1 LIMIT 24""",
+    {MEAN_2} AS avg_amount FROM cur GROUP BY 1 ORDER BY 1 LIMIT 24""",
 )
 _add(
     "gl_outlier_by_class",
@@ -857,7 +863,7 @@ _add(
 _add(
     "gl_dataset_compare",
     "sets",
-    f"""SELECT dataset, count(*) AS record_count, round(avg(CAST(Class AS DOUBLE)) * 100, 4) AS fraud_rate_percent, round({MEAN}, 2) AS avg_amount,
+    f"""SELECT dataset, count(*) AS record_count, round(avg(CAST(Class AS DOUBLE)) * 100, 4) AS fraud_rate_percent, {MEAN_2} AS avg_amount,
     count(*) FILTER (V1_IsOutlier = 1) AS V1_outliers, round(count(*) FILTER (V1_IsOutlier = 1) * 100e0 / count(*), 2) AS outlier_percentage
     FROM sets GROUP BY 1""",
 )

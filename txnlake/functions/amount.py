@@ -68,3 +68,9 @@ def amount_zscore(amount: Column, mean: float = ZSCORE_MEAN, std: float = ZSCORE
 def exact_mean(column: str) -> Column:
     """A mean from an exact sum of six decimals, so that its last digit does not depend on the order of the rows."""
     return F.try_divide(F.sum(F.col(column).cast("decimal(20,6)")).cast("double"), F.count(column))
+
+
+def rounded_mean(column: str, digits: int = 2) -> Column:
+    """The mean rounded half up in decimals, where a border is a border."""
+    total = F.sum(F.col(column).cast("decimal(20,6)"))
+    return F.round(F.try_divide(total, F.count(column)), digits).cast("double")

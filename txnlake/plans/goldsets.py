@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.functions.amount import amount_band, exact_mean
+from txnlake.functions.amount import amount_band, rounded_mean
 from txnlake.functions.components import unpivoted
 from txnlake.functions.timing import HOUR
 from txnlake.operators import scale
@@ -46,7 +46,7 @@ def amount_by_class(current: DataFrame, **limits) -> DataFrame:
     """Amount statistics per label, with exact interpolated percentiles."""
     stats = current.groupBy("Class").agg(
         F.count(F.lit(1)).alias("transaction_count"),
-        exact_mean("Amount").alias("avg_amount"),
+        rounded_mean("Amount").alias("avg_amount"),
         F.stddev("Amount").alias("stddev_amount"),
         F.min("Amount").alias("min_amount"),
         F.max("Amount").alias("max_amount"),
@@ -75,7 +75,7 @@ def hour_buckets(current: DataFrame, first: int = 24) -> DataFrame:
             F.count(F.lit(1)).alias("total_transactions"),
             _frauds().alias("fraud_count"),
             _rate_percent().alias("fraud_rate_percent"),
-            F.round(exact_mean("Amount"), 2).alias("avg_amount"),
+            rounded_mean("Amount").alias("avg_amount"),
         )
         .orderBy("hour_bucket")
         .limit(first)
@@ -119,7 +119,7 @@ def dataset_compare(sets: dict[str, DataFrame]) -> DataFrame:
                 F.lit(n).alias("dataset"),
                 F.count(F.lit(1)).alias("record_count"),
                 _rate_percent().alias("fraud_rate_percent"),
-                F.round(exact_mean("Amount"), 2).alias("avg_amount"),
+                rounded_mean("Amount").alias("avg_amount"),
                 F.count_if(F.col("V1_IsOutlier") == 1).alias("V1_outliers"),
             )
             for n, df in sets.items()
