@@ -3,7 +3,7 @@
 A text is the multiset of its paragraphs (lines, cut after sentences, and where still long after words that a
 hash picks); an element is the digest of a
 paragraph and of how many equal ones stand before it. Each element goes to one cell in each of three
-thirds of the sketch; a cell keeps a count and the XOR of its digests and of their checks. Sketches of two
+thirds of the sketch; a cell keeps a count and the sums of its digests and of their checks. Sketches of two
 versions subtract cell by cell, what they share vanishes, and peeling recovers the digests that
 differ: a cell with one element left names it, and taking it out of its other cells frees more. If cells
 stay, both versions are sketched again larger, until the peeling ends. The likeness of two sketches is
@@ -37,7 +37,8 @@ CELLS = 15  # of a fingerprint; a multiple of 3
 LONG = 240  # code points; longer paragraphs are cut at words that their hash picks
 CUT_EVERY = 12  # words, on average
 _U = np.uint64
-_SALTS = [_U(0xE7037ED1A0B428DB), _U(0x8EBC6AF09C88C6E3), _U(0x589965CC75374CC3)]
+_SALTS = np.array([[0xE7037ED1A0B428DB], [0x8EBC6AF09C88C6E3], [0x589965CC75374CC3]], np.uint64)
+_THIRDS = np.arange(3, dtype=np.uint64)[:, None]
 
 
 def paragraphs(text: str) -> list[str]:
@@ -82,7 +83,7 @@ def elements(text: str) -> np.ndarray:
 
 
 class Sketch:
-    """Cells of an invertible Bloom lookup table."""
+    """Cells of an invertible Bloom lookup table; keys and checks are sums that wrap at 64 bits."""
 
     def __init__(self, counts: np.ndarray, keys: np.ndarray, checks: np.ndarray):
         self.counts, self.keys, self.checks = counts, keys, checks
@@ -90,14 +91,15 @@ class Sketch:
     @classmethod
     def of(cls, digests: np.ndarray, cells: int) -> Sketch:
         made = cls(np.zeros(cells, np.int64), np.zeros(cells, _U), np.zeros(cells, _U))
-        where = places(digests, cells).ravel()
+        scattered = check(digests)
+        where = places(scattered, cells)
         np.add.at(made.counts, where, 1)
-        np.bitwise_xor.at(made.keys, where, np.tile(digests, 3))
-        np.bitwise_xor.at(made.checks, where, np.tile(check(digests), 3))
+        np.add.at(made.keys, where, _thrice(digests))
+        np.add.at(made.checks, where, _thrice(scattered))
         return made
 
     def minus(self, other: Sketch) -> Sketch:
-        return Sketch(self.counts - other.counts, self.keys ^ other.keys, self.checks ^ other.checks)
+        return Sketch(self.counts - other.counts, self.keys - other.keys, self.checks - other.checks)
 
     def size(self) -> int:
         """Elements in the sketch: every third has each once."""
@@ -119,17 +121,19 @@ class Sketch:
         ours, theirs = [], []
         while True:
             pure = np.flatnonzero(np.abs(counts) == 1)
-            pure = pure[check(keys[pure]) == checks[pure]]
-            if not len(pure):
+            sign = counts[pure].astype(_U)  # -1 wraps, and so turns a wrapped sum back
+            found, scattered = keys[pure] * sign, checks[pure] * sign
+            real = check(found) == scattered
+            if not real.any():
                 break
-            found, first = np.unique(keys[pure], return_index=True)
-            sign = counts[pure[first]]
-            ours.append(found[sign > 0])
-            theirs.append(found[sign < 0])
-            where = places(found, cells).ravel()
-            np.subtract.at(counts, where, np.tile(sign, 3))
-            np.bitwise_xor.at(keys, where, np.tile(found, 3))
-            np.bitwise_xor.at(checks, where, np.tile(check(found), 3))
+            found, first = np.unique(found[real], return_index=True)
+            sign, scattered = sign[real][first], scattered[real][first]
+            ours.append(found[sign == 1])
+            theirs.append(found[sign != 1])
+            where = places(scattered, cells)
+            np.subtract.at(counts, where, _thrice(sign.astype(np.int64)))
+            np.subtract.at(keys, where, _thrice(found * sign))
+            np.subtract.at(checks, where, _thrice(scattered * sign))
         if counts.any() or keys.any() or checks.any():
             return None
         empty = np.empty(0, _U)
@@ -140,10 +144,14 @@ def check(digests: np.ndarray) -> np.ndarray:
     return _mix(digests ^ _U(0xA0761D6478BD642F))
 
 
-def places(digests: np.ndarray, cells: int) -> np.ndarray:
-    """The cell of every digest in each third."""
+def places(scattered: np.ndarray, cells: int) -> np.ndarray:
+    """The cell of every digest in each third, from its check."""
     third = cells // 3
-    return np.stack([_mix(digests + salt) % _U(third) + _U(k * third) for k, salt in enumerate(_SALTS)]).astype(np.int64)
+    return (((scattered * _SALTS) >> _U(32)) % _U(third) + _THIRDS * _U(third)).astype(np.int64).ravel()
+
+
+def _thrice(values: np.ndarray) -> np.ndarray:
+    return np.concatenate((values, values, values))
 
 
 def difference(a: np.ndarray, b: np.ndarray, first: tuple[Sketch, Sketch] | None = None) -> tuple[np.ndarray, np.ndarray]:
