@@ -4,8 +4,9 @@ Items become an inverted index; every passage of every training text is a query,
 score reaches ``LEAST_SCORE`` are found. A posting's impact is its BM25 weight as a share of the item's own
 score (that of the item as a query), so a passage with the whole item scores 1 and one threshold
 serves all items. Passages are windows of twice the longest item, every half window, so each item-long stretch
-lies whole in one. A passage goes on only if the greatest impacts of its words reach the threshold;
-then block-max WAND walks the postings: it skips whole blocks whose greatest impacts do not add up.
+lies whole in one. Items of like length share a block. For all passages of some texts at once, the greatest
+impacts of a passage's words are added up per block; a passage goes on only if some block reaches the
+threshold. Then block-max WAND walks its postings and skips blocks whose greatest impacts do not add up.
 
 A find is verified on words: of the item's question and of its answer at least ``LEAST_OVERLAP`` of the
 ``GRAM``-word sequences must stand in the passage. The answer is the last sentence of an item's text.
@@ -20,6 +21,7 @@ item of one sentence has no answer to check; longer parts of an item than a text
 
 from __future__ import annotations
 
+import itertools
 import math
 import pickle
 import re
@@ -35,8 +37,9 @@ from txnlake.llm import common
 
 K1, B = 1.2, 0.75
 LEAST_SCORE, LEAST_OVERLAP, GRAM = 0.5, 0.5, 5
-BLOCK = 16  # items
-SHARD_WORDS = 1_000_000
+BLOCK = 4  # items
+SHARD_WORDS = 50_000
+GROUP_WORDS = 40_000  # of texts whose passages are weighed at once
 # A-Z to lower case, punctuation to space, so that glued marks do not hide a word.
 _FOLD = bytes.maketrans(string.ascii_uppercase.encode() + string.punctuation.encode(), string.ascii_lowercase.encode() + b" " * len(string.punctuation))
 _LAST_SENTENCE = re.compile(r"(?s)^(.*[.!?\n])\s*(\S.*)$")
@@ -69,6 +72,15 @@ class Part:
         return len(self.grams & grams(passage, self.n)) / len(self.grams) if self.grams else 1.0
 
 
+class _Numbers(dict):
+    """Numbers of the words of an index; all other words have the number beyond them."""
+
+    unknown = 0
+
+    def __missing__(self, word: bytes) -> int:
+        return self.unknown
+
+
 class Index:
     """One shard: postings with impacts, sorted by item; greatest impact per word and per block of items."""
 
@@ -77,8 +89,8 @@ class Index:
         self.items = []
         postings: dict[bytes, list[tuple[int, float]]] = {}
         self.window = 2
-        for item_id, text in items:
-            question, answer = question_and_answer(text)
+        parts = [(item_id, *question_and_answer(text)) for item_id, text in items]
+        for item_id, question, answer in sorted(parts, key=lambda p: len(p[1]) + len(p[2])):
             own = question + answer
             if not own:
                 continue
@@ -91,7 +103,8 @@ class Index:
                 postings.setdefault(w, []).append((len(self.items), x / whole))
             self.items.append((item_id, Part(question), Part(answer)))
             self.window = max(self.window, 2 * len(own))
-        self.numbers = {w: i for i, w in enumerate(postings)}
+        self.numbers = _Numbers((w, i) for i, w in enumerate(postings))
+        self.numbers.unknown = len(postings)
         self.postings = list(postings.values())
         self.greatest = np.array([max(x for _, x in p) for p in self.postings] + [0.0])
         self.block_greatest = []
@@ -100,6 +113,10 @@ class Index:
             for item, x in p:
                 best[item // BLOCK] = max(best.get(item // BLOCK, 0.0), x)
             self.block_greatest.append(best)
+        # The same as a table, a row per word; words and items of a shard are bounded, so is the table.
+        self.bounds = np.zeros((len(postings), len(self.items) // BLOCK + 1), np.float32)
+        for i, best in enumerate(self.block_greatest):
+            self.bounds[i, list(best)] = list(best.values())
 
     def search(self, terms: list[int], least: float) -> list[tuple[int, float]]:
         """Block-max WAND: all items whose impacts over ``terms`` add up to ``least``."""
@@ -147,30 +164,55 @@ class Index:
                         forward(e, item)
         return out
 
-    def passages(self, of: list[bytes], least: float) -> Iterator[tuple[list[bytes], list[int]]]:
-        """Windows of a text that can reach ``least`` at all, with their known words."""
-        unknown = len(self.postings)
-        ids = np.fromiter((self.numbers.get(w, unknown) for w in of), np.int64, len(of))
-        sums = np.concatenate([[0.0], np.cumsum(self.greatest[ids])])
-        starts = np.arange(0, max(1, len(of) - self.window // 2), self.window // 2)
-        ends = np.minimum(starts + self.window, len(of))
-        for a, b in zip(starts, ends, strict=True):
-            if sums[b] - sums[a] >= least - 1e-9:
-                inside = np.unique(ids[a:b])
-                inside = inside[inside < unknown]
-                if self.greatest[inside].sum() >= least:
-                    yield of[a:b], inside.tolist()
-
-    def finds(self, text: bytes, least: float, overlap: float) -> list[tuple]:
-        """(item id, score, overlap of the question, of the answer), the best passage of each item."""
-        best: dict[int, tuple] = {}
-        for passage, terms in self.passages(words(text), least):
+    def passages(self, texts: list[list[bytes]], least: float) -> Iterator[tuple[int, list[bytes], list[int]]]:
+        """(text, window, known words) of the windows in which some block can reach ``least``."""
+        if not self.postings or not texts:
+            return
+        unknown, step = self.numbers.unknown, self.window // 2
+        ids = np.fromiter(map(self.numbers.__getitem__, itertools.chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
+        offsets = np.cumsum([0, *map(len, texts)])
+        of, starts, ends = [], [], []
+        for t, words_of in enumerate(texts):
+            own = np.arange(0, max(1, len(words_of) - step), step)
+            of.append(np.full(len(own), t))
+            starts.append(own)
+            ends.append(np.minimum(own + self.window, len(words_of)))
+        of, starts, ends = map(np.concatenate, (of, starts, ends))
+        sizes = ends - starts
+        window = np.repeat(np.arange(len(of)), sizes)
+        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(offsets[of] + starts, sizes)
+        codes = np.unique(window * (unknown + 1) + ids[at])
+        window, term = codes // (unknown + 1), codes % (unknown + 1)
+        window, term = window[term < unknown], term[term < unknown]
+        if not len(term):
+            return
+        begins = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]]))
+        bounds = np.add.reduceat(self.bounds[term], begins, axis=0).max(axis=1)
+        last = np.append(begins[1:], len(window))
+        for i in np.flatnonzero(bounds >= least - 1e-4):
+            w = window[begins[i]]
+            yield of[w], texts[of[w]][starts[w] : ends[w]], term[begins[i] : last[i]].tolist()
+
+    def finds(self, texts: list[bytes], least: float, overlap: float) -> list[list[tuple]]:
+        """Per text (item id, score, overlap of the question, of the answer), the best passage of each item."""
+        out, group, size = [], [], 0
+        for text in texts:
+            group.append(words(text))
+            size += len(group[-1])
+            if size >= GROUP_WORDS:
+                out += self._finds(group, least, overlap)
+                group, size = [], 0
+        return out + self._finds(group, least, overlap)
+
+    def _finds(self, texts: list[list[bytes]], least: float, overlap: float) -> list[list[tuple]]:
+        best: list[dict[int, tuple]] = [{} for _ in texts]
+        for t, passage, terms in self.passages(texts, least):
             for item, score in self.search(terms, least):
                 _, question, answer = self.items[item]
                 q, a = question.overlap(passage), answer.overlap(passage)
                 if q >= overlap and a >= overlap:
-                    best[item] = max(best.get(item, (0.0, 0.0, 0.0)), (min(score, 1.0), q, a))
-        return [(self.items[i][0], *b) for i, b in sorted(best.items())]
+                    best[t][item] = max(best[t].get(item, (0.0, 0.0, 0.0)), (min(score, 1.0), q, a))
+        return [[(self.items[i][0], *b) for i, b in sorted(found.items())] for found in best]
 
 
 END = 1 << 60
@@ -216,7 +258,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, least: float = LEAST_SCORE, ov
             own = pickle.loads(sent.value)
             for batch in batches:
                 ids = batch.column(0).to_pylist()
-                made = [(i, *f) for i, t in zip(ids, common.text_bytes(batch.column(1)), strict=True) for f in own.finds(t, least, overlap)]
+                made = [(i, *f) for i, found in zip(ids, own.finds(common.text_bytes(batch.column(1)), least, overlap), strict=True) for f in found]
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], k) for i, k in enumerate(kinds)], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
@@ -234,7 +276,8 @@ def drop_leaks(docs: DataFrame, items: DataFrame, least: float = LEAST_SCORE, ov
         def run(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             own = pickle.loads(sent.value)
             for batch in batches:
-                yield batch.filter(pa.array([not own.finds(t, least, overlap) for t in common.text_bytes(batch.column(at))], pa.bool_()))
+                found = own.finds(common.text_bytes(batch.column(at)), least, overlap)
+                yield batch.filter(pa.array([not f for f in found], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs
