@@ -8,14 +8,16 @@ Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; a document's set is i
 * ``BINS`` further MinHash samples (the least name in each bin of the names) are folded into an odd sketch, a
   bitmap in which every sample flips one bit. Of two sketches the population count of their XOR
   estimates how many samples differ, d = -n/2 ln(1 - 2x/n) with n bits, x of them odd, and so, precisely where it
-  is high, the similarity. Candidates whose estimate is ``MARGIN`` below the threshold, six or more
-  standard deviations, go without a look at their texts.
+  is high, the similarity: a bin whose least name only one set has differs once, or twice where the other
+  set has a name there too, which it does in the share of bins it fills. Candidates whose estimate is ``MARGIN``
+  below the threshold, seven standard deviations where all bins are full, go without a look at their texts.
 
 Equal sets are a class from the start, and only its smallest id goes on. In every bucket a leader (the member
-with the least hash of id and key) meets all others; candidates that pass are confirmed on full sets; components
-follow. A bucket whose members are in one component is settled. In the others, each member outside the bucket's
-largest component meets all members of other components: both sides are cut into blocks, a task takes one block
-of each, compares sketches, and gives out only candidates that pass, each in the first bucket the two share.
+with the least hash, of ``LEADS`` kinds by band) meets all others; candidates that pass are confirmed on full sets;
+components follow. A bucket whose members are in one component is settled. In the others, each member outside
+the bucket's largest component meets all members of other components: both sides are cut into blocks, a task takes
+one block of each, compares sketches, and gives out candidates that pass, each in the first bucket the two
+share: in one round only the likeliest of each member, in a second all that are then still apart.
 A pair is left out only where its two are known to be connected or its sketches rule it out: no group's pairs are
 made, no bucket is one task, nothing is capped.
 
@@ -42,6 +44,7 @@ from txnlake.llm.components import components
 SHINGLE, BANDS, ROWS = 5, 40, 4
 BINS, SKETCH_WORDS = 1024, 32  # samples of a sketch; its words of 64 bits
 MARGIN = 0.08
+LEADS = 4
 OUTSIDERS, MEMBERS = 256, 1024  # rows of a block on either side
 WORDS_KEPT = 500_000  # names of words a worker remembers
 _RNG = np.random.default_rng(5)
@@ -106,11 +109,12 @@ def odd_sketch(names: np.ndarray) -> tuple[int, np.ndarray]:
 
 
 def estimate(a_samples, b_samples, odd_bits):
-    """Upper estimate of the similarity of numpy values; -1 where the sketches have nothing in common."""
+    """Estimated similarity of numpy values; -1 where the sketches have nothing in common."""
     n = 64.0 * SKETCH_WORDS
     differ = -n / 2 * np.log(np.maximum(1 - 2 * odd_bits / n, 1e-9))
     both = (a_samples + b_samples - differ) / 2
-    return np.where(both > 0, both / np.maximum(both + differ / 2, 1e-9), -1.0)
+    full = 1 + np.maximum(a_samples, b_samples) / BINS
+    return np.where(both > 0, both / np.maximum(both + differ / full, 1e-9), -1.0)
 
 
 SIGNED = "doc_id long, n_shingles long, digest string, bands array<long>, samples int, sketch array<long>"
@@ -170,17 +174,20 @@ def candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     odd = sum((F.bit_count(F.col("a_sketch")[i].bitwiseXOR(F.col("b_sketch")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
     n = 64.0 * SKETCH_WORDS
     differ = F.log(F.greatest(1 - 2 * odd / F.lit(n), F.lit(1e-9))) * F.lit(-n / 2)
-    both = pairs.distinct().join(one, "a").join(two, "b").select("a", "b", (F.col("a_n") + F.col("b_n")).alias("n"), differ.alias("d"))
-    return both.filter((F.col("n") - F.col("d")) / 2 >= F.lit(percent / 100 - MARGIN) * F.col("n") / 2).select("a", "b")
+    full = 1 + F.greatest("a_n", "b_n") / F.lit(float(BINS))
+    shared = (F.col("a_n") + F.col("b_n") - F.col("d")) / 2
+    both = pairs.distinct().join(one, "a").join(two, "b").select("a", "b", "a_n", "b_n", differ.alias("d"))
+    return both.filter((shared > 0) & (shared >= F.lit(percent / 100 - MARGIN) * (shared + F.col("d") / full))).select("a", "b")
 
 
 MEMBER = "id long, root long, main long, samples int, bands array<long>, sketch array<long>"
 
 
-def between_components(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def between_components(placed: DataFrame, classes: DataFrame, percent: int, likeliest: bool) -> DataFrame:
     """Candidates (a, b) in open buckets whose two are in different components.
 
-    ``placed``: key, id, root, main (root of the bucket's largest component).
+    ``placed``: key, id, root, main (root of the bucket's largest component). ``likeliest``: of each member
+    outside of it only the likeliest candidate inside and the likeliest other, per pair of blocks.
     """
     out = F.col("root") != F.col("main")
     sizes = placed.groupBy("key").agg(F.ceil(F.count_if(out) / OUTSIDERS).alias("outs"), F.ceil(F.count("*") / MEMBERS).alias("alls"))
@@ -204,10 +211,14 @@ def between_components(placed: DataFrame, classes: DataFrame, percent: int) -> D
             # Of two outsiders the one with the smaller id asks.
             j = j[(values["root"][j] == values["main"][j]) | (values["id"][j] > values["id"][i])]
             odd = np.bitwise_count(sketches[j] ^ sketches[i]).sum(axis=1)
-            j = j[estimate(values["samples"][i], values["samples"][j], odd) >= least]
+            score = estimate(values["samples"][i], values["samples"][j], odd)
+            j, score = j[score >= least], score[score >= least]
             if len(j):
-                shared = bands[j] == bands[i]
-                j = j[bands[i][shared.argmax(axis=1)] == own]
+                first = bands[i][(bands[j] == bands[i]).argmax(axis=1)] == own
+                j, score = j[first], score[first]
+                if likeliest:
+                    inside = values["root"][j] == values["main"][j]
+                    j = np.array([j[x][score[x].argmax()] for x in (inside, ~inside) if x.any()], np.int64)
                 found += [(min(x, values["id"][i]), max(x, values["id"][i])) for x in values["id"][j]]
         return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
@@ -216,26 +227,38 @@ def between_components(placed: DataFrame, classes: DataFrame, percent: int) -> D
 
 def link(classes: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     """Components (id, root) of ``classes`` (id, bands, samples, sketch)."""
-    buckets = classes.select("id", F.explode("bands").alias("key"))
-    first = buckets.groupBy("key").agg(F.min_by("id", F.xxhash64("id", "key")).alias("lead"), F.count("*").alias("n")).filter("n > 1")
+    buckets = classes.select("id", F.posexplode("bands").alias("band", "key"))
+    kind = F.xxhash64("id", F.col("band") % LEADS)
+    first = buckets.groupBy("key").agg(F.min_by("id", kind).alias("lead"), F.count("*").alias("n")).filter("n > 1")
     first = first.select(F.col("key").alias("of"), "lead", "n")
     shared, path = common.store(buckets.join(first, F.col("key") == F.col("of")).select("key", "id", "lead", "n"), "near-buckets")
     pairs = shared.filter("lead <> id").select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
     links, _ = common.store(confirm(candidates(pairs, classes, percent), docs, doc_id, text, percent), "near-links")
     groups, _ = common.store(components(links), "near-groups")
-    # Members that have not led, with their component; a bucket of two is settled.
+    # Members that have not led; a bucket of two is settled.
+    members, old = common.store(shared.filter("n > 2 and lead <> id").select("key", "id"), "near-members")
+    common.discard(classes.sparkSession, path)
+    for likeliest in (True, False):
+        placed, _ = common.store(in_open_buckets(members, groups), "near-open")
+        if placed.isEmpty():
+            break
+        more, _ = common.store(between_components(placed, classes, percent, likeliest).distinct(), "near-between")
+        new, _ = common.store(confirm(more, docs, doc_id, text, percent), "near-more-links")
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            groups, _ = common.store(components(links), "near-groups")
+    common.discard(classes.sparkSession, old)
+    return groups
+
+
+def in_open_buckets(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """(key, id, root, main) of the members of buckets with several components; main is the largest one's root."""
     known = groups.select(F.col("id").alias("of"), "root")
-    placed = shared.filter("n > 2 and lead <> id").select("key", "id").join(known, F.col("id") == F.col("of"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    placed = members.join(known, F.col("id") == F.col("of"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
     counts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
     main = counts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("groups")).filter("groups > 1")
     main = main.select(F.col("key").alias("of"), F.col("main.root").alias("main"))
-    placed, _ = common.store(placed.join(main, F.col("key") == F.col("of")).select("key", "id", "root", "main"), "near-open")
-    common.discard(classes.sparkSession, path)
-    if placed.isEmpty():
-        return groups
-    more, _ = common.store(between_components(placed, classes, percent), "near-between")
-    new, _ = common.store(confirm(more, docs, doc_id, text, percent), "near-more-links")
-    return groups if new.isEmpty() else components(links.unionByName(new))
+    return placed.join(main, F.col("key") == F.col("of")).select("key", "id", "root", "main")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
