@@ -149,6 +149,7 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, doc_id: str = "doc
     if cold or not keyed.select("content").distinct().join(stored, "content", "left_anti").isEmpty():
         missing = texts if cold else texts.join(stored, "content", "left_anti")
         encode_missing(missing, tokenizer).write.mode("append").parquet(own)
-    counts = read_cache(spark, own).withColumnRenamed("content", "__content")
+    # Stored, one row per content: read plainly, the join can split a content that a third of the rows share.
+    counts, _ = common.store(read_cache(spark, own).withColumnRenamed("content", "__content"), "token-counts")
     joined = keyed.join(counts, F.col("content") == F.col("__content"), "left")
     return joined.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "content")
