@@ -58,8 +58,9 @@ def mark_revisits(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     base = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), body.alias("payload"))
     base = base.withColumn("payload_digest", F.sha2("payload", 256))
-    firsts = base.filter(F.octet_length("payload") >= LEAST_REVISITED).groupBy("payload_digest").agg(F.min("page_id").alias("__first"))
-    firsts = firsts.withColumnRenamed("payload_digest", "__digest")
+    firsts = base.filter(F.octet_length("payload") >= LEAST_REVISITED).groupBy("payload_digest").agg(F.min("page_id").alias("__first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    # Stored: read plainly, the join can split a digest that a third of the rows share.
+    firsts, _ = common.store(firsts.withColumnRenamed("payload_digest", "__digest"), "warc-firsts")
     joined = base.join(firsts, F.col("payload_digest") == F.col("__digest"), "left")
     again = F.col("__first") < F.col("page_id")
     return joined.select("page_id", "url", "payload", "payload_digest", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("__first")).alias("refers_to"))
