@@ -149,16 +149,13 @@ def test_leaks_by_shards_and_partial_overlap(spark, monkeypatch):
     assert decontaminate.find_leaks(docs, items.limit(0)).count() == 0 and decontaminate.find_leaks(docs.limit(0), items).count() == 0
 
 
-def test_batches_cut_long_texts_and_keep_all_rows(spark, monkeypatch):
+def test_batches_cut_long_texts_and_keep_all_rows(spark):
     docs = spark.createDataFrame([(i, "x" * (i * 1000)) for i in range(40)], "doc_id long, text string").repartition(2)
-    monkeypatch.setattr(common, "BATCH_BYTES", 50_000)
 
     def encode(rows: pa.Table) -> bytes:
         return ",".join(map(str, rows.column(0).to_pylist())).encode()
 
-    limit = common.BATCH_BYTES
-    assert limit == 50_000
-    rows = common.text_batches(docs, "text", encode).collect()
+    rows = common.text_batches(docs, "text", encode, 50_000).collect()
     assert sorted(int(x) for r in rows for x in bytes(r["blob"]).decode().split(",")) == list(range(40))
     assert len({r["batch"] for r in rows}) == len(rows) and sum(r["bytes"] for r in rows) == sum(range(40)) * 1000
 

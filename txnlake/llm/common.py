@@ -88,9 +88,10 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()]
 
 
-def text_batches(docs: DataFrame, text: str, encode: Callable[[pa.Table], bytes]) -> DataFrame:
+def text_batches(docs: DataFrame, text: str, encode: Callable[[pa.Table], bytes], batch_bytes: int | None = None) -> DataFrame:
     """One row per batch: its number, its bytes of text, and what ``encode`` makes of its rows."""
     at = docs.columns.index(text)
+    limit = batch_bytes or BATCH_BYTES
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -107,11 +108,11 @@ def text_batches(docs: DataFrame, text: str, encode: Callable[[pa.Table], bytes]
             begun = 0
             while begun < batch.num_rows:
                 done = ends[begun - 1] if begun else 0
-                stop = min(batch.num_rows, max(begun + 1, int(np.searchsorted(ends, done + BATCH_BYTES - size, "right"))))
+                stop = min(batch.num_rows, max(begun + 1, int(np.searchsorted(ends, done + limit - size, "right"))))
                 held.append(batch.slice(begun, stop - begun))
                 size += int(ends[stop - 1] - done)
                 begun = stop
-                if size >= BATCH_BYTES or begun < batch.num_rows:
+                if size >= limit or begun < batch.num_rows:
                     yield row(held)
                     held, size, number = [], 0, number + 1
         if held:

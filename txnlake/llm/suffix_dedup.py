@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from txnlake.llm import common
 
 LENGTH, SEED = 50, 20
+BATCH_BYTES = 8 << 20  # a batch is taken apart into some forty times its bytes
 SPAN = LENGTH - SEED + 1  # positions inside a window
 PIECE = 1 << 18
 _LOW = np.uint64(PIECE * 2 - 1)
@@ -234,7 +235,7 @@ _ASKED = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), ("payload", p
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", names: list[str] = RESULT_NAMES) -> DataFrame:
     """``docs`` with the text that is left, and n_bytes, n_removed, n_spans, kept_sha256 (or ``names``)."""
     spark = docs.sparkSession
-    batches, kept_batches = common.store(common.text_batches(docs, text, lambda rows: _write(rows, doc_id)), "suffix-batches")
+    batches, kept_batches = common.store(common.text_batches(docs, text, lambda rows: _write(rows, doc_id), BATCH_BYTES), "suffix-batches")
     buckets = common.bucket_count(batches)
 
     def ask_blocks(batch: int, blob: bytes) -> list[tuple]:
