@@ -126,6 +126,32 @@ def test_repeats_in_pieces_and_batches(spark, monkeypatch):
     assert rows_of(suffix_dedup.remove_repeats(df), "doc_id", *suffix_dedup.RESULT_NAMES) == sorted(brute.repeats(docs))
 
 
+def test_repeats_around_a_common_line(spark, monkeypatch):
+    """A line shorter than a repeat, in all documents between different neighbours, does not gather in a bucket."""
+    r = random.Random(12)
+
+    def noise(n):
+        return "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+
+    line, twice = noise(45), noise(70)
+    docs = [(i, noise(55) + line + (twice if i % 40 == 7 else noise(55))) for i in range(600)]
+    sizes, answer_each = [], suffix_dedup.common.answer_each
+
+    def measured(asked, answer, *more):
+        of_bucket = {}
+        for q in asked.collect():
+            rows = len(next(iter(suffix_dedup.common.unframe(q["payload"]).values())))
+            of_bucket[q["bucket"]] = of_bucket.get(q["bucket"], 0) + rows
+        sizes.append(of_bucket)
+        return answer_each(asked, answer, *more)
+
+    monkeypatch.setattr(suffix_dedup.common, "answer_each", measured)
+    monkeypatch.setattr(suffix_dedup.common, "bucket_count", lambda batches: 64)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    assert rows_of(suffix_dedup.remove_repeats(df), "doc_id", *suffix_dedup.RESULT_NAMES) == sorted(brute.repeats(docs))
+    assert all(max(s.values()) < 3 * sum(s.values()) / 64 + 20 for s in sizes)
+
+
 def test_repeats_of_awkward_rows(spark):
     docs = brute.awkward(spark)
     with pytest.raises(Exception):  # noqa: B017  a clash is the caller's to name

@@ -8,14 +8,17 @@ equal or not here, so the rank of a string is its 64-bit name, and Spark brings
 1. At length ``SEED``: of the positions inside each window of ``LENGTH`` bytes only the one with the least
    scrambled rank stands for the window. Equal windows pick equal places, so no repeat is lost, and
    about one position in sixteen remains. The windows of one position are a block.
-2. Positions that are unique at ``SEED`` leave. The pair of rank and name of the whole block ranks the
-   others anew: a block equal to one of a smaller document goes as a whole.
-3. Positions whose rank at ``SEED`` has several different blocks are ranked again at ``LENGTH``, window by
-   window, by two 64-bit names.
-
-Each batch of documents asks with its distinct ranks only (see ``common``), so a passage that stands in a
-third of all documents is one question per batch. What the batch itself can decide it does: the
-later of two equal blocks goes without asking.
+2. Positions that are unique at ``SEED`` leave. Where all blocks of a rank are equal, those of a larger
+   document than the least go as a whole.
+3. Where a rank has several different blocks, the pair of rank and name of the whole block ranks them anew: a
+   block equal to one of a smaller document goes as a whole.
+4. What is left of these is ranked again at ``LENGTH``, window by window, by two 64-bit names.
+
+Each batch of documents asks with its distinct ranks only, then with distinct pairs, then with distinct
+windows (see ``common``). A rank is one row per batch, with its least and greatest document and name, however
+many different blocks it has; pairs are dealt by name and windows by their own, so a string that stands in a
+third of all documents between different neighbours does not gather either. What the batch itself can
+decide it does: the later of two equal blocks goes without asking.
 
 Defined cases: null and empty texts have no bytes; texts shorter than ``LENGTH`` lose nothing; rows that
 repeat an id do not remove from each other; a null id counts as larger than all others and two null ids as
@@ -81,6 +84,23 @@ class Blocks:
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         self.first, self.of = first[order], place[inverse]
+        self.ranks, self.rank_of = np.unique(self.rank[self.first], return_inverse=True)
+
+    def asked_ranks(self, ids: np.ndarray) -> dict[str, np.ndarray]:
+        """A row per distinct rank: its least document and name, and how far the greatest are beyond (mostly 0)."""
+        order = np.argsort(self.rank_of, kind="stable")
+        at = np.searchsorted(self.rank_of[order], np.arange(len(self.ranks)))
+        out = {"rank": self.ranks}
+        for key, of_class in (("doc", ids[self.doc[self.first]]), ("name", self.name[self.first])):
+            own = of_class[order]
+            out[key] = np.minimum.reduceat(own, at) if len(at) else own
+            out[f"{key}_more"] = (np.maximum.reduceat(own, at) if len(at) else own) - out[key]
+        return out
+
+    def asked_pairs(self, ids: np.ndarray, classes: np.ndarray) -> dict[str, np.ndarray]:
+        """A row per class: its name, rank and least document."""
+        first = self.first[classes]
+        return {"name": self.name[first], "rank": self.rank[first], "doc": ids[self.doc[first]]}
 
     def _piece(self, a: int, valid: np.ndarray):
         x = self.data[a : a + PIECE + LENGTH - 1]
@@ -163,30 +183,38 @@ def _groups(*keys: np.ndarray) -> np.ndarray:
 BEFORE, SEVERAL = 1, 2
 
 
-def _answer_blocks(bucket: int, batches: list[int], asked: list[dict[str, np.ndarray]]) -> list[tuple]:
-    """Per block: is there an equal one in a smaller document; else, do others share its rank."""
-    rank, name, doc = [np.concatenate([q[k] for q in asked]) for k in ("rank", "name", "doc")]
-    order = np.lexsort((doc, name, rank))
-    r, d = rank[order], doc[order]
-    new_rank, new_class = _groups(r), _groups(r, name[order])
-    at = np.flatnonzero(new_rank)
-    group, kind = np.cumsum(new_rank) - 1, np.cumsum(new_class) - 1
-    several = (np.add.reduceat(new_class.astype(np.int64), at) > 1) & (np.minimum.reduceat(d, at) < np.maximum.reduceat(d, at))
-    least = d[np.flatnonzero(new_class)][kind]
+def _answer_ranks(bucket: int, batches: list[int], asked: list[dict[str, np.ndarray]]) -> list[tuple]:
+    """Per rank: has it several names and documents; else, is there a smaller document than the batch's."""
+    rank, doc, doc_more, name, name_more = [np.concatenate([q[k] for q in asked]) for k in ("rank", "doc", "doc_more", "name", "name_more")]
+    order = np.argsort(rank, kind="stable")
+    new = _groups(rank[order])
+    at, group = np.flatnonzero(new), np.cumsum(new) - 1
+    least, names = np.minimum.reduceat(doc[order], at), np.minimum.reduceat(name[order], at)
+    one_doc = np.maximum.reduceat((doc + doc_more)[order], at) == least
+    one_name = np.maximum.reduceat((name + name_more)[order], at) == names
     flags = np.empty(len(rank), np.uint8)
-    flags[order] = np.where(least < d, BEFORE, np.where(several[group], SEVERAL, 0))
+    flags[order] = np.where((one_doc | one_name)[group], np.where(one_name[group] & (least[group] < doc[order]), BEFORE, 0), SEVERAL)
     return [(b, bucket, common.frame(**a)) for b, a in _split(batches, [q["rank"] for q in asked], {"flag": flags})]
 
 
+def _answer_pairs(bucket: int, batches: list[int], asked: list[dict[str, np.ndarray]]) -> list[tuple]:
+    """Per block: is there an equal one in a smaller document."""
+    return _answer_equal(bucket, batches, asked, "name", "rank")
+
+
 def _answer_windows(bucket: int, batches: list[int], asked: list[dict[str, np.ndarray]]) -> list[tuple]:
     """Per window: does an equal one start in a smaller document."""
-    one, two, doc = [np.concatenate([q[k] for q in asked]) for k in ("one", "two", "doc")]
+    return _answer_equal(bucket, batches, asked, "one", "two")
+
+
+def _answer_equal(bucket: int, batches: list[int], asked: list[dict[str, np.ndarray]], key: str, other: str) -> list[tuple]:
+    one, two, doc = [np.concatenate([q[k] for q in asked]) for k in (key, other, "doc")]
     order = np.lexsort((doc, two, one))
     d = doc[order]
     new = _groups(one[order], two[order])
     flags = np.empty(len(one), np.uint8)
     flags[order] = d[np.flatnonzero(new)][np.cumsum(new) - 1] < d
-    return [(b, bucket, common.frame(**a)) for b, a in _split(batches, [q["one"] for q in asked], {"flag": flags})]
+    return [(b, bucket, common.frame(**a)) for b, a in _split(batches, [q[key] for q in asked], {"flag": flags})]
 
 
 def _distinct_windows(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -235,19 +263,30 @@ _ASKED = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), ("payload", p
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", names: list[str] = RESULT_NAMES) -> DataFrame:
     """``docs`` with the text that is left, and n_bytes, n_removed, n_spans, kept_sha256 (or ``names``)."""
     spark = docs.sparkSession
-    batches, kept_batches = common.store(common.text_batches(docs, text, lambda rows: _write(rows, doc_id), BATCH_BYTES), "suffix-batches")
+    batches, _ = common.store(common.text_batches(docs, text, lambda rows: _write(rows, doc_id), BATCH_BYTES), "suffix-batches")
     buckets = common.bucket_count(batches)
 
-    def ask_blocks(batch: int, blob: bytes) -> list[tuple]:
+    def ask_ranks(batch: int, blob: bytes) -> list[tuple]:
         rows = _read(blob)
-        blocks, ids = Blocks(_texts(rows, text)), _ids(rows, doc_id)
-        asked = {"rank": blocks.rank[blocks.first], "name": blocks.name[blocks.first], "doc": ids[blocks.doc[blocks.first]]}
-        return common.questions(batch, asked, "rank", buckets)
+        return common.questions(batch, Blocks(_texts(rows, text)).asked_ranks(_ids(rows, doc_id)), "rank", buckets)
 
-    first, kept_first = common.store(common.answer_each(common.ask_each(batches, ask_blocks), _answer_blocks, common.ASK_SCHEMA, _ASKED), "suffix-blocks")
+    first, _ = common.store(common.answer_each(common.ask_each(batches, ask_ranks), _answer_ranks, common.ASK_SCHEMA, _ASKED), "suffix-ranks")
+
+    def several(blocks: Blocks, answers: dict) -> tuple[np.ndarray, np.ndarray]:
+        """Flags of all classes by their ranks alone, and the classes that ask by pair."""
+        flags = common.answered(blocks.ranks, buckets, answers, {"flag": np.uint8})["flag"][blocks.rank_of]
+        return flags, np.flatnonzero(flags == SEVERAL)
 
     def flags_of(blocks: Blocks, answers: dict) -> np.ndarray:
-        return common.answered(blocks.rank[blocks.first], buckets, answers, {"flag": np.uint8})["flag"]
+        flags, classes = several(blocks, answers)
+        before = common.answered(blocks.name[blocks.first[classes]], buckets, answers, {"flag": np.uint8}, buckets)["flag"]
+        flags[classes] = np.where(before, BEFORE, SEVERAL)
+        return flags
+
+    def ask_pairs(batch: int, blob: bytes, answers: dict) -> pa.Table:
+        rows = _read(blob)
+        blocks, ids = Blocks(_texts(rows, text)), _ids(rows, doc_id)
+        return common.rows(common.questions(batch, blocks.asked_pairs(ids, several(blocks, answers)[1]), "name", buckets), _ASKED)
 
     def ask_windows(batch: int, blob: bytes, answers: dict) -> pa.Table:
         rows = _read(blob)
@@ -258,10 +297,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         doc = ids[np.searchsorted(blocks.ends, starts[where], "right")]
         return common.rows(common.questions(batch, {"one": one[where], "two": two[where], "doc": doc}, "one", buckets), _ASKED)
 
-    # Only answers that raise a question travel again; the first round's flags are needed in the end too.
-    asked = common.with_answers(batches, first, ask_windows, common.ASK_SCHEMA)
-    second, _ = common.store(common.answer_each(asked, _answer_windows, common.ASK_SCHEMA, _ASKED), "suffix-windows")
-    both = first.unionByName(second.withColumn("bucket", (F.col("bucket") + buckets).cast("int")))
+    def answers_to(ask, known: DataFrame, answer, name: str, rounds: int) -> DataFrame:
+        asked = common.with_answers(batches, known, ask, common.ASK_SCHEMA)
+        made, _ = common.store(common.answer_each(asked, answer, common.ASK_SCHEMA, _ASKED), name)
+        return known.unionByName(made.withColumn("bucket", (F.col("bucket") + rounds * buckets).cast("int")))
+
+    # Only what the answers before leave open is asked again; their flags are needed in the end too.
+    two_rounds = answers_to(ask_pairs, first, _answer_pairs, "suffix-pairs", 1)
+    all_rounds = answers_to(ask_windows, two_rounds, _answer_windows, "suffix-windows", 2)
 
     def finish(batch: int, blob: bytes, answers: dict) -> pa.Table:
         rows = _read(blob)
@@ -269,7 +312,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         blocks = Blocks(texts)
 
         def window_flags(one, two, doc):
-            return common.answered(one, buckets, answers, {"flag": np.uint8}, buckets)["flag"]
+            return common.answered(one, buckets, answers, {"flag": np.uint8}, 2 * buckets)["flag"]
 
         gone = _removed(blocks, ids, flags_of(blocks, answers), window_flags)
         left, counts = [], []
@@ -288,4 +331,4 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return made
 
     schema = docs.select("*", *[F.lit(None).cast(kind).alias(n) for n, kind in zip(names, ("long", "long", "long", "string"), strict=True)]).schema
-    return common.with_answers(batches, both, finish, schema)
+    return common.with_answers(batches, all_rounds, finish, schema)
