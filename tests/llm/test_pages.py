@@ -149,6 +149,16 @@ def test_leaks_by_shards_and_partial_overlap(spark, monkeypatch):
     assert decontaminate.find_leaks(docs, items.limit(0)).count() == 0 and decontaminate.find_leaks(docs.limit(0), items).count() == 0
 
 
+def test_leaks_with_a_short_or_edited_answer(spark):
+    question = "which of the seven rivers of the northern plain reaches the sea before the others do"
+    items = spark.createDataFrame([(1, f"{question}? The long brown river."), (2, f"{question.replace('rivers', 'roads')} and why is it so? Nobody knows.")], "item_id long, text string")
+    texts = [f"{question}? the long brown", f"so: {question}? The long brown stream.", f"{question}? Zebras eat grass.", f"{question.replace('rivers', 'roads')} and why is it so?", "the long brown river"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, items).collect()}
+    assert {(0, 1), (1, 1), (3, 2)} <= got
+    assert all(d != 4 for d, _ in got) and (2, 1) not in got
+
+
 def test_batches_cut_long_texts_and_keep_all_rows(spark):
     docs = spark.createDataFrame([(i, "x" * (i * 1000)) for i in range(40)], "doc_id long, text string").repartition(2)
 

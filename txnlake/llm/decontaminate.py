@@ -9,7 +9,9 @@ impacts of a passage's words are added up per block; a passage goes on only if s
 threshold. Then block-max WAND walks its postings and skips blocks whose greatest impacts do not add up.
 
 A find is verified on words: of the item's question and of its answer at least ``LEAST_OVERLAP`` of the
-``GRAM``-word sequences must stand in the passage. The answer is the last sentence of an item's text.
+``GRAM``-word sequences must stand in the passage, or of the whole item ``WHOLE_OVERLAP``, so that a leak cut or
+edited at its end is found too. The answer is the last sentence of an item's text; one of no more than ``GRAM``
+words is compared word by word.
 
 Word statistics cover all items. The index is cut into shards of at most ``SHARD_WORDS`` words, each broadcast
 in turn, so what is broadcast is bounded whatever the benchmark's size.
@@ -37,6 +39,7 @@ from txnlake.llm import common
 
 K1, B = 1.2, 0.75
 LEAST_SCORE, LEAST_OVERLAP, GRAM = 0.5, 0.5, 5
+WHOLE_OVERLAP = 0.8  # of question and answer together, whatever the answer's own
 BLOCK = 4  # items
 SHARD_WORDS = 50_000
 GROUP_WORDS = 40_000  # of texts whose passages are weighed at once
@@ -62,10 +65,10 @@ def grams(of: list[bytes], n: int) -> set[tuple[bytes, ...]]:
 
 
 class Part:
-    """A question or an answer, to be found in passages."""
+    """A question, an answer or both, to be found in passages."""
 
-    def __init__(self, of: list[bytes]):
-        self.n = min(GRAM, len(of))
+    def __init__(self, of: list[bytes], n: int = GRAM):
+        self.n = min(n, len(of))
         self.grams = grams(of, self.n) if of else set()
 
     def overlap(self, passage: list[bytes]) -> float:
@@ -101,7 +104,7 @@ class Index:
             whole = sum(weights.values())
             for w, x in weights.items():
                 postings.setdefault(w, []).append((len(self.items), x / whole))
-            self.items.append((item_id, Part(question), Part(answer)))
+            self.items.append((item_id, Part(question), Part(answer, GRAM if len(answer) > GRAM else 1), Part(own)))
             self.window = max(self.window, 2 * len(own))
         self.numbers = _Numbers((w, i) for i, w in enumerate(postings))
         self.numbers.unknown = len(postings)
@@ -208,9 +211,9 @@ class Index:
         best: list[dict[int, tuple]] = [{} for _ in texts]
         for t, passage, terms in self.passages(texts, least):
             for item, score in self.search(terms, least):
-                _, question, answer = self.items[item]
+                _, question, answer, whole = self.items[item]
                 q, a = question.overlap(passage), answer.overlap(passage)
-                if q >= overlap and a >= overlap:
+                if (q >= overlap and a >= overlap) or whole.overlap(passage) >= max(overlap, WHOLE_OVERLAP):
                     best[t][item] = max(best[t].get(item, (0.0, 0.0, 0.0)), (min(score, 1.0), q, a))
         return [[(self.items[i][0], *b) for i, b in sorted(found.items())] for found in best]
 
