@@ -159,6 +159,30 @@ def test_leaks_with_a_short_or_edited_answer(spark):
     assert all(d != 4 for d, _ in got) and (2, 1) not in got
 
 
+def test_long_text_is_weighed_in_bounded_steps(monkeypatch):
+    import random
+    import tracemalloc
+
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(500)]
+    items = [(i, " ".join(r.choices(words, k=20))) for i in range(2400)]
+    found_in = {w.encode(): sum(w in t.split() for _, t in items) for w in words}
+    index = decontaminate.Index(items, len(items), 20.0, found_in)
+    unknown = [f"u{i}" for i in range(1000)]
+    long = " ".join(items[i // 6000][1] if i % 6000 == 3000 else r.choice(words if i % 2 else unknown) for i in range(150_000)).encode()
+    tracemalloc.start()
+    got = index.finds([long, b"", items[7][1].encode()], 0.5, 0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {i for i, *_ in got[0]} >= set(range(25)) and not got[1] and 7 in {i for i, *_ in got[2]}
+    assert peak < 200 << 20
+    monkeypatch.setattr(decontaminate, "CELLS", 5)
+    short = " ".join(random.Random(1).choices(words, k=300) + [items[3][1]] + random.Random(2).choices(words, k=300)).encode()
+    few = index.finds([short, b"w1"], 0.5, 0.5)
+    monkeypatch.undo()
+    assert few == index.finds([short, b"w1"], 0.5, 0.5) and 3 in {i for i, *_ in few[0]}
+
+
 def test_batches_cut_long_texts_and_keep_all_rows(spark):
     docs = spark.createDataFrame([(i, "x" * (i * 1000)) for i in range(40)], "doc_id long, text string").repartition(2)
 

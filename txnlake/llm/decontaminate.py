@@ -42,7 +42,8 @@ LEAST_SCORE, LEAST_OVERLAP, GRAM = 0.5, 0.5, 5
 WHOLE_OVERLAP = 0.8  # of question and answer together, whatever the answer's own
 BLOCK = 4  # items
 SHARD_WORDS = 50_000
-GROUP_WORDS = 40_000  # of texts whose passages are weighed at once
+GROUP_WORDS = 40_000  # of texts whose passages are made together, whole texts at least
+CELLS = 1 << 24  # (word, window, block) bounds added up at once
 # A-Z to lower case, punctuation to space, so that glued marks do not hide a word.
 _FOLD = bytes.maketrans(string.ascii_uppercase.encode() + string.punctuation.encode(), string.ascii_lowercase.encode() + b" " * len(string.punctuation))
 _LAST_SENTENCE = re.compile(r"(?s)^(.*[.!?\n])\s*(\S.*)$")
@@ -171,7 +172,7 @@ class Index:
         """(text, window, known words) of the windows in which some block can reach ``least``."""
         if not self.postings or not texts:
             return
-        unknown, step = self.numbers.unknown, self.window // 2
+        step = self.window // 2
         ids = np.fromiter(map(self.numbers.__getitem__, itertools.chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
         offsets = np.cumsum([0, *map(len, texts)])
         of, starts, ends = [], [], []
@@ -181,20 +182,32 @@ class Index:
             starts.append(own)
             ends.append(np.minimum(own + self.window, len(words_of)))
         of, starts, ends = map(np.concatenate, (of, starts, ends))
-        sizes = ends - starts
-        window = np.repeat(np.arange(len(of)), sizes)
-        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(offsets[of] + starts, sizes)
+        # So many windows at once that their words times the blocks stay bounded, however long a text is.
+        done, total = 0, np.concatenate([[0], np.cumsum(ends - starts)])
+        while done < len(of):
+            stop = max(done + 1, int(np.searchsorted(total, total[done] + CELLS // self.bounds.shape[1], "right")) - 1)
+            for w, terms in self._weighed(ids, offsets[of[done:stop]] + starts[done:stop], (ends - starts)[done:stop], least):
+                yield of[done + w], texts[of[done + w]][starts[done + w] : ends[done + w]], terms
+            done = stop
+
+    def _weighed(self, ids: np.ndarray, begins: np.ndarray, sizes: np.ndarray, least: float) -> Iterator[tuple[int, list[int]]]:
+        """(window, known words) of those in which some block can reach ``least``."""
+        unknown = self.numbers.unknown
+        window = np.repeat(np.arange(len(sizes)), sizes)
+        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(begins, sizes)
         codes = np.unique(window * (unknown + 1) + ids[at])
         window, term = codes // (unknown + 1), codes % (unknown + 1)
         window, term = window[term < unknown], term[term < unknown]
         if not len(term):
             return
         begins = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]]))
-        bounds = np.add.reduceat(self.bounds[term], begins, axis=0).max(axis=1)
+        # One window alone can be too many words for all blocks: then some blocks at a time.
+        bounds, blocks = np.zeros(len(begins), np.float32), max(1, CELLS // len(term))
+        for b in range(0, self.bounds.shape[1], blocks):
+            bounds = np.maximum(bounds, np.add.reduceat(self.bounds[:, b : b + blocks][term], begins, axis=0).max(axis=1))
         last = np.append(begins[1:], len(window))
         for i in np.flatnonzero(bounds >= least - 1e-4):
-            w = window[begins[i]]
-            yield of[w], texts[of[w]][starts[w] : ends[w]], term[begins[i] : last[i]].tolist()
+            yield window[begins[i]], term[begins[i] : last[i]].tolist()
 
     def finds(self, texts: list[bytes], least: float, overlap: float) -> list[list[tuple]]:
         """Per text (item id, score, overlap of the question, of the answer), the best passage of each item."""
