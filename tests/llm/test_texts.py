@@ -116,6 +116,20 @@ def test_quality_learns_from_labels_not_held_out(spark, sf_dir):
     assert np.mean(right) > 0.9
 
 
+def test_quality_learns_from_long_texts_or_says_so(spark):
+    junk, fine = "### $$$ %%% | ! " * 600, "the cat sat on the mat and so on. " * 300
+    docs = spark.createDataFrame([(i, fine if i % 2 else junk) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    net = quality.train(docs, labels, most=500)
+    assert net.score(junk.encode()) < 0.3 < net.score(fine.encode())
+    # Labels without a document take no place in the sample.
+    many = labels.unionByName(spark.range(1000, 9000).selectExpr("id doc_id", "cast(id % 2 as int) quality"))
+    assert all((a == b).all() for a, b in zip(quality.train(docs, many, rows=40, most=500).weights(), quality.train(docs, labels, rows=40, most=500).weights(), strict=True))
+    with pytest.raises(ValueError):
+        quality.train(docs, labels.selectExpr("doc_id + 1000 doc_id", "quality"))
+    assert quality.train(docs.limit(0), labels).score(b"x") == 0.5
+
+
 def test_quality_scores_any_text_whole(spark):
     docs = brute.awkward(spark)
     junk, fine = b"### $$$ %%% | ! " * 40, b"the cat sat on the mat and so on. " * 20

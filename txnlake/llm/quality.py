@@ -6,14 +6,14 @@ of its bytes with the next), every filter's strongest answer in a chunk passes (
 a dense layer gives each chunk a hidden vector, and the mean over all chunks of the hidden vectors is combined
 into one probability. A text of any length is scored whole, a bounded slice at a time.
 
-``train`` learns from labelled rows on the driver: at most ``SAMPLE_ROWS`` rows of at most
-``SAMPLE_BYTES`` bytes each, chosen by a hash of the id. That sample is the only bounded input; scoring
-covers all documents.
+``train`` learns from labelled rows on the driver: at most ``SAMPLE_ROWS`` rows that have a document, chosen by a hash of
+the id, and of a text longer than ``SAMPLE_BYTES`` a slice of that size from a hashed place. That sample is the
+only bounded input; scoring covers all documents.
 
 Defined cases: null and empty texts are scored like a text of white space; labels, language,
 source and id never enter a score; labels that are null are not learnt from; several labels of a document
 count once each; without labels of both classes every score is the share of label 1 (one half
-without labels). Repeated rows and rows with a null id are scored like any other.
+without labels), and labels of both classes of which the sample has not two are an error, unless there are no documents. Repeated rows and rows with a null id are scored like any other.
 """
 
 from __future__ import annotations
@@ -137,9 +137,18 @@ def _gradient(net: Network, x: np.ndarray, label: float, grads: list[np.ndarray]
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS, most: int = SAMPLE_BYTES) -> Network:
     """Learn from a bounded sample of the labelled rows that are not held out (crc32 of the id mod 5 is 0)."""
     marks = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("double").alias("label")).filter("label is not null and doc_id is not null")
-    marks = marks.filter(common.remainder_of_id() != 0).withColumn("k", F.xxhash64("doc_id", "label")).orderBy("k", "doc_id", "label").limit(2 * rows)
-    whole = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")).filter(F.octet_length("text") <= most)
-    sample = whole.join(F.broadcast(marks), "doc_id").orderBy("k", "doc_id", "label", "text").limit(rows).select("text", "label").collect()
+    marks = marks.filter(common.remainder_of_id() != 0)
+    # Only labels whose document is there are drawn; ids alone decide, texts of the drawn ones follow.
+    present = marks.join(docs.select(F.col(doc_id).alias("doc_id")).distinct(), "doc_id", "left_semi")
+    drawn = present.withColumn("k", F.xxhash64("doc_id", "label")).orderBy("k", "doc_id", "label").limit(rows)
+    whole = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")).join(F.broadcast(drawn), "doc_id")
+    # Of a longer text a slice from a place its id and text choose.
+    beyond = F.greatest(F.octet_length("text") - most, F.lit(0))
+    start = F.pmod(F.xxhash64("doc_id", "text"), beyond + 1).cast("int")
+    cut = whole.select("k", "doc_id", "label", F.substring("text", start + 1, F.lit(most)).alias("text"))
+    sample = cut.orderBy("k", "doc_id", "label", "text").limit(rows).select("text", "label").collect()
+    if len({r["label"] for r in sample}) < 2 and marks.select("label").distinct().count() > 1 and not docs.isEmpty():
+        raise ValueError("the labels have several classes, but the sample of labelled documents has fewer than two")
     return fit([bytes(r["text"]) for r in sample], np.array([r["label"] for r in sample], np.float32))
 
 
