@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import common, decontaminate, fingerprints, katz, mixing, near_dup, quality, suffix_dedup, token_counts, url_filters, warc
+from txnlake.llm import common, decontaminate, fingerprints, katz, mixing, near_dup, quality, suffix_dedup, token_counts, url_filters, vector_codes, warc
 from txnlake.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,40 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", (~held).alias("train"))
     model = katz.Model(docs)
     return model.scores().select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.compressed(common.table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+# Points and entries as rows of one component each; an assignment is the least distance, then the least index.
+SQL["op11_vector_codes"] = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS n, vec_id, label, embedding, len(embedding) // 16 AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS (
+  SELECT n, i // w AS p, i % w AS d, floor(256 * embedding[i + 1]::DOUBLE)::BIGINT AS x
+  FROM (SELECT n, w, embedding, unnest(range(16 * w)) AS i FROM v)),
+s AS (SELECT n, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM v ORDER BY vec_id LIMIT 64),
+c0 AS (SELECT p, e, d, x AS c FROM x JOIN s USING (n)),
+""" + "".join(
+    f"""
+a{i} AS (SELECT n, p, min(k) // 64 AS dist, min(k) % 64 AS e
+  FROM (SELECT n, p, e, sum((x - c) * (x - c)) * 64 + e AS k FROM x JOIN c{i} USING (p, d) GROUP BY n, p, e) GROUP BY n, p),
+"""
+    + (
+        f"""
+c{i + 1} AS (SELECT p, e, d, coalesce(CAST(floor(m) AS BIGINT), c) AS c
+  FROM c{i} LEFT JOIN (SELECT p, e, d, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS m FROM x JOIN a{i} USING (n, p) GROUP BY p, e, d) USING (p, e, d)),
+"""
+        if i < 2
+        else ""
+    )
+    for i in range(3)
+) + r"""
+t AS (SELECT n, string_agg(lpad(printf('%x', e::BIGINT), 2, '0'), '' ORDER BY p) AS code, sum(dist)::BIGINT AS error FROM a2 GROUP BY n),
+h AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, d)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM v JOIN t USING (n), h
+"""
