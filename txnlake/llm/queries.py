@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import common, decontaminate, fingerprints, katz, mixing, near_dup, quality, suffix_dedup, token_counts, url_filters, vector_codes, warc
+from txnlake.llm import common, decontaminate, divergence, fingerprints, katz, mixing, near_dup, quality, secrets, suffix_dedup, token_counts, url_filters, vector_codes, warc
 from txnlake.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,33 @@ t AS (SELECT n, string_agg(lpad(printf('%x', e::BIGINT), 2, '0'), '' ORDER BY p)
 h AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, d)) AS codebooks_sha256 FROM c2)
 SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM v JOIN t USING (n), h
 """
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(common.table(spark, sf_dir, "documents"))
+
+
+SQL["op12_source_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+o AS (SELECT n, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term FROM o GROUP BY ALL HAVING count(DISTINCT n) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY ALL),
+f AS (SELECT lang, source, term, coalesce(c.n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v)::BIGINT AS p FROM f JOIN v USING (lang)),
+q AS (SELECT lang, term, 1 + (1000000000 * (sum(n)::BIGINT + 5)) // (sum(sum(n)) OVER (PARTITION BY lang) + 5 * any_value(v))::BIGINT AS q FROM f JOIN v USING (lang) GROUP BY lang, term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+w AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM r)
+SELECT lang, source, part, item, value, rank FROM w WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(common.table(spark, sf_dir, "documents"))
