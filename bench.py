@@ -14,11 +14,11 @@ import time
 
 from checks.compare import session
 from checks.queries import REGISTRY
-from txnlake import fixture as fx
+from checks import fixture as fx
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-TABLES = ["silver", "hourly", "current", "realtime"]
+TABLES = ["unique", "silver", "hourly", "current", "realtime"]
 HEADLINE = [
     "silver_dedup",
     "silver_fill_missing",

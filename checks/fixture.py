@@ -38,7 +38,12 @@ def _component(i: int) -> str:
 
 
 def unique_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per event, before copies are added."""
+    """One row per event, before copies are added; stored in several files, as tables are."""
+    return table(spark, sf_dir, "unique")
+
+
+def _derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions from events, whose file has a single row group and so is read by one task."""
     e, value = F.col("event_id"), F.col("value")
     amount = (
         F.when(e % 211 == 0, None)
@@ -135,6 +140,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, dated: bool = False) -> D
     and its ``split``, ``hourly`` the gold hours, ``realtime`` the stream records.
     """
     build = {
+        "unique": lambda: _derived(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism),
         "silver": lambda: silver_table(spark, sf_dir, amount_outlier=True),
         "hourly": lambda: hourly_table(spark, sf_dir),
         "current": lambda: ml.with_split(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnlake import fixture as fx
+from checks import fixture as fx
 from txnlake.functions import timing
 from txnlake.operators import cdc, gold, ml, profile, quality, silver
 from txnlake.plans import goldsets, unified, views

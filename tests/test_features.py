@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from txnlake.functions import amount as amt
 from txnlake.functions import components as comp
 from txnlake.functions import scoring, timing
-from txnlake.streaming.rolling import frame_statistics
+from txnlake.operators import scale
 
 
 def values(spark, xs, kind="double"):
@@ -122,10 +122,18 @@ def test_risk_is_capped_and_ordered(spark):
     assert got == pytest.approx([1.0, 0.3, 0.5, 0.0])
 
 
-def test_frame_statistics():
-    values = np.arange(1.0, 251.0)
-    stats = frame_statistics(values, 50)
-    assert len(stats) == 200
-    for place, row in zip(range(50, 250), stats):
-        frame = values[max(0, place - 99) : place + 1]
-        assert row == pytest.approx([frame.mean(), frame.std(), frame.min(), frame.max(), len(frame) / 5])
+@pytest.mark.parametrize("size", [1, 4, 100])
+def test_frame_statistics(spark, size):
+    rng = np.random.default_rng(size)
+    values = [None if i % 17 == 3 else float(v) for i, v in enumerate(rng.normal(scale=1e3, size=250))]
+    df = spark.createDataFrame([(k, i, v) for k in (1, 2, None) for i, v in enumerate(values[: 250 if k == 1 else 60])], "k int, i int, v double")
+    kinds = {"a": "mean", "s": "std", "lo": "min", "hi": "max", "n": "rows"}
+    rows = scale._framed(df, ["k"], ["i"], size, "v", kinds).collect()
+    assert len(rows) == 370
+    for r in rows:
+        frame = [v for v in values[max(0, r["i"] - size + 1) : r["i"] + 1] if v is not None]
+        assert r["n"] == min(r["i"] + 1, size)
+        if frame:
+            assert [r["a"], r["s"], r["lo"], r["hi"]] == pytest.approx([np.mean(frame), np.std(frame), min(frame), max(frame)], abs=1e-6)
+        else:
+            assert [r["a"], r["s"], r["lo"], r["hi"]] == [None] * 4

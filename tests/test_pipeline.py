@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from txnlake import fixture as fx
+from checks import fixture as fx
 from txnlake.__main__ import result
 from txnlake.operators import silver
 from txnlake.plans import pipeline

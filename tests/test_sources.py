@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.queries import REGISTRY
-from txnlake import fixture as fx
+from checks import fixture as fx
 from txnlake.plans import views
 from txnlake.schemas import BRONZE_COLS, CORRUPT
 from txnlake.session import shared_dir

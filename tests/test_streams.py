@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from txnlake import fixture as fx
+from checks import fixture as fx
 from txnlake.sources import files, tables
 from txnlake.streaming import decode, features, sinks, windows
 from txnlake.streaming import rolling as rolling_state

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from txnlake import fixture as fx
+from checks import fixture as fx
 from txnlake.operators import gold, ml, profile, quality, silver
 from txnlake.schemas import TXN_SCHEMA, V_COLS
 
@@ -113,10 +113,17 @@ def test_warnings_do_not_hide_failures(spark):
 
 
 def test_validation_sample_is_repeatable(spark):
-    df = spark.range(2000)
-    a = {r["id"] for r in quality.validation_sample(df, 100).collect()}
-    assert len(a) == 100
-    assert a == {r["id"] for r in quality.validation_sample(df.repartition(9), 100).collect()}
+    df = spark.range(20_000)
+    a = {r["id"] for r in quality.validation_sample(df, 0.05).collect()}
+    assert 800 < len(a) < 1200
+    assert a == {r["id"] for r in quality.validation_sample(df.repartition(9), 0.05).collect()}
+    assert quality.validation_sample(df, 1.0).count() == 20_000
+
+
+@pytest.mark.parametrize("share", [0, -0.1, 1.1, 100, None])
+def test_shares_lie_between_nothing_and_all(spark, share):
+    with pytest.raises(ValueError):
+        quality.validation_sample(spark.range(5), share)
 
 
 def test_scores_of_perfect_rows(spark):

@@ -2,7 +2,7 @@
 
 import os
 
-from txnlake import fixture as fx
+from checks import fixture as fx
 from txnlake.session import release, shared_dir, work_path
 
 

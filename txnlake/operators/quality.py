@@ -235,7 +235,9 @@ def expect_between(df: DataFrame, column: str = "Amount", low: float = 0.0, high
 
 
 def validation_sample(df: DataFrame, share: float = VALIDATION_SHARE, key: str = "id") -> DataFrame:
-    """A repeatable share of the keys."""
+    """A repeatable share of the keys, above 0 and up to 1."""
+    if share is None or not 0 < share <= 1:
+        raise ValueError(f"a share lies above 0 and up to 1, not {share}")
     return df.where(in_share(F.col(key), share, SAMPLE_SEED))
 
 
