@@ -705,10 +705,19 @@ def st_quarantine(s, d):
 
 @query
 def st_rolling_100_stream(s, d):
-    """The rolling state of the stream."""
-    records, out = _record_stream(s, d), work_path(s, "rolling")
-    rolling_state.rolling_files(records, out, work_path(s, "rolling-state"), work_path(s, "rolling-cp"), once=True).awaitTermination()
-    return rolling_state.read_rolled(records, out).select("transaction_id", *features.ROLLING_COLS)
+    """The rolling state of the stream: a third of the time per file, some rows up to 50 minutes late."""
+    rows = fx.table(s, d, "realtime").drop(*features.ROLLING_COLS)
+    path, out = work_path(s, "records"), work_path(s, "rolling")
+    us = timing.micros(F.col("time_stamp"))
+    border = rows.agg(F.min(us), F.max(us)).first()
+    third = (border[1] - border[0]) // 3 + 1
+    late = F.when(F.col("transaction_id") % 10 == 4, 50 * 60_000_000).otherwise(0)
+    part = F.least(F.floor((us + late - border[0]) / third), F.lit(2))
+    for i in range(3):
+        rows.where(part == i).coalesce(1).write.mode("append").parquet(path)
+    records = s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    rolling_state.rolling_files(records, out, work_path(s, "rolling-state"), work_path(s, "rolling-cp"), delay="1 HOUR", once=True)
+    return rolling_state.read_rolled(s, rows.schema.toDDL(), out).select("transaction_id", *features.ROLLING_COLS)
 
 
 @query
@@ -732,11 +741,12 @@ def st_checkpoint(s, d):
 
 @query
 def st_cdc_latest_stream(s, d):
+    """The change log in six files, a micro-batch each, folded on the way."""
     log = work_path(s, "changes")
-    fx.change_messages(s, d).write.text(log)
+    fx.change_messages(s, d).repartition(6).write.text(log)
     images, checkpoint = work_path(s, "images"), work_path(s, "images-cp")
-    changes = decode.change_columns(tables.read_text_stream(s, log))
-    sinks.append_images(changes, images, checkpoint, once=True).awaitTermination()
+    changes = decode.change_columns(tables.read_text_stream(s, log, files_per_trigger=1))
+    sinks.append_images(changes, images, checkpoint, once=True, fan=3).awaitTermination()
     return sinks.read_latest(s, images).select("id", "lsn", "amount")
 
 

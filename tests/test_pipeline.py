@@ -1,5 +1,7 @@
 """The lake end to end, from a raw file and from a change stream."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from txnlake.__main__ import result
 from txnlake.operators import silver
 from txnlake.plans import pipeline
 from txnlake.schemas import BRONZE_COLS
+from txnlake.session import shared_dir
 from txnlake.sources import files, tables
 
 
@@ -105,3 +108,18 @@ def test_stream_job(spark, sf_dir, tmp_path):
     rejected = spark.read.parquet(f"{tmp_path}/stream/quarantine").count()
     assert written + rejected == messages.count() - 1
     assert rejected == fx.unique_txn(spark, sf_dir).where("id % 12 IN (1, 2, 3, 4)").count()
+
+
+def test_stream_job_leaves_nothing_behind(spark, sf_dir, tmp_path):
+    """After many micro-batches the work folder holds what it held, and the state no more folders than after a few."""
+    messages = fx.cdc_messages(spark, sf_dir).select("value").where("value LIKE '{\"id\"%'").limit(40).repartition(5)
+    shared = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    before = sorted(os.listdir(shared))
+    messages.write.text(str(tmp_path / "in"))
+    stream = tables.read_text_stream(spark, str(tmp_path / "in"), files_per_trigger=1)
+    pipeline.stream_job(stream, str(tmp_path), once=True)
+    assert sorted(os.listdir(shared)) == before
+    assert len(os.listdir(f"{tmp_path}/stream/state/manifests")) <= 4
+    rejected = spark.read.parquet(f"{tmp_path}/stream/quarantine").count()
+    assert files.read_json_text(spark, f"{tmp_path}/stream/records").count() + rejected == 40
+    assert len(os.listdir(f"{tmp_path}/stream/state/runs")) <= 5 + 1 and len(os.listdir(f"{tmp_path}/stream/alerts")) >= 5

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,22 +115,22 @@ def records(spark, sf_dir):
     return fx.realtime_table(spark, sf_dir).orderBy("time_stamp", "transaction_id").cache()
 
 
-def halves(records, tmp_path):
-    """The records as files in event order; the second half is added later."""
+def halves(records):
+    """The records in event order, in two parts."""
     middle = records.selectExpr("percentile(unix_micros(CAST(time_stamp AS TIMESTAMP)), 0.5)").first()[0]
     us = F.expr("unix_micros(CAST(time_stamp AS TIMESTAMP))")
-    folder = str(tmp_path / "in")
-    return folder, records.where(us <= middle).coalesce(1), records.where(us > middle).coalesce(1)
+    return records.where(us <= middle).coalesce(1), records.where(us > middle).coalesce(1)
 
 
-def rolled(spark, records, parts, tmp_path, delay=None):
-    """The parts as micro-batches of one stream."""
+def rolled(spark, records, parts, tmp_path, delay=None, runs=1):
+    """The parts as micro-batches of one stream, in so many runs of it."""
     folder, out, state, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state", "cp"))
-    for part in parts:
-        part.write.mode("append").parquet(folder)
-        stream = spark.readStream.schema(records.schema).parquet(folder)
-        rolling_state.rolling_files(stream, out, state, checkpoint, delay, once=True).awaitTermination()
-    return rolling_state.read_rolled(records, out)
+    for i, part in enumerate(parts, 1):
+        part.coalesce(1).write.mode("append").parquet(folder)
+        if i * runs % len(parts) == 0:
+            stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+            rolling_state.rolling_files(stream, out, state, checkpoint, delay, once=True)
+    return rolling_state.read_rolled(spark, records.schema.toDDL(), out)
 
 
 def assert_rolled(got, want):
@@ -142,30 +143,87 @@ def assert_rolled(got, want):
 
 
 def test_rolling_stream_restarts_from_its_checkpoint(spark, records, tmp_path):
-    _, early, late = halves(records, tmp_path)
-    assert_rolled(rolled(spark, records, (early, late), tmp_path), features.with_rolling(records))
+    assert_rolled(rolled(spark, records, halves(records), tmp_path, delay="10 minutes", runs=2), features.with_rolling(records))
 
 
-def test_rolling_stream_of_a_busy_account_with_late_rows(spark, records, tmp_path):
-    """One account has a third of the rows; every tenth row comes a batch late; the last batch brings time forward."""
+@pytest.mark.parametrize("delay", [True, False])
+def test_rolling_stream_of_a_busy_account_with_late_rows(spark, records, tmp_path, delay):
+    """One account has a third of the rows; every tenth row comes a batch late. Waiting makes the result that of a batch."""
     busy = records.withColumn("account_id", F.when(F.col("transaction_id") % 3 == 0, 7).otherwise(F.col("account_id")))
     span = busy.selectExpr("min(time_stamp) AS a", "max(time_stamp) AS b").first()
     third = (span["b"] - span["a"]) / 3
     part = F.when(F.col("time_stamp") < F.lit(span["a"] + third), 0).when(F.col("time_stamp") < F.lit(span["a"] + 2 * third), 1).otherwise(2)
     dealt = busy.withColumn("part", part + (F.col("transaction_id") % 10 == 4).cast("int")).cache()
-    last = busy.limit(1).withColumns({"transaction_id": F.lit(10**9).cast("long"), "account_id": F.lit(-1).cast("long"), "time_stamp": F.lit(span["b"] + 4 * third).cast("timestamp_ntz")})
-    parts = [dealt.where(F.col("part") == i).drop("part").coalesce(1) for i in range(4)] + [last]
+    parts = [dealt.where(F.col("part") == i).drop("part") for i in range(4)]
     hours = int(third.total_seconds() // 3600) + 1
-    got = rolled(spark, busy, parts, tmp_path, delay=f"{hours} HOURS")
-    assert_rolled(got.where(F.col("transaction_id") < 10**9), features.with_rolling(busy))
+    got = rolled(spark, busy, parts, tmp_path, delay=f"{hours} HOURS" if delay else None)
+    want = features.with_rolling(busy)
+    if delay:
+        assert_rolled(got, want)
+    else:
+        cols = ["transaction_id", *features.ROLLING_COLS]
+        assert got.count() == want.count() and got.select(cols).exceptAll(want.select(cols)).count() > 0
+
+
+def kept(df):
+    rows = []
+    return rows, lambda rolled: rows.extend(rolled.collect())
 
 
 def test_rolling_stream_keeps_all_columns_and_repeats_safely(spark, records, tmp_path):
-    some = records.orderBy("transaction_id").limit(50)
-    once = rolling_state.roll(some, 0, str(tmp_path / "state")).collect()
-    assert rolling_state.roll(some, 0, str(tmp_path / "state")).exceptAll(spark.createDataFrame(once, rolling_state.with_rolling(some).schema)).count() == 0
-    back = rolling_state.roll(some, 0, str(tmp_path / "state")).select(*records.columns)
-    assert back.exceptAll(some).count() == 0 and some.exceptAll(back).count() == 0
+    some, state = records.orderBy("transaction_id").limit(50).cache(), str(tmp_path / "state")
+    early, late = some.where("transaction_id % 2 = 0"), some.where("transaction_id % 2 = 1")
+    for number, batch in enumerate((early, late)):
+        results = []
+        for _ in range(2):
+            rows, write = kept(batch)
+            rolling_state.roll(batch, number, state, write, delay=None)
+            results.append(sorted(rows, key=lambda r: r["transaction_id"]))
+        assert results[0] == results[1] and len(results[0]) == batch.count()
+        schema = features.with_rolling(some).schema
+        back = spark.createDataFrame(results[0], schema).select(*records.columns)
+        assert back.exceptAll(batch).count() == 0 and batch.exceptAll(back).count() == 0
+
+
+def test_waiting_records_of_a_repeated_batch_and_a_flush(spark, tmp_path):
+    at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    schema = "account_id long, transaction_id long, time_stamp timestamp_ntz, amount_log double"
+    batches = [[(1, 1, at(0), 1.0), (1, 2, at(9), 2.0)], [(1, 3, at(5), 3.0), (None, 4, at(12), 4.0)], [(1, 5, None, 5.0)], [(1, 6, at(60), 6.0), (1, 7, at(2), 7.0)]]
+    state, out = str(tmp_path), {}
+    for number, rows in enumerate(batches):
+        for _ in range(2):
+            got, write = kept(None)
+            rolling_state.roll(spark.createDataFrame(rows, schema), number, state, write, delay="10 minutes")
+            out[number] = {r["transaction_id"]: r["rolling_mean_100"] if "rolling_mean_100" in r else r[4] for r in got}
+    assert {n: sorted(r) for n, r in out.items()} == {0: [], 1: [1], 2: [5], 3: [2, 3, 4, 7]}
+    flushed = {}
+    rolling_state.flush(spark.createDataFrame([], schema), state, lambda rolled, number: flushed.setdefault(number, rolled.collect()))
+    assert [r["transaction_id"] for r in flushed[-4]] == [6]
+    again = {}
+    rolling_state.flush(spark.createDataFrame([], schema), state, lambda rolled, number: again.setdefault(number, 1))
+    assert again == {}
+
+
+def bytes_below(folder):
+    return sum(p.stat().st_size for p in pathlib.Path(folder).rglob("*.parquet"))
+
+
+def test_a_batch_writes_what_it_touches(spark, tmp_path):
+    """The state holds 60,000 accounts; batches of five write a small part of it, also when runs are folded."""
+    base, state = dt.datetime(2024, 1, 1), str(tmp_path)
+    record = "account_id long, transaction_id long, time_stamp timestamp_ntz, amount_log double"
+    many = spark.range(60_000).selectExpr("id AS account_id", "id AS transaction_id", "timestamp_ntz'2023-12-31' AS time_stamp", "rand(1) AS amount_log")
+    rolling_state.roll(many, 0, state, lambda rolled: rolled.count(), delay=None)
+    first = bytes_below(f"{state}/runs")
+    for number in range(1, 10):
+        rows = [(i, number * 10 + i, base + dt.timedelta(minutes=number), 1.0) for i in range(5)]
+        rolling_state.roll(spark.createDataFrame(rows, record), number, state, lambda rolled: rolled.count(), delay=None)
+    log = rolling_state.state_log(many, state)
+    live = log.manifest()["runs"]
+    assert [r["rows"] for r in live if r["name"].startswith("tail-000000000000")] == [60_000]
+    assert len(live) == 3 and any(r["name"].startswith("fold") and r["rows"] == 40 for r in live)
+    assert bytes_below(f"{state}/runs") - first < first / 3
+    assert log.current().where("account_id = 3").count() == 10
 
 
 def test_velocity_stream_equals_batch_for_closed_windows(spark, records, tmp_path):
@@ -246,3 +304,28 @@ def test_change_log_survives_a_repeated_batch(spark, tmp_path):
         sinks.append_images(changes, out, checkpoint, once=True).awaitTermination()
     live = {r["id"]: r["amount"] for r in sinks.read_latest(spark, out).collect()}
     assert live == {1: 9.0, 3: 1.0}
+
+
+def test_change_log_of_fifty_batches(spark, tmp_path):
+    """The folders a reader opens stay few, a repeated batch changes nothing, and old runs go."""
+    schema = "id long, lsn long, deleted boolean, amount double"
+    log = sinks.image_log(spark, str(tmp_path), schema, fan=3, small_rows=20, buckets=2)
+    want = {}
+    for number in range(50):
+        rows = [((number * 7 + i * 3) % 40, number * 10 + i, (number + i) % 9 == 0, float(number)) for i in range(4)]
+        want.update({r[0]: r for r in rows})
+        for _ in range(2 if number % 20 == 7 else 1):
+            log.sweep((number, 0))
+            runs = log.manifest((number, 0))["runs"]
+            made = log.add(spark.createDataFrame(rows, schema).coalesce(1), f"batch-{number:012d}")
+            log.commit((number, 0), log.folded([*runs, made], (number, 0)), {"schema": schema})
+        assert len(log.manifest()["runs"]) <= 6
+    live = {r["id"]: (r["id"], r["lsn"], r["deleted"], r["amount"]) for r in sinks.read_latest(spark, str(tmp_path)).collect()}
+    assert live == {k: v for k, v in want.items() if not v[2]}
+    assert len(list((tmp_path / "runs").iterdir())) <= 25 and len(log._manifests()) <= 4
+    assert log.manifest((30, 0)) == {"runs": [], "more": {}}
+
+
+def test_readers_need_a_manifest(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        sinks.read_latest(spark, str(tmp_path))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from txnlake.functions.timing import hour_bucket, seconds_to_ntz
 from txnlake.operators import gold, ml, profile, quality, silver
 from txnlake.schemas import CORRUPT, REQUIRED_BRONZE
-from txnlake.session import materialize
+from txnlake.session import materialize, scratch
 from txnlake.sources import files
 from txnlake.streaming import decode, features, rolling, sinks
 
@@ -92,23 +92,34 @@ def gold_report(spark: SparkSession, lake: str) -> DataFrame:
     )
 
 
-def stream_job(messages: DataFrame, lake: str, once: bool = False, delay: str | None = None) -> list:
+def stream_job(messages: DataFrame, lake: str, once: bool = False, delay: str | None = rolling.DELAY) -> list:
     """Decode, derive, roll and write a change stream; alerts and undecodable records get own folders.
 
     A micro-batch is decoded once for all three outputs; each goes to a folder of its batch, so that
-    a repeated micro-batch replaces what it wrote. Rewritten deletes are no transactions.
+    a repeated micro-batch replaces what it wrote. Rewritten deletes are no transactions. Records wait ``delay`` for
+    late ones; with ``once`` the call returns when everything available is written, those that wait included.
     """
     root = f"{lake}/stream"
 
-    def write(batch: DataFrame, number: int) -> None:
-        pictured = materialize(decode.with_image(batch), "stream-images")
-        valid, rejected = decode.parted(pictured)
-        record = materialize(features.feature_record(decode.typed(decode.live(valid)), F.current_timestamp()), "stream-records")
-        rolled = rolling.roll(record, number, f"{root}/state", delay)
+    def put(rolled: DataFrame, number: int) -> None:
         hours = rolled.withColumn("hour_bucket", hour_bucket(F.col("processed_at")))
         hours.write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("hour_bucket").json(f"{root}/records/batch={number}")
-        features.alerts(record).write.mode("overwrite").parquet(f"{root}/alerts/batch={number}")
-        rejected.write.mode("overwrite").parquet(f"{root}/quarantine/batch={number}")
+
+    def record_of(valid: DataFrame) -> DataFrame:
+        return features.feature_record(decode.typed(decode.live(valid)), F.current_timestamp())
+
+    def write(batch: DataFrame, number: int) -> None:
+        with scratch(batch.sparkSession):
+            valid, rejected = decode.parted(materialize(decode.with_image(batch), "images"))
+            record = materialize(record_of(valid), "records")
+            rolling.roll(record, number, f"{root}/state", lambda rolled: put(rolled, number), delay)
+            features.alerts(record).write.mode("overwrite").parquet(f"{root}/alerts/batch={number}")
+            rejected.write.mode("overwrite").parquet(f"{root}/quarantine/batch={number}")
 
     writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", f"{lake}/checkpoints/stream")
-    return [sinks.trigger(writer, once).start()]
+    query = sinks.trigger(writer, once).start()
+    if once:
+        query.awaitTermination()
+        schema = record_of(decode.split_valid(messages)[0]).schema
+        rolling.flush(messages.sparkSession.createDataFrame([], schema), f"{root}/state", put)
+    return [query]

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from txnlake.sources import shared
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 # Static options for a session builder: no call-site capture per column expression, which is most of
 # the driver time of building wide plans.
 BUILDER_OPTIONS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
-_fallback_dirs: dict[str, str] = {}
+# Where a local master has no folder set.
+LOCAL_DIR = "/tmp/txnlake"
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
 # Called when the work folder goes, by whoever remembers paths below it.
 ON_RELEASE: list = []
 
@@ -28,28 +34,36 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder. Only where none is set and the master is local, as in a trial, is one made."""
+    """The cluster's shared folder; ``LOCAL_DIR`` only where none is set and the master is local, as in a trial."""
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if configured:
         return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _fallback_dirs:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-        _fallback_dirs[app] = tempfile.mkdtemp(prefix="txnlake-")
-    return _fallback_dirs[app]
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
+    return LOCAL_DIR
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new path for one run, below the shared folder."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path for one run, below the shared folder (inside :func:`scratch` below its folder)."""
+    root = _scratch.get() or f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Whatever is stored inside goes at the end: for steps that are repeated without end, as micro-batches are."""
+    path = work_path(spark, "scratch")
+    before = _scratch.set(path)
+    try:
+        yield path
+    finally:
+        _scratch.reset(before)
+        shared.remove(spark, path)
 
 
 def release(spark: SparkSession) -> None:
     """Delete this application's own work folder below the shared folder."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    shared.remove(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
     for forget in ON_RELEASE:
         forget()
 

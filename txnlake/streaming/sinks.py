@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from txnlake.functions.timing import hour_bucket
 from txnlake.operators import cdc
 from txnlake.session import work_path
+from txnlake.streaming.runs import RunLog
 
 CHECKPOINT_PERIOD = "60 seconds"
 
@@ -52,24 +53,36 @@ def table_files(rows: DataFrame, path: str, checkpoint: str, once: bool = False,
     return trigger(writer, once).start()
 
 
-def append_images(changes: DataFrame, path: str, checkpoint: str, once: bool = False):
-    """Keep the folded change images of every micro-batch in ``<path>/batch=<n>``.
+def image_log(spark: SparkSession, path: str, schema: str, **sizes) -> RunLog:
+    return RunLog(spark, path, "id", schema, cdc.latest_images, **sizes)
 
-    Nothing written earlier is read or rewritten. A repeated batch replaces its own folder, so a
-    restart is safe; :func:`read_latest` resolves the images of a key.
+
+def append_images(changes: DataFrame, path: str, checkpoint: str, once: bool = False, **sizes):
+    """Keep the folded change images of every micro-batch as a run of a log (:mod:`txnlake.streaming.runs`).
+
+    Runs of like size are folded, so the folders a reader opens grow with the logarithm of the log; one manifest
+    switches to each new state as a whole. A repeated batch replaces its own run, so a restart is safe. Deletes stay as
+    images, so that an older image that comes later does not bring its key back.
     """
+    schema = changes.schema.toDDL()
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        images = cdc.latest_images(batch.where(F.col("id").isNotNull()))
-        images.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    def write(batch: DataFrame, number: int) -> None:
+        log, at = image_log(batch.sparkSession, path, schema, **sizes), (number, 0)
+        log.sweep(at)
+        runs = log.manifest(at)["runs"]
+        made = log.add(batch.where(F.col("id").isNotNull()), f"batch-{number:012d}")
+        log.commit(at, log.folded(runs + ([made] if made["rows"] else []), at), {"schema": schema})
 
     writer = changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return trigger(writer, once).start()
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """Latest image per key that is not a delete."""
-    return cdc.live_rows(spark.read.parquet(path).drop("batch"))
+    """Latest image per key that is not a delete, as of the newest manifest."""
+    found = image_log(spark, path, "").manifest()
+    if "schema" not in found["more"]:
+        raise FileNotFoundError(f"no change images below {path}")
+    return cdc.live_rows(image_log(spark, path, found["more"]["schema"]).read(found["runs"]))
 
 
 def run_to_end(rows: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
