@@ -124,17 +124,20 @@ def rolling(
     rows: int,
     value: str,
     outputs: dict[str, str],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Statistics of ``value`` over the current and the ``rows - 1`` preceding rows, per key or overall.
 
     ``outputs`` maps new columns to ``mean``, ``std`` (population), ``min``, ``max`` or ``rows``.
     Ordinary keys stay in one task each. Keys with more than ``hot_rows`` rows, and the form without
-    keys, are split into blocks that carry the last rows of the block before them.
+    keys, are split into blocks that carry the last rows of the block before them. ``hot_rows=None``: the caller
+    knows that there is no such key.
     """
     if not keys:
         return _rolling_blocks(df, [], order, rows, value, outputs, block_rows)
+    if hot_rows is None:
+        return _framed(df, keys, order, rows, value, outputs)
     hot = (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
     )

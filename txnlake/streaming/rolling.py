@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txnlake.functions.timing import micros
+from txnlake.operators import scale
 from txnlake.session import materialize, scratch
 from txnlake.streaming.features import ROLLING_COLS, ROLLING_ROWS, with_rolling
 from txnlake.streaming.runs import RUN, RunLog, bucket_of, read_folders
@@ -81,12 +82,16 @@ def roll(batch: DataFrame, number: int, state: str, write: Write, delay: str | N
     log.sweep(at)
     begun = log.manifest(at)
     ready, more = _wait(batch, begun["more"], log, at, delay, final)
-    touched = [r[0] for r in ready.select(bucket_of("account_id", log.buckets)).distinct().collect()]
+    sizes = {r[0]: r["count"] for r in ready.groupBy(bucket_of("account_id", log.buckets).alias("b")).count().collect()}
     accounts = ready.select(F.col("account_id").alias("_touched")).distinct()
-    kept = log.read(begun["runs"], touched)
+    kept = log.read(begun["runs"], list(sizes))
     kept = last_records(kept.join(accounts, F.col("account_id").eqNullSafe(F.col("_touched")), "left_semi"))
-    both = ready.withColumn("_new", F.lit(True)).unionByName(kept.withColumn("_new", F.lit(False)), allowMissingColumns=True)
-    write(with_rolling(both, **limits).where("_new").drop("_new"))
+    # Records travel as one column beside those that the frames need.
+    new = ready.select(*KEPT, F.struct(*ready.columns).alias("_record"))
+    if max(sizes.values(), default=0) + ROLLING_ROWS <= limits.get("hot_rows", scale.HOT_ROWS):
+        limits = {**limits, "hot_rows": None}  # no account has more rows than its bucket
+    rolled = with_rolling(new.unionByName(kept, allowMissingColumns=True), **limits)
+    write(rolled.where("_record IS NOT NULL").select("_record.*", *ROLLING_COLS))
     tail = log.add(ready, f"tail-{number:012d}-{at[1]}")
     log.commit(at, log.folded(begun["runs"] + ([tail] if tail["rows"] else []), at), more)
 
