@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
@@ -23,6 +24,9 @@ HOT_ROWS = 2_000_000
 BLOCK_ROWS = 500_000
 # Values taken together into one array when an order statistic is read off.
 GATHER_ROWS = 100_000
+# Size of a quantile sketch, and twice its rank error at 99 % confidence (2.296 / size^0.9021).
+SKETCH_SIZE = 8192
+SKETCH_ERROR = 0.00136
 # A value held by more than one row in this many is looked up by broadcast.
 HOT_SHARE = 1000
 
@@ -215,121 +219,149 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact interpolated quantiles: rows ``(series, prob, value)``.
 
-    ``series`` maps a name to an expression whose nulls are left out. Approximate quantiles narrow
-    the interval around each wanted rank, counts say exactly where the rank lies, and the values of
-    the last interval (at most ``gather_rows``) are read off. Only counts and cut points reach the
-    driver. A value shared by many rows becomes an interval end and is counted, never gathered.
+    ``series`` maps a name to an expression whose nulls and NaNs are left out. Three scans, each one wide aggregation: mergeable
+    sketches (KLL) bracket every wanted rank, exact counts place the ranks in their brackets, and the values of a bracket are
+    read off. A value shared by many rows becomes an end of a bracket and is counted, never gathered. Where a bracket still holds more than
+    ``gather_rows`` rows, sketches and counts run again inside it (a bracket holds some 1/400 of its rows, so that is beyond
+    some 40 million rows, and once more beyond 16 billion). Only counts, ends of brackets and results reach the driver.
     """
     spark = df.sparkSession
     names = list(series)
-    parts = [F.struct(F.lit(i).alias("s"), series[n].cast("double").alias("x")) for i, n in enumerate(names)]
-    long = df.select(F.inline(F.array(*parts))).where("x IS NOT NULL")
-    sizes = {r["s"]: r["n"] for r in long.groupBy("s").agg(F.count(F.lit(1)).alias("n")).collect()}
-
-    wanted = []  # (series, prob, lower rank, upper rank, fraction)
-    for s, _ in enumerate(names):
-        for p in probs:
-            if s in sizes:
-                place = (sizes[s] - 1) * p
-                low = math.floor(place)
-                wanted.append((s, p, low, math.ceil(place), place - low))
-    ranks = sorted({(s, k) for s, _, lo, hi, _ in wanted for k in (lo, hi)})
-
-    # Open interval (lo, hi) holding rank k - below of n values; value set once it is known.
-    state = {(s, k): {"lo": -math.inf, "hi": math.inf, "below": 0, "n": sizes[s], "value": None} for s, k in ranks}
-
-    def cells(keys):
-        return sorted({(s, state[s, k]["lo"], state[s, k]["hi"]) for s, k in keys})
-
-    cell_schema = "c int, s int, lo double, hi double"
-
-    def within(cell_list):
-        rows = [(i, s, lo, hi) for i, (s, lo, hi) in enumerate(cell_list)]
-        table = spark.createDataFrame(rows, cell_schema)
-        inside = ((F.col("x") > F.col("lo")) | (F.col("lo") == F.lit(-math.inf))) & (
-            (F.col("x") < F.col("hi")) | (F.col("hi") == F.lit(math.inf))
-        )
-        return long.join(F.broadcast(table), "s").where(inside)
-
-    grid = [i / 500 for i in range(501)]
-    while True:
-        todo = [key for key in ranks if state[key]["value"] is None and state[key]["n"] > gather_rows]
-        if not todo:
-            break
-        cell_list = cells(todo)
-        cuts = {
-            r["c"]: r["q"]
-            for r in within(cell_list).groupBy("c").agg(F.percentile_approx("x", grid, 10000).alias("q")).collect()
-        }
-        index = {cell: i for i, cell in enumerate(cell_list)}
-        brackets = []
-        for s, k in todo:
-            st = state[s, k]
-            q = cuts[index[s, st["lo"], st["hi"]]]
-            at = (k - st["below"]) / st["n"] * 500
-            brackets.append((s, k, st["lo"], st["hi"], q[max(0, math.floor(at) - 1)], q[min(500, math.ceil(at) + 1)]))
-        table = spark.createDataFrame(brackets, "s int, k long, lo double, hi double, a double, b double")
-        x = F.col("x")
-        counts = (
-            long.join(F.broadcast(table), "s")
-            .where(((x > F.col("lo")) | (F.col("lo") == -math.inf)) & ((x < F.col("hi")) | (F.col("hi") == math.inf)))
-            .groupBy("s", "k")
-            .agg(
-                F.first("a").alias("a"),
-                F.first("b").alias("b"),
-                F.count_if(x < F.col("a")).alias("before"),
-                F.count_if(x == F.col("a")).alias("at_a"),
-                F.count_if((x > F.col("a")) & (x < F.col("b"))).alias("between"),
-                F.count_if((x == F.col("b")) & (F.col("a") < F.col("b"))).alias("at_b"),
-            )
-            .collect()
-        )
-        for r in counts:
-            st = state[r["s"], r["k"]]
-            left = r["k"] - st["below"]
-            if left < r["before"]:
-                st.update(hi=r["a"], n=r["before"])
-                continue
-            left -= r["before"]
-            if left < r["at_a"]:
-                st["value"] = r["a"]
-                continue
-            left -= r["at_a"]
-            passed = r["before"] + r["at_a"]
-            if left < r["between"]:
-                st.update(lo=r["a"], hi=r["b"], below=st["below"] + passed, n=r["between"])
-                continue
-            left -= r["between"]
-            passed += r["between"]
-            if left < r["at_b"]:
-                st["value"] = r["b"]
-                continue
-            passed += r["at_b"]
-            st.update(lo=r["b"], below=st["below"] + passed, n=st["n"] - passed)
-
-    open_keys = [key for key in ranks if state[key]["value"] is None]
-    known = [(s, k, float(state[s, k]["value"])) for s, k in ranks if state[s, k]["value"] is not None]
-    values = spark.createDataFrame(known, "s int, k long, v double")
-    if open_keys:
-        cell_list = cells(open_keys)
-        index = {cell: i for i, cell in enumerate(cell_list)}
-        rows = [(index[s, state[s, k]["lo"], state[s, k]["hi"]], s, k, int(k - state[s, k]["below"])) for s, k in open_keys]
-        table = spark.createDataFrame(rows, "c int, s int, k long, place int")
-        gathered = within(cell_list).groupBy("c").agg(F.sort_array(F.collect_list("x")).alias("xs"))
-        read = gathered.join(F.broadcast(table), "c").select("s", "k", F.get("xs", F.col("place")).alias("v"))
-        values = values.unionByName(read)
-
-    plan = spark.createDataFrame(
-        [(names[s], s, p, lo, hi, f) for s, p, lo, hi, f in wanted],
-        "series string, s int, prob double, lo long, hi long, f double",
-    )
-    low = values.select("s", F.col("k").alias("lo"), F.col("v").alias("v_lo"))
-    high = values.select("s", F.col("k").alias("hi"), F.col("v").alias("v_hi"))
-    return (
-        plan.join(low, ["s", "lo"])
-        .join(high, ["s", "hi"])
-        .select("series", "prob", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("f")).alias("value"))
-    )
+    values = df.select(*[F.nanvl(series[n].cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, n in enumerate(names)])
+    # Open interval (lo, hi) that holds the wanted rank, and the rows below it; a value once it is known.
+    cells = [_Cell(i, p) for i in range(len(names)) for p in probs]
+    while todo := [c for c in cells if c.open]:
+        _bracket(values, todo)
+        _place(values, [c for c in todo if c.open], gather_rows)
+    found = [(names[c.series], c.prob, c.value) for c in cells if not c.empty]
+    return spark.createDataFrame(found, "series string, prob double, value double")
+
+
+@dataclass
+class _Cell:
+    """A wanted quantile: ranks ``rank`` and the one after it, interpolated by ``part``."""
+
+    series: int
+    prob: float
+    lo: float | None = None
+    hi: float | None = None
+    below: int = 0
+    rank: int = 0
+    part: float = 0.0
+    rows: int = 0
+    ends: tuple[float, float] = (0.0, 0.0)
+    slack: float = SKETCH_ERROR
+    known: dict[int, float] = field(default_factory=dict)
+    empty: bool = False
+
+    @property
+    def ranks(self) -> list[int]:
+        return [self.rank, self.rank + 1] if self.part else [self.rank]
+
+    @property
+    def open(self) -> list[int]:
+        return [] if self.empty else [r for r in self.ranks if r not in self.known]
+
+    @property
+    def value(self) -> float:
+        low, high = self.known[self.ranks[0]], self.known[self.ranks[-1]]
+        return float(low + (high - low) * self.part)
+
+    def inside(self) -> Column:
+        x = F.col(f"x{self.series}")
+        within = x.isNotNull()
+        if self.lo is not None:
+            within = within & (x > self.lo)
+        return within if self.hi is None else within & (x < self.hi)
+
+
+def _bracket(values: DataFrame, cells: list[_Cell]) -> None:
+    """One scan: rows of every cell, and two values between which its ranks lie in all likelihood."""
+    areas = list(dict.fromkeys((c.series, c.lo, c.hi) for c in cells))
+    first = {area: next(c for c in cells if (c.series, c.lo, c.hi) == area) for area in areas}
+    sums = []
+    for i, area in enumerate(areas):
+        x = F.when(first[area].inside(), F.col(f"x{area[0]}"))
+        sums += [F.kll_sketch_agg_double(x, F.lit(SKETCH_SIZE)).alias(f"k{i}"), F.count(x).alias(f"n{i}")]
+    sketches = materialize(values.agg(*sums), "sketches")
+    sizes = sketches.select(*[f"n{i}" for i in range(len(areas))]).first()
+    asked = []
+    for c in cells:
+        n = sizes[areas.index((c.series, c.lo, c.hi))]
+        if c.lo is None and c.hi is None:
+            place = (n - 1) * c.prob
+            c.rank, c.part = math.floor(max(place, 0)), place - math.floor(place)
+        c.rows = n
+        if not n:
+            c.empty = True
+            continue
+        at, slack = (c.open[0] - c.below) / n, c.slack + 2 / n
+        low, high = max(0.0, at - slack), min(1.0, at + slack + 1 / n)
+        k = areas.index((c.series, c.lo, c.hi))
+        asked.append((c, F.kll_sketch_get_quantile_double(F.col(f"k{k}"), F.array(F.lit(low), F.lit(high)))))
+    if asked:
+        ends = sketches.select(*[q.alias(f"q{i}") for i, (_, q) in enumerate(asked)]).first()
+        for (c, _), pair in zip(asked, ends):
+            c.ends = (pair[0], pair[1])
+
+
+def _counted(values: DataFrame, cells: list[_Cell]) -> dict[int, tuple[list[float], dict[int, int]]]:
+    """Per series the ends of all its cells and the rows in each zone: 2 k below the end k, 2 k + 1 on it.
+
+    A row becomes a zone number per series, and these are counted before anything is shuffled: as many groups as zones.
+    """
+    ends: dict[int, set[float]] = {}
+    for c in cells:
+        ends.setdefault(c.series, set()).update(e for e in (*c.ends, c.lo, c.hi) if e is not None)
+    zones, cuts = [], {i: sorted(own) for i, own in ends.items()}
+    for i, own in cuts.items():
+        x, zone = F.col(f"x{i}"), F.when(F.col(f"x{i}").isNull(), None)
+        for k, e in enumerate(own):
+            zone = zone.when(x < e, 2 * k).when(x == e, 2 * k + 1)
+        zones.append(F.struct(F.lit(i).alias("s"), zone.otherwise(2 * len(own)).alias("z")))
+    rows = values.select(F.inline(F.array(*zones))).where("z IS NOT NULL").groupBy("s", "z").count().collect()
+    return {i: (own, {r["z"]: r["count"] for r in rows if r["s"] == i}) for i, own in cuts.items()}
+
+
+def _place(values: DataFrame, cells: list[_Cell], gather_rows: int) -> None:
+    """Exact counts around every bracket, and the values of small ones."""
+    if not cells:
+        return
+    row, lists, counted = {}, [], _counted(values, cells)
+    for i, c in enumerate(cells):
+        x, (a, b) = F.col(f"x{c.series}"), c.ends
+        own, zone = counted[c.series]
+        between = lambda lo, hi: sum(n for z, n in zone.items() if lo < z < hi)  # noqa: E731, B023
+        on = lambda e: 2 * own.index(e) + 1  # noqa: E731, B023
+        begin = -1 if c.lo is None else on(c.lo)
+        row |= {f"less{i}": between(begin, on(a)), f"at_a{i}": zone.get(on(a), 0)}
+        if a < b:
+            row |= {f"mid{i}": between(on(a), on(b)), f"at_b{i}": zone.get(on(b), 0)}
+            if row[f"mid{i}"] <= gather_rows:
+                lists.append((i, F.sort_array(F.collect_list(F.when((x > a) & (x < b), x))).alias(f"xs{i}")))
+    if lists:
+        places = []
+        for i, _ in lists:
+            skip = cells[i].below + row[f"less{i}"] + row[f"at_a{i}"]
+            places += [F.get(f"xs{i}", F.lit(rank - skip)).alias(f"v{i}_{rank}") for rank in cells[i].open if 0 <= rank - skip < row[f"mid{i}"]]
+        if places:
+            row |= values.agg(*[gathered for _, gathered in lists]).select(*places).first().asDict()
+    for i, c in enumerate(cells):
+        (a, b), start = c.ends, c.below + row[f"less{i}"]
+        after_a = start + row[f"at_a{i}"]
+        after_mid = after_a + row.get(f"mid{i}", 0)
+        after_b = after_mid + row.get(f"at_b{i}", 0)
+        for rank in c.open:
+            if start <= rank < after_a:
+                c.known[rank] = a
+            elif after_mid <= rank < after_b:
+                c.known[rank] = b
+            elif after_a <= rank < after_mid and row.get(f"v{i}_{rank}") is not None:
+                c.known[rank] = row[f"v{i}_{rank}"]
+        if c.open and all(after_a <= rank < after_mid for rank in c.open):
+            c.lo, c.hi, c.below, c.slack = a, b, after_a, SKETCH_ERROR
+        elif c.open:
+            c.slack = min(1.0, c.slack * 4)  # a rank outside its bracket: a wider one next time
 
 
 def pairs_within(
