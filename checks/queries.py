@@ -153,7 +153,8 @@ def src_positional_bind(s, d):
 @query
 def snk_parquet_current_versioned(s, d):
     root = work_path(s, "versioned")
-    versioned, current = files.write_versioned(fx.table(s, d, "silver"), root, "20240131")
+    versioned, _ = files.write_versioned(fx.table(s, d, "silver"), root, "20240131")
+    current = files.current_snapshot(s, root)
 
     def counted(name, path):
         return s.read.parquet(path).agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("rows"), F.sum("id").alias("ids"))
@@ -463,7 +464,7 @@ def gold_summary_stats(s, d):
 
 @query
 def gold_retention(s, d):
-    """Rows of the last ten days; the fixture spans thirty."""
+    """Rows of the last ten days; the table spans thirty."""
     return gold.retain(fx.table(s, d, "current", dated=True), "created_at", fx.as_of(), 10).select("id", "created_at", "Amount")
 
 

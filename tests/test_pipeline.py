@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import fixture as fx
 from txnlake.__main__ import result
-from txnlake.operators import silver
+from txnlake.operators import gold, silver
 from txnlake.plans import pipeline
 from txnlake.schemas import BRONZE_COLS
 from txnlake.session import shared_dir
@@ -25,7 +25,7 @@ def lake(spark, sf_dir, tmp_path_factory):
 
 
 def test_silver_and_features(spark, sf_dir, lake):
-    current = spark.read.parquet(f"{lake}/silver/current")
+    current = spark.read.parquet(files.current_snapshot(spark, f"{lake}/silver"))
     distinct = fx.txn(spark, sf_dir).select(*BRONZE_COLS).distinct().where("Class IS NOT NULL").count()
     assert current.count() == distinct == spark.read.parquet(f"{lake}/silver/creditcard_sample_v1").count()
     features = spark.read.parquet(f"{lake}/gold/{pipeline.FEATURES}")
@@ -36,7 +36,7 @@ def test_silver_and_features(spark, sf_dir, lake):
 
 def test_hours_add_up(spark, lake):
     total = spark.read.parquet(f"{lake}/gold/{pipeline.HOURLY}").agg(F.sum("total_transactions")).first()[0]
-    assert total == spark.read.parquet(f"{lake}/silver/current").count()
+    assert total == spark.read.parquet(files.current_snapshot(spark, f"{lake}/silver")).count()
 
 
 def test_commands(spark, lake):
@@ -54,14 +54,26 @@ def test_tables_views_and_queries_by_name(spark, lake, sf_dir):
     names = {r["name"] for r in result(spark, ["register", lake]).collect()}
     assert f"gold_ml.{pipeline.FEATURES}" in names and "fraud_detection_summary" in names
     total = spark.sql(f"SELECT count(*) FROM gold_ml.{pipeline.FEATURES}").first()[0]
-    assert total == spark.read.parquet(f"{lake}/silver/current").count()
+    assert total == spark.read.parquet(files.current_snapshot(spark, f"{lake}/silver")).count()
     assert spark.sql("SELECT max(total_transactions) FROM fraud_detection_summary").first()[0] == total
-    for name in ("amount_ranges", "dataset_compare", "fraud_summary"):
+    for name in ("amount_ranges", "dataset_compare", "fraud_summary", "dataset_counts", "fraud_samples", "class_counts", "overall_fraud_rate"):
         assert result(spark, ["query", name, lake]).count() > 0
     assert result(spark, ["query", "nothing", lake]) is None
     assert result(spark, ["silver", lake]).where("section = 'rules'").count() > 0
 
 
+def test_retention_of_a_lake(spark, lake):
+    """Every gold table goes by its own period."""
+    assert gold.RETENTION_DAYS == {pipeline.HOURLY: 90, pipeline.FEATURES: 365, pipeline.RISK: 730, pipeline.SUMMARY: 730}
+    rows = spark.read.parquet(files.current_snapshot(spark, f"{lake}/silver"))
+    newest = rows.agg(F.max("ts")).first()[0]
+    for name, days in gold.RETENTION_DAYS.items():
+        for more, some in ((-1, True), (1, False)):
+            as_of = F.lit(newest).cast("timestamp_ntz") + F.expr(f"INTERVAL {days + more} DAYS")
+            assert pipeline.retained(rows, name, as_of, "ts").isEmpty() != some
+    assert pipeline.retained(rows, pipeline.RISK, None, "ts").count() == rows.count()
+
+
 def test_report_names_steps(spark, lake):
     report = spark.read.parquet(f"{lake}/reports/silver-v1")
     steps = {r["value"] for r in report.where("item LIKE 'step_%'").collect()}
@@ -77,7 +89,7 @@ def test_stored_metrics_equal_the_direct_ones(spark, sf_dir):
 
 def test_profiles_checks_and_categories_of_a_raw_file(spark, lake):
     profiles = spark.read.parquet(f"{lake}/gold/{pipeline.RISK}")
-    silver_rows = spark.read.parquet(f"{lake}/silver/current").count()
+    silver_rows = spark.read.parquet(files.current_snapshot(spark, f"{lake}/silver")).count()
     assert profiles.count() > 0 and profiles.where("account_id IS NOT NULL").count() == 0
     assert profiles.agg(F.sum("total_transactions")).first()[0] == silver_rows
     assert {r["customer_segment"] for r in profiles.collect()} <= {"Low", "Medium", "High", "Very_High"}

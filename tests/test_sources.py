@@ -40,7 +40,21 @@ def test_latest_snapshot(spark, tmp_path):
     files.write_versioned(df.limit(2), root, "2")
     newest = files.latest_snapshot(spark, root)
     assert newest.endswith("creditcard_sample_2")
-    assert spark.read.parquet(newest).count() == 2 == spark.read.parquet(f"{root}/current").count()
+    assert spark.read.parquet(newest).count() == 2 and newest.endswith(files.current_snapshot(spark, root))
+
+
+def test_current_is_replaced_as_a_whole(spark, tmp_path):
+    """Rows are written once; a reader of the old version goes on, also where a version is written again."""
+    root = str(tmp_path / "silver")
+    files.write_versioned(spark.range(5), root, "1")
+    old = spark.read.parquet(files.current_snapshot(spark, root))
+    for rows in (7, 9):
+        files.write_versioned(spark.range(rows), root, "1")
+        assert spark.read.parquet(files.current_snapshot(spark, root)).count() == rows
+        assert old.count() == 5
+    assert sorted(p.name for p in (tmp_path / "silver").iterdir() if not p.name.startswith(".")) == [
+        "creditcard_sample_1", "creditcard_sample_1.2", "creditcard_sample_1.3", "current.json",
+    ]
 
 
 def test_fallback_to_csv(spark, tmp_path):

@@ -145,5 +145,5 @@ def test_category_map(spark, sf_dir):
 
 def test_retention(spark):
     df = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00' AS t UNION ALL SELECT timestamp_ntz'2023-01-01 00:00:00'")
-    kept = gold.retain(df, "t", F.lit("2024-01-05").cast("timestamp_ntz"), gold.RETENTION_DAYS["fraud_analytics"])
+    kept = gold.retain(df, "t", F.lit("2024-01-05").cast("timestamp_ntz"), gold.RETENTION_DAYS["fraud_analytics_hourly"])
     assert kept.count() == 1

@@ -11,7 +11,7 @@ from txnlake.operators import ml
 from txnlake.schemas import HOURLY_COLS
 
 # Kept days per data set.
-RETENTION_DAYS = {"fraud_analytics": 90, "ml_features": 365, "summary_stats": 730, "risk_profiles": 365}
+RETENTION_DAYS = {"fraud_analytics_hourly": 90, "ml_features": 365, "risk_profiles": 730, "summary_stats": 730}
 
 
 def default_columns(df: DataFrame) -> DataFrame:

@@ -29,6 +29,8 @@ SKETCH_SIZE = 8192
 SKETCH_ERROR = 0.00136
 # A value held by more than one row in this many is looked up by broadcast.
 HOT_SHARE = 1000
+# Values of a broadcast, at most: some tens of megabytes.
+MOST_BROADCAST = 1_000_000
 
 _ROW_BITS = 33
 
@@ -92,16 +94,19 @@ def running_total_before(df: DataFrame, key: str, weight: str, name: str) -> Dat
     )
 
 
-def join_by_value(df: DataFrame, lookup: DataFrame, key: str, count: str, share: int = HOT_SHARE) -> DataFrame:
+def join_by_value(df: DataFrame, lookup: DataFrame, key: str, count: str, share: int = HOT_SHARE, most_rows: int = HOT_ROWS) -> DataFrame:
     """Left join of a per-value table whose ``count`` column says how many rows hold each value.
 
-    Null and values with more than 1/``share`` of all rows (so at most ``share`` values) are joined by
-    broadcast. All other rows meet their value in a shuffle in which no key is large; rows already
-    served are spread over it by a salt that matches nothing.
+    Null and values with more than ``most_rows`` rows, or more than 1/``share`` of all, are joined by broadcast: there are at
+    most ``share`` or (all rows / ``most_rows``) of them, whichever is more, and never more than ``MOST_BROADCAST``. All
+    other rows meet their value in a shuffle in which no key has more than ``most_rows`` rows (up to ``most_rows`` x
+    ``MOST_BROADCAST`` rows in all); rows already served are spread over it by a salt that matches nothing.
     """
     cols = [c for c in lookup.columns if c not in (key, count)]
     lookup = with_scalar(lookup, lookup.agg(F.sum(count)), "_total")
-    is_hot = (F.col(count) > F.col("_total") / F.lit(float(share))) | F.col(key).isNull()
+    relative = F.least(F.lit(float(most_rows)), F.col("_total") / F.lit(float(share)))
+    limit = F.greatest(relative, F.col("_total") / F.lit(float(MOST_BROADCAST)))
+    is_hot = (F.col(count) > limit) | F.col(key).isNull()
     hot = lookup.where(is_hot).select(F.col(key).alias("_hk"), F.lit(True).alias("_hot"), *[F.col(c).alias(f"_h_{c}") for c in cols])
     cold = lookup.where(~is_hot).select(
         F.col(key).alias("_ck"), F.lit(0).alias("_cs"), *[F.col(c).alias(f"_c_{c}") for c in cols]

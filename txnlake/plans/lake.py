@@ -61,6 +61,19 @@ def _features(f: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, Co
     return lambda spark, as_of: f(spark.table(f"gold_ml.{pipeline.FEATURES}"))
 
 
+def _pair(f: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, Column], DataFrame]:
+    return lambda spark, as_of: f(spark.table(f"gold_ml.{pipeline.FEATURES}"), spark.table("stream_records"))
+
+
+def _dated(spark: SparkSession) -> dict[str, tuple[DataFrame, str]]:
+    """Data sets with the column that says how new they are."""
+    return {
+        "fraud_analytics_batch": (spark.table(f"gold_batch.{pipeline.HOURLY}"), "created_at"),
+        "ml_features_batch": (spark.table(f"gold_ml.{pipeline.FEATURES}"), "created_at"),
+        "ml_features_stream": (spark.table("stream_records"), "processed_at"),
+    }
+
+
 # Queries of a registered lake: session and clock to a table.
 QUERIES: dict[str, Callable[[SparkSession, Column], DataFrame]] = {
     "batch_vs_realtime": _both(unified.batch_vs_realtime),
@@ -73,6 +86,13 @@ QUERIES: dict[str, Callable[[SparkSession, Column], DataFrame]] = {
     "feature_distribution": _features(goldsets.feature_distribution),
     "amount_ranges": _features(goldsets.amount_ranges),
     "correlation": _features(goldsets.correlation),
+    "fraud_samples": _features(goldsets.fraud_samples),
+    "class_counts": _features(goldsets.class_counts),
+    "overall_fraud_rate": _features(goldsets.overall_fraud_rate),
+    "feature_quality": _pair(unified.feature_quality),
+    "prediction_accuracy": _pair(unified.prediction_accuracy),
+    "freshness": lambda spark, as_of: unified.freshness(_dated(spark), as_of),
+    "dataset_counts": lambda spark, as_of: goldsets.dataset_counts(feature_sets(spark)),
     "dataset_compare": lambda spark, as_of: goldsets.dataset_compare(feature_sets(spark)),
     "fraud_summary": lambda spark, as_of: goldsets.fraud_summary(spark.table("fraud_detection_summary")),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.functions.timing import hour_bucket, seconds_to_ntz
@@ -38,7 +38,7 @@ def land_bronze(spark: SparkSession, csv_path: str, lake: str, version: str) ->
 
 
 def bronze_to_silver(spark: SparkSession, csv_path: str, lake: str, version: str) -> dict[str, str]:
-    """Validate, clean and write silver (a versioned copy and ``current``) and its run report.
+    """Validate, clean and write silver (a versioned copy, named as the current one) and its run report.
 
     The text is parsed once: typed rows land as Parquet, malformed lines beside them.
     """
@@ -56,9 +56,17 @@ def bronze_to_silver(spark: SparkSession, csv_path: str, lake: str, version: str
     return {"versioned": versioned, "current": current, "report": f"{lake}/reports/silver-{version}"}
 
 
-def silver_to_gold(spark: SparkSession, lake: str, version: str, rolling_by: str = "global") -> dict[str, str]:
+def retained(rows: DataFrame, name: str, as_of: Column | None, ts: str = "created_at") -> DataFrame:
+    """Rows that the retention period of a gold table keeps at ``as_of`` (none: all)."""
+    return rows if as_of is None else gold.retain(rows, ts, as_of, gold.RETENTION_DAYS[name])
+
+
+def silver_to_gold(spark: SparkSession, lake: str, version: str, rolling_by: str = "global", as_of: Column | None = None) -> dict[str, str]:
     """Build the gold tables from the newest silver snapshot and write them with a report.
 
+    With ``as_of`` rows older than the retention period of their table are left out; profiles and statistics, which are
+    made anew each time and have no time, describe the transactions of their period.
+
     The feature table is written once, partitioned by ``split`` and day: train and test are its partitions.
     """
     source = files.latest_snapshot(spark, f"{lake}/silver")
@@ -69,10 +77,10 @@ def silver_to_gold(spark: SparkSession, lake: str, version: str, rolling_by: str
     hours = gold.with_amount_categories(gold.build_hourly(rows, version), rows)
     features_table = ml.with_split(ml.build(rows, rolling=rolling_by))
     day = F.to_date("created_at")
-    files.write_gold(hours.withColumn("day", day), paths[HOURLY], ["day"], whole=True)
-    files.write_gold(features_table.withColumn("day", day), paths[FEATURES], ["split", "day"], whole=True)
-    files.write_gold(gold.risk_profiles(rows), paths[RISK])
-    files.write_gold(gold.summary_stats(rows), paths[SUMMARY])
+    files.write_gold(retained(hours.withColumn("day", day), HOURLY, as_of), paths[HOURLY], ["day"], whole=True)
+    files.write_gold(retained(features_table.withColumn("day", day), FEATURES, as_of), paths[FEATURES], ["split", "day"], whole=True)
+    files.write_gold(gold.risk_profiles(retained(rows, RISK, as_of, "ts")), paths[RISK])
+    files.write_gold(gold.summary_stats(retained(rows, SUMMARY, as_of, "ts")), paths[SUMMARY])
     files.write_gold(gold_report(spark, lake), f"{lake}/reports/gold-{version}")
     return paths
 

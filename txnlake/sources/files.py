@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnlake.schemas import BRONZE_SCHEMA, CORRUPT, STREAM_NESTED_SCHEMA
+from txnlake.sources import shared
 
 BUCKET_PATTERN = r".*/(?:hour_bucket=)?(\d{4}-\d{2}-\d{2}--\d{2})/.*"
 SNAPSHOT_PREFIX = "creditcard_sample_"
@@ -127,13 +128,25 @@ def bind_by_position(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def write_versioned(df: DataFrame, root: str, version: str, prefix: str = SNAPSHOT_PREFIX, current: str = "current") -> tuple[str, str]:
-    """Write a stamped copy, then ``current`` from that copy, so the plan runs once."""
-    spark = df.sparkSession
-    versioned, current_path = f"{root}/{prefix}{version}", f"{root}/{current}"
-    df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(versioned)
-    copy = spark.read.schema(df.schema).parquet(versioned)
-    copy.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(current_path)
-    return versioned, current_path
+    """Write a stamped copy and make it the current one. Returns its folder and the manifest that names it.
+
+    Rows are written once: ``<root>/<current>.json`` names the folder and is replaced as a whole, so a reader (see
+    :func:`current_snapshot`) has the version before or the new one. A version written again gets a folder of its own, since the old
+    one may be read.
+    """
+    spark, name, again = df.sparkSession, f"{prefix}{version}", 1
+    while exists(spark, f"{root}/{name}"):
+        again += 1
+        name = f"{prefix}{version}.{again}"
+    df.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{root}/{name}")
+    manifest = f"{root}/{current}.json"
+    shared.put_json(spark, manifest, {"folder": name})
+    return f"{root}/{name}", manifest
+
+
+def current_snapshot(spark: SparkSession, root: str, current: str = "current") -> str:
+    """Folder of the current version."""
+    return f"{root}/{shared.get_json(spark, f'{root}/{current}.json')['folder']}"
 
 
 def write_gold(df: DataFrame, path: str, partition_by: Sequence[str] = (), whole: bool = False) -> None:
