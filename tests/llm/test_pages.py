@@ -232,7 +232,7 @@ def test_pipeline_runs_on_awkward_and_empty_documents(spark, sf_dir):
 @pytest.fixture(scope="module")
 def con(sf_dir):
     c = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return c
 
@@ -248,5 +248,5 @@ def test_query_agrees_with_sql(spark, con, sf_dir, name):
 
 def test_entry_lists_every_operator():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert os.path.basename(corpus_pipeline.__file__) == "corpus_pipeline.py"
