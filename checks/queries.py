@@ -766,7 +766,7 @@ def vw_ml_combined(s, d):
 
 @query
 def vw_fraud_summary(s, d):
-    return views.fraud_summary(views.ml_combined(fx.feature_sets(s, d)))
+    return views.fraud_summary(fx.table(s, d, "current"))
 
 
 @query
@@ -832,12 +832,12 @@ def an_prediction_accuracy(s, d):
 
 @query
 def gl_dataset_counts(s, d):
-    return goldsets.dataset_counts(fx.feature_sets(s, d))
+    return goldsets.dataset_counts(fx.table(s, d, "current"))
 
 
 @query
 def gl_fraud_summary(s, d):
-    return goldsets.fraud_summary(views.fraud_summary(views.ml_combined(fx.feature_sets(s, d))))
+    return goldsets.fraud_summary(views.fraud_summary(fx.table(s, d, "current")))
 
 
 def _over_current(name, fn):
@@ -862,7 +862,7 @@ _over_current("prof_correlation", goldsets.correlation)
 
 @query
 def gl_dataset_compare(s, d):
-    return goldsets.dataset_compare(fx.feature_sets(s, d))
+    return goldsets.dataset_compare(fx.table(s, d, "current"))
 
 
 @query

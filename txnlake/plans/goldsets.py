@@ -10,7 +10,7 @@ from txnlake.functions.components import unpivoted
 from txnlake.functions.timing import HOUR
 from txnlake.operators import scale
 from txnlake.operators.silver import FLAGGED
-from txnlake.plans.views import union_all
+from txnlake.plans.views import SETS, by_set
 from txnlake.schemas import V_COLS
 
 FLAGS = [*FLAGGED, "Amount"]
@@ -24,10 +24,16 @@ def _rate_percent() -> Column:
     return F.round(F.avg(F.col("Class").cast("double")) * 100, 4)
 
 
-def dataset_counts(sets: dict[str, DataFrame]) -> DataFrame:
-    return union_all(
-        *[df.agg(F.lit(f"ml_features_{n}").alias("table_name"), F.count(F.lit(1)).alias("record_count")) for n, df in sets.items()]
-    )
+def _of_all_sets(measured: DataFrame, *counts: str) -> DataFrame:
+    """Sets without rows too, with counts of 0."""
+    names = measured.sparkSession.createDataFrame([(n,) for n in SETS], "dataset string")
+    return names.join(measured, "dataset", "left").na.fill(0, list(counts))
+
+
+def dataset_counts(features: DataFrame) -> DataFrame:
+    """Rows of the feature table and of its two sides, in one scan of the column ``split``."""
+    counted = _of_all_sets(by_set(features, F.count(F.lit(1)).alias("record_count")), "record_count")
+    return counted.select(F.concat(F.lit("ml_features_"), "dataset").alias("table_name"), "record_count")
 
 
 def fraud_summary(summary: DataFrame) -> DataFrame:
@@ -112,20 +118,16 @@ def feature_distribution(current: DataFrame) -> DataFrame:
     )
 
 
-def dataset_compare(sets: dict[str, DataFrame]) -> DataFrame:
-    stats = union_all(
-        *[
-            df.agg(
-                F.lit(n).alias("dataset"),
-                F.count(F.lit(1)).alias("record_count"),
-                _rate_percent().alias("fraud_rate_percent"),
-                rounded_mean("Amount").alias("avg_amount"),
-                F.count_if(F.col("V1_IsOutlier") == 1).alias("V1_outliers"),
-            )
-            for n, df in sets.items()
-        ]
+def dataset_compare(features: DataFrame) -> DataFrame:
+    stats = by_set(
+        features,
+        F.count(F.lit(1)).alias("record_count"),
+        _rate_percent().alias("fraud_rate_percent"),
+        rounded_mean("Amount").alias("avg_amount"),
+        F.count_if(F.col("V1_IsOutlier") == 1).alias("V1_outliers"),
     )
-    share = F.round(F.col("V1_outliers") / F.col("record_count") * 100, 2)
+    stats = _of_all_sets(stats, "record_count", "V1_outliers")
+    share = F.round(F.try_divide("V1_outliers", "record_count") * 100, 2)
     return stats.withColumn("outlier_percentage", share).orderBy(F.desc("record_count"), "dataset")
 
 

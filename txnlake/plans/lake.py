@@ -34,7 +34,7 @@ def register(spark: SparkSession, lake: str) -> list[str]:
         catalog.create_folder_table(spark, f"{schema}.{name}", f"{lake}/gold/{name}")
         names.append(f"{schema}.{name}")
     combined = views.ml_combined(feature_sets(spark))
-    made = {"ml_features_combined": combined, "fraud_detection_summary": views.fraud_summary(combined)}
+    made = {"ml_features_combined": combined, "fraud_detection_summary": views.fraud_summary(spark.table(f"gold_ml.{pipeline.FEATURES}"))}
     if files.exists(spark, f"{lake}/stream/records/*"):
         records = spark.read.option("basePath", f"{lake}/stream/records").json(f"{lake}/stream/records")
         hours = spark.table(f"gold_batch.{pipeline.HOURLY}")
@@ -92,8 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, Column], DataFrame]] = {
     "feature_quality": _pair(unified.feature_quality),
     "prediction_accuracy": _pair(unified.prediction_accuracy),
     "freshness": lambda spark, as_of: unified.freshness(_dated(spark), as_of),
-    "dataset_counts": lambda spark, as_of: goldsets.dataset_counts(feature_sets(spark)),
-    "dataset_compare": lambda spark, as_of: goldsets.dataset_compare(feature_sets(spark)),
+    "dataset_counts": _features(goldsets.dataset_counts),
+    "dataset_compare": _features(goldsets.dataset_compare),
     "fraud_summary": lambda spark, as_of: goldsets.fraud_summary(spark.table("fraud_detection_summary")),
 }
 

@@ -45,16 +45,36 @@ def fraud_analytics_unified(hourly: DataFrame, realtime: DataFrame) -> DataFrame
     return batch.unionByName(stream.withColumn("source_type", F.lit("realtime")))
 
 
+SETS = ["current", "train", "test"]
+SUMMARY_COLS = [
+    "total_transactions", "fraud_transactions", "fraud_rate", "avg_amount", "stddev_amount", "min_amount", "max_amount",
+    "avg_outlier_features_per_transaction",
+]
+
+
+def _sample_count() -> Column:
+    return F.expr(summed([f"CAST({c}_IsOutlier AS INT)" for c in FLAGGED])).alias("outlier_count_sample")
+
+
 def ml_combined(sets: dict[str, DataFrame]) -> DataFrame:
     """All feature sets with their name and the number of set flags among the first five."""
-    flags = F.expr(summed([f"CAST({c}_IsOutlier AS INT)" for c in FLAGGED])).alias("outlier_count_sample")
     return union_all(
-        *[df.select(F.lit(name).alias("dataset_type"), "Time", *V_COLS, "Amount", "Class", flags) for name, df in sets.items()]
+        *[df.select(F.lit(name).alias("dataset_type"), "Time", *V_COLS, "Amount", "Class", _sample_count()) for name, df in sets.items()]
     )
 
 
-def fraud_summary(combined: DataFrame) -> DataFrame:
-    return combined.groupBy("dataset_type").agg(
+def by_set(features: DataFrame, *measures: Column) -> DataFrame:
+    """Measures of the whole feature table (``current``) and of each side of its split, in one scan.
+
+    The whole is the rollup of the sides. A set without rows has none.
+    """
+    rolled = features.rollup("split").agg(F.grouping("split").alias("_whole"), *measures)
+    name = F.when(F.col("_whole") == 1, "current").otherwise(F.col("split"))
+    return rolled.withColumn("dataset", name).where(F.col("dataset").isin(SETS)).drop("split", "_whole")
+
+
+def _summary() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("total_transactions"),
         F.count_if(F.col("Class") == 1).alias("fraud_transactions"),
         F.avg(F.col("Class").cast("double")).alias("fraud_rate"),
@@ -63,7 +83,13 @@ def fraud_summary(combined: DataFrame) -> DataFrame:
         F.min("Amount").alias("min_amount"),
         F.max("Amount").alias("max_amount"),
         F.avg("outlier_count_sample").alias("avg_outlier_features_per_transaction"),
-    )
+    ]
+
+
+def fraud_summary(features: DataFrame) -> DataFrame:
+    """Per feature set, from the feature table with its ``split``."""
+    counted = features.select("split", "Class", "Amount", _sample_count())
+    return by_set(counted, *_summary()).select(F.col("dataset").alias("dataset_type"), *[F.col(c) for c in SUMMARY_COLS])
 
 
 STREAM_TEXT_SCHEMA = "time DOUBLE, amount DOUBLE, fraud_class LONG, risk_score DOUBLE, v1 DOUBLE, v2 DOUBLE, v3 DOUBLE"
