@@ -54,6 +54,45 @@ def test_near_duplicates_in_small_blocks(spark, families, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == brute.components(families[:150], 85)
 
 
+def test_near_duplicates_make_no_row_per_pair(spark, monkeypatch):
+    """In a family around the threshold rows grow with its members, links are a forest, parts are bounded."""
+    r = random.Random(8)
+    base = [f"w{k}" for k in range(300)]
+    docs = []
+    for i in range(240):
+        w = list(base)
+        for k in r.sample(range(300), 6):
+            w[k] = f"x{i}y{k}"
+        docs.append((i, " ".join(w)))
+    asked, links = [], []
+    between, spanning = near_dup.between_components, near_dup.spanning_links
+
+    def counted_between(placed, *more):
+        made = between(placed, *more)
+        rows = made.collect()
+        assert len(rows) <= placed.count()
+        assert len({(x["key"], x["part"], x["id"]) for x in rows}) == len(rows)
+        sizes = {}
+        for x in rows:
+            block = (x["key"], x["part"])
+            sizes[block] = sizes.get(block, 0) + 1
+        asked.append((len(rows), sum(len(x["partners"] or ()) for x in rows), len(sizes), max(sizes.values(), default=0)))
+        return made
+
+    def counted_spanning(*given):
+        made = spanning(*given)
+        links.append(made.count())
+        return made
+
+    monkeypatch.setattr(near_dup, "between_components", counted_between)
+    monkeypatch.setattr(near_dup, "spanning_links", counted_spanning)
+    monkeypatch.setattr(near_dup, "PART_SHINGLES", 2_000)
+    got = near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 70)
+    assert {x["doc_id"]: x["component_id"] for x in got.collect()} == brute.components(docs, 70)
+    assert asked and all(n <= rows - parts for n, (rows, _, parts, _) in zip(links, asked, strict=True))
+    assert all(most <= 8 for _, _, _, most in asked)  # sets of some 290 shingles
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     docs = brute.awkward(spark)
     got = near_dup.near_duplicates(docs, 80).collect()

@@ -16,10 +16,12 @@ Equal sets are a class from the start, and only its smallest id goes on. In ever
 with the least hash, of ``LEADS`` kinds by band) meets all others; candidates that pass are confirmed on full sets;
 components follow. A bucket whose members are in one component is settled. In the others, each member outside
 the bucket's largest component meets all members of other components: both sides are cut into blocks, a task takes
-one block of each, compares sketches, and gives out candidates that pass, each in the first bucket the two
-share: in one round only the likeliest of each member, in a second all that are then still apart.
-A pair is left out only where its two are known to be connected or its sketches rule it out: no group's pairs are
-made, no bucket is one task, nothing is capped.
+one block of each and compares sketches; what passes is compared in the first bucket the two share: in one round only
+the likeliest of each member, in a second all that are then still apart. Pairs are not rows: a member carries its
+partners, the full sets of a block's members come to it once each, and it gives out a forest, the links that join
+components still apart. Rows grow with the members of open buckets (times blocks of ``MEMBERS`` in a bucket); the
+comparisons within a block are those of its members. A pair is left out only where its two are known to be
+connected or its sketches rule it out; no bucket is one task, nothing is capped.
 
 Defined cases: null and empty texts and those of white space have an empty set, n_shingles 0, no links;
 rows that repeat an id are judged each by its own text, and where these differ the smallest text
@@ -45,7 +47,8 @@ SHINGLE, BANDS, ROWS = 5, 40, 4
 BINS, SKETCH_WORDS = 1024, 32  # samples of a sketch; its words of 64 bits
 MARGIN = 0.08
 LEADS = 4
-OUTSIDERS, MEMBERS = 256, 1024  # rows of a block on either side
+OUTSIDERS, MEMBERS = 1024, 2048  # rows of a block on either side
+PART_SHINGLES = 2_000_000  # names of shingles that are compared together
 WORDS_KEPT = 500_000  # names of words a worker remembers
 _RNG = np.random.default_rng(5)
 _PLACE = _RNG.integers(0, 1 << 62, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -180,20 +183,22 @@ def candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.filter((shared > 0) & (shared >= F.lit(percent / 100 - MARGIN) * (shared + F.col("d") / full))).select("a", "b")
 
 
-MEMBER = "id long, root long, main long, samples int, bands array<long>, sketch array<long>"
+ASKED = "key long, x long, y long, part long, id long, root long, partners array<long>"
 
 
 def between_components(placed: DataFrame, classes: DataFrame, percent: int, likeliest: bool) -> DataFrame:
-    """Candidates (a, b) in open buckets whose two are in different components.
+    """Who is to be compared in open buckets: members of different components whose sketches allow a link.
 
-    ``placed``: key, id, root, main (root of the bucket's largest component). ``likeliest``: of each member
-    outside of it only the likeliest candidate inside and the likeliest other, per pair of blocks.
+    ``placed``: key, id, root, main (root of the bucket's largest component). Returns a row per block and member
+    that has candidates there: those that ask carry their ``partners``, the likeliest first; ``part`` keeps what is
+    compared together below ``PART_SHINGLES``. ``likeliest``: of each member outside the largest component only the
+    likeliest candidate inside and the likeliest other, per pair of blocks.
     """
     out = F.col("root") != F.col("main")
     sizes = placed.groupBy("key").agg(F.ceil(F.count_if(out) / OUTSIDERS).alias("outs"), F.ceil(F.count("*") / MEMBERS).alias("alls"))
     full = placed.join(sizes.withColumnRenamed("key", "of"), F.col("key") == F.col("of")).drop("of")
-    full = full.join(classes.select(F.col("id").alias("of"), "samples", "bands", "sketch"), F.col("id") == F.col("of")).drop("of")
-    fields = ["id", "root", "main", "samples", "bands", "sketch"]
+    full = full.join(classes.select(F.col("id").alias("of"), "n_shingles", "samples", "bands", "sketch"), F.col("id") == F.col("of")).drop("of")
+    fields = ["id", "root", "main", "n_shingles", "samples", "bands", "sketch"]
     spread = F.xxhash64("id", F.lit(3))
     left = full.filter(out).select("key", F.pmod(spread, "outs").alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("alls") - 1)).alias("y"), F.lit(True).alias("outside"), *fields)
     right = full.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("outs") - 1)).alias("x"), F.pmod(spread, "alls").alias("y"), F.lit(False).alias("outside"), *fields)
@@ -202,31 +207,93 @@ def between_components(placed: DataFrame, classes: DataFrame, percent: int, like
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         own = np.int64(key[0].as_py()).view(np.uint64)
         outside = rows.column("outside").to_numpy()
-        values = {c: rows.column(c).to_numpy() for c in ("id", "root", "main", "samples")}
+        ids, roots, mains, sizes, samples = (rows.column(c).to_numpy() for c in ("id", "root", "main", "n_shingles", "samples"))
         bands, sketches = (rows.column(c).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(rows), -1) for c in ("bands", "sketch"))
         at, others = np.flatnonzero(outside), np.flatnonzero(~outside)
-        found = []
+        asks = []
         for i in at:
-            j = others[values["root"][others] != values["root"][i]]
+            j = others[roots[others] != roots[i]]
             # Of two outsiders the one with the smaller id asks.
-            j = j[(values["root"][j] == values["main"][j]) | (values["id"][j] > values["id"][i])]
+            j = j[(roots[j] == mains[j]) | (ids[j] > ids[i])]
             odd = np.bitwise_count(sketches[j] ^ sketches[i]).sum(axis=1)
-            score = estimate(values["samples"][i], values["samples"][j], odd)
+            score = estimate(samples[i], samples[j], odd)
             j, score = j[score >= least], score[score >= least]
             if len(j):
                 first = bands[i][(bands[j] == bands[i]).argmax(axis=1)] == own
                 j, score = j[first], score[first]
                 if likeliest:
-                    inside = values["root"][j] == values["main"][j]
+                    inside = roots[j] == mains[j]
                     j = np.array([j[x][score[x].argmax()] for x in (inside, ~inside) if x.any()], np.int64)
-                found += [(min(x, values["id"][i]), max(x, values["id"][i])) for x in values["id"][j]]
-        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+                else:
+                    j = j[np.lexsort((ids[j], -score))]
+                if len(j):
+                    asks.append((i, j))
+        made = [(part, i, roots[at], partners.get(i)) for part, (held, partners) in enumerate(_parts(asks, ids, sizes)) for i, at in held.items()]
+        columns = [[k.as_py()] * len(made) for k in key] + [[m[c] for m in made] for c in range(4)]
+        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns[:6]] + [pa.array(columns[6], pa.list_(pa.int64()))], ["key", "x", "y", "part", "id", "root", "partners"])
+
+    return left.unionByName(right).groupBy("key", "x", "y").applyInArrow(run, ASKED)
+
+
+def _parts(asks: list, ids: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[dict, dict]]:
+    """Members (id to place) and partners (id to ids) of parts whose sets have ``PART_SHINGLES`` or are of one pair."""
+    held, partners, size = {}, {}, 0
+    for i, found in asks:
+        for j in found:
+            more = sum(int(sizes[m]) for m in (i, j) if ids[m] not in held)
+            if held and size + more > PART_SHINGLES:
+                yield held, partners
+                held, partners, size, more = {}, {}, 0, int(sizes[i]) + int(sizes[j])
+            held[ids[i]], held[ids[j]] = i, j
+            size += more
+            partners.setdefault(ids[i], []).append(ids[j])
+    if held:
+        yield held, partners
+
+
+def sets_of(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(of, names): the full sets of the ids in ``wanted``."""
+    wanted = wanted.select(F.col("id").alias("__id")).distinct()
+    texts = docs.select(F.col(doc_id).cast("long").alias("of"), F.col(text).alias("text")).join(wanted, F.col("of") == F.col("__id"), "left_semi")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = pa.array([shingles(data).tobytes() for data in common.text_bytes(batch.column(1))], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), names], ["of", "names"])
+
+    return texts.groupBy("of").agg(F.min("text").alias("text")).mapInArrow(run, "of long, names binary")
+
+
+def spanning_links(asked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) confirmed on full sets, within the blocks: of each part a forest that joins the components it
+    finds linked, so at most one link less than it has members. A pair that links before have joined is not compared."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("id")
+        ids, roots = rows.column("id").to_pylist(), rows.column("root").to_pylist()
+        place = {i: n for n, i in enumerate(ids)}
+        names, above, links = rows.column("names"), {r: r for r in roots}, []
+
+        def top(root: int) -> int:
+            while above[root] != root:
+                above[root] = root = above[above[root]]
+            return root
+
+        for n, partners in enumerate(rows.column("partners").to_pylist()):
+            own = np.frombuffer(names[n].as_py(), np.uint64)
+            for other in partners or ():
+                one, two = top(roots[n]), top(roots[place[other]])
+                if one != two and alike(own, np.frombuffer(names[place[other]].as_py(), np.uint64), percent):
+                    above[max(one, two)] = min(one, two)
+                    links.append((min(ids[n], other), max(ids[n], other)))
+        return pa.table({x: pa.array([link[k] for link in links], pa.int64()) for k, x in enumerate("ab")})
 
-    return left.unionByName(right).groupBy("key", "x", "y").applyInArrow(run, "a long, b long")
+    block = ["key", "x", "y", "part"]
+    return asked.join(sets, F.col("id") == F.col("of")).select(*block, "id", "root", "partners", "names").groupBy(*block).applyInArrow(run, "a long, b long")
 
 
 def link(classes: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
-    """Components (id, root) of ``classes`` (id, bands, samples, sketch)."""
+    """Components (id, root) of ``classes`` (id, n_shingles, bands, samples, sketch)."""
     buckets = classes.select("id", F.posexplode("bands").alias("band", "key"))
     kind = F.xxhash64("id", F.col("band") % LEADS)
     first = buckets.groupBy("key").agg(F.min_by("id", kind).alias("lead"), F.count("*").alias("n")).filter("n > 1")
@@ -242,8 +309,9 @@ def link(classes: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: i
         placed, _ = common.store(in_open_buckets(members, groups), "near-open")
         if placed.isEmpty():
             break
-        more, _ = common.store(between_components(placed, classes, percent, likeliest).distinct(), "near-between")
-        new, _ = common.store(confirm(more, docs, doc_id, text, percent), "near-more-links")
+        asked, _ = common.store(between_components(placed, classes, percent, likeliest), "near-between")
+        sets, _ = common.store(sets_of(asked, docs, doc_id, text), "near-sets")
+        new, _ = common.store(spanning_links(asked, sets, percent).distinct(), "near-more-links")
         if not new.isEmpty():
             links = links.unionByName(new)
             groups, _ = common.store(components(links), "near-groups")
@@ -270,7 +338,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id",
     # documents read it plainly, so that Spark can split the rows of a set a third of them share.
     ids = classes.select(F.col("id").alias("of"), F.col("digest").alias("of_digest"))
     full = one_each.join(ids, (F.col("doc_id") == F.col("of")) & (F.col("digest") == F.col("of_digest"))).dropDuplicates(["of", "of_digest"])
-    full, _ = common.store(full.select(F.col("of").alias("id"), "digest", "bands", "samples", "sketch"), "near-classes")
+    full, _ = common.store(full.select(F.col("of").alias("id"), "n_shingles", "digest", "bands", "samples", "sketch"), "near-classes")
     groups = link(full, docs, doc_id, text, percent).select(F.col("id").alias("__id"), "root")
     by_digest = full.select(F.col("digest").alias("__digest"), F.col("id").alias("class_id")).join(groups, F.col("class_id") == F.col("__id"), "left")
     by_digest, _ = common.store(by_digest.select("__digest", F.coalesce("root", "class_id").alias("class_root")), "near-roots")
