@@ -136,9 +136,17 @@ def by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 def questions(batch: int, arrays: dict[str, np.ndarray], keys: str, buckets: int, shift: int = 0) -> list[tuple[int, int, bytes]]:
     """Rows (batch, bucket, payload) that carry the named arrays to the buckets of their keys."""
-    order, edges = by_bucket(arrays[keys], buckets)
-    dealt = {name: a[order] for name, a in arrays.items()}
-    return [(batch, b + shift, frame(**{name: a[edges[b] : edges[b + 1]] for name, a in dealt.items()})) for b in range(buckets) if edges[b] < edges[b + 1]]
+    return questions_of(batch, [(keys, arrays)], buckets, shift)
+
+
+def questions_of(batch: int, asked: list[tuple[str, dict[str, np.ndarray]]], buckets: int, shift: int = 0) -> list[tuple[int, int, bytes]]:
+    """Questions of several kinds (name of the keys, arrays), each to the buckets of its keys, in one row per bucket."""
+    dealt = []
+    for keys, arrays in asked:
+        order, edges = by_bucket(arrays[keys], buckets)
+        dealt.append((edges, {name: a[order] for name, a in arrays.items()}))
+    filled = np.flatnonzero(sum(np.diff(edges) for edges, _ in dealt))
+    return [(batch, int(b) + shift, frame(**{name: a[edges[b] : edges[b + 1]] for edges, arrays in dealt for name, a in arrays.items()})) for b in filled]
 
 
 def answered(keys: np.ndarray, buckets: int, answers: dict[int, dict[str, np.ndarray]], names: dict[str, type], shift: int = 0) -> dict[str, np.ndarray]:

@@ -12,10 +12,13 @@ equal or not here, so the rank of a string is its 64-bit name, and Spark brings
    document than the least go as a whole.
 3. Where a rank has several different blocks, the pair of rank and name of the whole block ranks them anew: a
    block equal to one of a smaller document goes as a whole.
-4. What is left of these is ranked again at ``LENGTH``, window by window, by two 64-bit names.
+   In the same round the positions of such blocks are ranked again at ``SEED + REACH``, by their rank and what
+   follows, and likewise by what precedes: every window around a position holds the one or the other. A longer
+   string that stands in a single document is unique, and the windows that hold it leave.
+4. Windows that hold a longer string of several documents are ranked again at ``LENGTH``, by two 64-bit names.
 
-Each batch of documents asks with its distinct ranks only, then with distinct pairs, then with distinct
-windows (see ``common``). A rank is one row per batch, with its least and greatest document and name, however
+Each batch of documents asks with its distinct ranks only, then with distinct pairs and longer strings, then with
+distinct windows (see ``common``). A rank is one row per batch, with its least and greatest document and name, however
 many different blocks it has; pairs are dealt by name and windows by their own, so a string that stands in a
 third of all documents between different neighbours does not gather either. What the batch itself can
 decide it does: the later of two equal blocks goes without asking.
@@ -40,6 +43,7 @@ from txnlake.llm import common
 LENGTH, SEED = 50, 20
 BATCH_BYTES = 8 << 20  # a batch is taken apart into some forty times its bytes
 SPAN = LENGTH - SEED + 1  # positions inside a window
+REACH = (LENGTH - SEED) // 2  # bytes by which a position is ranked again, on either side
 PIECE = 1 << 18
 _LOW = np.uint64(PIECE * 2 - 1)
 _RNG = np.random.default_rng(20240101)
@@ -65,7 +69,9 @@ def scramble(h: np.ndarray) -> np.ndarray:
 
 
 class Blocks:
-    """Blocks of a batch: ``lo`` and ``hi`` (first and last window), rank, name and the document's place."""
+    """Blocks of a batch: ``lo`` and ``hi`` (first and last window), rank, name, the position ``at`` that stands for
+    them, names of the strings of ``SEED + REACH`` bytes that end (``left``) or begin (``right``) with its rank's, and the
+    document's place."""
 
     def __init__(self, texts: list[bytes]):
         self.data = np.frombuffer(b"".join(texts), np.uint8)
@@ -75,7 +81,9 @@ class Blocks:
         for begin, end in zip(self.begins, self.ends, strict=True):
             valid[max(begin, end - LENGTH + 1) : end] = False
         found = [self._piece(a, valid) for a in range(0, max(0, len(self.data) - LENGTH + 1), PIECE)]
-        self.lo, self.hi, self.rank, self.name = [np.concatenate(c) if found else np.empty(0, k) for c, k in zip(zip(*found, strict=True) if found else [()] * 4, (np.int64, np.int64, np.uint64, np.uint64), strict=True)]
+        kinds = (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint64, np.uint64)
+        columns = zip(*found, strict=True) if found else [[np.empty(0, k)] for k in kinds]
+        self.lo, self.hi, self.at, self.rank, self.name, self.left, self.right = [np.concatenate(c) for c in columns]
         self.doc = np.searchsorted(self.ends, self.lo, "right")
         # Equal blocks are a class; classes are numbered by their first block, so by document.
         mixed = scramble(self.rank) + self.name * np.uint64(0x94D049BB133111EB)
@@ -102,6 +110,36 @@ class Blocks:
         first = self.first[classes]
         return {"name": self.name[first], "rank": self.rank[first], "doc": ids[self.doc[first]]}
 
+    def sides(self, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of every class: has it windows that hold its left, and its right, longer string."""
+        first = self.first[classes]
+        middle = self.at[first] - REACH
+        return self.lo[first] <= middle, self.hi[first] >= middle
+
+    def asked_sides(self, ids: np.ndarray, classes: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        """A row per distinct longer string, with its least document and how far the greatest is beyond, and
+        the row of every left one, then of every right one."""
+        first = self.first[classes]
+        left, right = self.sides(classes)
+        keys, of = np.unique(np.concatenate([self.left[first][left], self.right[first][right]]), return_inverse=True)
+        docs = ids[self.doc[np.concatenate([first[left], first[right]])]]
+        order = np.argsort(of, kind="stable")
+        at = np.searchsorted(of[order], np.arange(len(keys)))
+        least = np.minimum.reduceat(docs[order], at) if len(at) else docs
+        more = (np.maximum.reduceat(docs[order], at) if len(at) else docs) - least
+        return {"side": keys, "side_doc": least, "side_more": more}, of
+
+    def open_windows(self, classes: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of every class the windows that hold a shared longer string: how many to skip, and their number. ``shared``:
+        the answers to the left strings, then to the right ones."""
+        left, right = self.sides(classes)
+        n = int(np.count_nonzero(left))
+        left[left], right[right] = shared[:n], shared[n:]
+        first = self.first[classes]
+        lo, hi, middle = self.lo[first], self.hi[first], self.at[first] - REACH
+        begin, end = np.where(left, lo, np.maximum(lo, middle)), np.where(right, hi, np.minimum(hi, middle))
+        return begin - lo, np.where(left | right, end - begin + 1, 0)
+
     def _piece(self, a: int, valid: np.ndarray):
         x = self.data[a : a + PIECE + LENGTH - 1]
         n = len(x)
@@ -122,18 +160,27 @@ class Blocks:
         least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
         at = np.flatnonzero(valid[a : a + len(least)])
         if not len(at):
-            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+            return *[np.empty(0, np.int64)] * 3, *[np.empty(0, np.uint64)] * 4
         stands = (least[at] & _LOW).astype(np.int64)
         new = np.concatenate([[True], (stands[1:] != stands[:-1]) | (at[1:] != at[:-1] + 1)])
         begins = np.flatnonzero(new)
         lo, hi = at[begins], at[np.concatenate([begins[1:], [len(at)]]) - 1]
         name = scramble((sums[1][hi + LENGTH] - sums[1][lo]) * _INVERSE[1][lo] + (hi - lo).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
-        return lo + a, hi + a, rank[stands[begins]], name
+        seed = stands[begins]
+
+        def longer(begin: np.ndarray, there: np.ndarray) -> np.ndarray:
+            names = np.zeros(len(begin), np.uint64)
+            b = begin[there]
+            names[there] = scramble((sums[1][b + SEED + REACH] - sums[1][b]) * _INVERSE[1][b])
+            return names
+
+        left, right = longer(seed - REACH, lo <= seed - REACH), longer(seed, hi >= seed - REACH)
+        return lo + a, hi + a, seed + a, rank[seed], name, left, right
 
-    def windows(self, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts of all windows of the first blocks of ``classes``, and two names of each."""
-        lo, hi = self.lo[self.first[classes]], self.hi[self.first[classes]]
-        many = hi - lo + 1
+    def windows(self, classes: np.ndarray, skip: np.ndarray | None = None, many: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts of windows of the first blocks of ``classes``, all or ``many`` after the first ``skip``, and two names of each."""
+        lo = self.lo[self.first[classes]] + (0 if skip is None else skip)
+        many = self.hi[self.first[classes]] - lo + 1 if many is None else many
         starts = np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum()) if len(classes) else np.empty(0, np.int64)
         names = []
         for k in (0, 1):
@@ -198,23 +245,35 @@ def _answer_ranks(bucket: int, batches: list[int], asked: list[dict[str, np.ndar
 
 
 def _answer_pairs(bucket: int, batches: list[int], asked: list[dict[str, np.ndarray]]) -> list[tuple]:
-    """Per block: is there an equal one in a smaller document."""
-    return _answer_equal(bucket, batches, asked, "name", "rank")
+    """Per block: is there an equal one in a smaller document. Per longer string: is it in several documents."""
+    side, doc, more = [np.concatenate([q[k] for q in asked]) for k in ("side", "side_doc", "side_more")]
+    order = np.argsort(side, kind="stable")
+    new = _groups(side[order])
+    at = np.flatnonzero(new)
+    shared = np.zeros(len(side), np.uint8)
+    if len(at):
+        several = np.maximum.reduceat((doc + more)[order], at) > np.minimum.reduceat(doc[order], at)
+        shared[order] = several[np.cumsum(new) - 1]
+    flags = _split(batches, [q["name"] for q in asked], {"flag": _earlier(asked, "name", "rank")})
+    sides = _split(batches, [q["side"] for q in asked], {"shared": shared})
+    return [(b, bucket, common.frame(**f, **s)) for (b, f), (_, s) in zip(flags, sides, strict=True)]
 
 
 def _answer_windows(bucket: int, batches: list[int], asked: list[dict[str, np.ndarray]]) -> list[tuple]:
     """Per window: does an equal one start in a smaller document."""
-    return _answer_equal(bucket, batches, asked, "one", "two")
+    flags = _earlier(asked, "one", "two")
+    return [(b, bucket, common.frame(**a)) for b, a in _split(batches, [q["one"] for q in asked], {"flag": flags})]
 
 
-def _answer_equal(bucket: int, batches: list[int], asked: list[dict[str, np.ndarray]], key: str, other: str) -> list[tuple]:
+def _earlier(asked: list[dict[str, np.ndarray]], key: str, other: str) -> np.ndarray:
+    """Is there the same pair in a smaller document."""
     one, two, doc = [np.concatenate([q[k] for q in asked]) for k in (key, other, "doc")]
     order = np.lexsort((doc, two, one))
     d = doc[order]
     new = _groups(one[order], two[order])
-    flags = np.empty(len(one), np.uint8)
+    flags = np.zeros(len(one), np.uint8)
     flags[order] = d[np.flatnonzero(new)][np.cumsum(new) - 1] < d
-    return [(b, bucket, common.frame(**a)) for b, a in _split(batches, [q[key] for q in asked], {"flag": flags})]
+    return flags
 
 
 def _distinct_windows(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -227,30 +286,30 @@ def _distinct_windows(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.
     return first[order], place[inverse]
 
 
-def _removed(blocks: Blocks, ids: np.ndarray, flags: np.ndarray, window_flags) -> np.ndarray:
-    """True for every removed byte of a batch. ``window_flags(one, two, doc)`` answers for distinct windows."""
+def _removed(blocks: Blocks, ids: np.ndarray, flags: np.ndarray, skip: np.ndarray, many: np.ndarray, window_flags) -> np.ndarray:
+    """True for every removed byte of a batch. Of every class the ``many`` windows after the first ``skip`` are open;
+    ``window_flags(one, two, doc)`` answers for distinct ones."""
     edge = np.zeros(len(blocks.data) + LENGTH + 1, np.int32)
     doc = ids[blocks.doc]
     first = doc[blocks.first]
     goes = (doc > first[blocks.of]) | (flags[blocks.of] == BEFORE)
     edge[blocks.lo[goes]] += 1
     edge[blocks.hi[goes] + LENGTH] -= 1
-    classes = np.flatnonzero(flags == SEVERAL)
+    classes = np.flatnonzero(many)
     if len(classes):
-        starts, one, two = blocks.windows(classes)
+        starts, one, two = blocks.windows(classes, skip[classes], many[classes])
         where, kind = _distinct_windows(one, two)
-        many = blocks.hi[blocks.first[classes]] - blocks.lo[blocks.first[classes]] + 1
-        of_window = np.repeat(first[classes], many)
+        of_window = np.repeat(first[classes], many[classes])
         known = window_flags(one[where], two[where], of_window[where]).astype(bool)
         out = known[kind] | (of_window[where][kind] < of_window)
         # The same block again in the same document loses the same windows.
         begins = np.zeros(len(blocks.first), np.int64)
-        begins[classes] = np.cumsum(many) - many
-        more = np.flatnonzero((flags[blocks.of] == SEVERAL) & ~goes)
-        lengths = blocks.hi[more] - blocks.lo[more] + 1
+        begins[classes] = np.cumsum(many[classes]) - many[classes]
+        more = np.flatnonzero((many[blocks.of] > 0) & ~goes)
+        lengths = many[blocks.of[more]]
         inside = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         hit = out[np.repeat(begins[blocks.of[more]], lengths) + inside]
-        gone = (np.repeat(blocks.lo[more], lengths) + inside)[hit]
+        gone = (np.repeat(blocks.lo[more] + skip[blocks.of[more]], lengths) + inside)[hit]
         edge[gone] += 1
         edge[gone + LENGTH] -= 1
     return np.cumsum(edge, out=edge)[: len(blocks.data)] > 0
@@ -277,22 +336,30 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         flags = common.answered(blocks.ranks, buckets, answers, {"flag": np.uint8})["flag"][blocks.rank_of]
         return flags, np.flatnonzero(flags == SEVERAL)
 
-    def flags_of(blocks: Blocks, answers: dict) -> np.ndarray:
+    def left_open(blocks: Blocks, ids: np.ndarray, answers: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Flags of all classes, and the windows that are open: how many to skip, and their number."""
         flags, classes = several(blocks, answers)
         before = common.answered(blocks.name[blocks.first[classes]], buckets, answers, {"flag": np.uint8}, buckets)["flag"]
         flags[classes] = np.where(before, BEFORE, SEVERAL)
-        return flags
+        sides, of = blocks.asked_sides(ids, classes)
+        shared = common.answered(sides["side"], buckets, answers, {"shared": np.uint8}, buckets)["shared"].astype(bool)
+        skip, many = np.zeros(len(flags), np.int64), np.zeros(len(flags), np.int64)
+        skip[classes], many[classes] = blocks.open_windows(classes, shared[of])
+        many[flags != SEVERAL] = 0
+        return flags, skip, many
 
     def ask_pairs(batch: int, blob: bytes, answers: dict) -> pa.Table:
         rows = _read(blob)
         blocks, ids = Blocks(_texts(rows, text)), _ids(rows, doc_id)
-        return common.rows(common.questions(batch, blocks.asked_pairs(ids, several(blocks, answers)[1]), "name", buckets), _ASKED)
+        classes = several(blocks, answers)[1]
+        return common.rows(common.questions_of(batch, [("name", blocks.asked_pairs(ids, classes)), ("side", blocks.asked_sides(ids, classes)[0])], buckets), _ASKED)
 
     def ask_windows(batch: int, blob: bytes, answers: dict) -> pa.Table:
         rows = _read(blob)
         blocks, ids = Blocks(_texts(rows, text)), _ids(rows, doc_id)
-        classes = np.flatnonzero(flags_of(blocks, answers) == SEVERAL)
-        starts, one, two = blocks.windows(classes)
+        _, skip, many = left_open(blocks, ids, answers)
+        classes = np.flatnonzero(many)
+        starts, one, two = blocks.windows(classes, skip[classes], many[classes])
         where, _ = _distinct_windows(one, two)
         doc = ids[np.searchsorted(blocks.ends, starts[where], "right")]
         return common.rows(common.questions(batch, {"one": one[where], "two": two[where], "doc": doc}, "one", buckets), _ASKED)
@@ -314,7 +381,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         def window_flags(one, two, doc):
             return common.answered(one, buckets, answers, {"flag": np.uint8}, 2 * buckets)["flag"]
 
-        gone = _removed(blocks, ids, flags_of(blocks, answers), window_flags)
+        gone = _removed(blocks, ids, *left_open(blocks, ids, answers), window_flags)
         left, counts = [], []
         for whole, begin, end in zip(texts, blocks.begins, blocks.ends, strict=True):
             mask = gone[begin:end]
