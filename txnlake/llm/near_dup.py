@@ -120,11 +120,16 @@ def estimate(a_samples, b_samples, odd_bits):
     return np.where(both > 0, both / np.maximum(both + differ / full, 1e-9), -1.0)
 
 
-SIGNED = "doc_id long, n_shingles long, digest string, bands array<long>, samples int, sketch array<long>"
+SIGNED = "doc_id long, n_shingles long, digest string, bands array<long>, samples int, sketch array<long>, text_hash long"
+
+
+def text_hash(text: str = "text"):
+    """Tells rows of one id with different texts apart."""
+    return F.xxhash64(text).alias("text_hash")
 
 
 def sign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: id, size of the set, digest of the set (null for an empty one), band keys, sketch."""
+    """Per row: id, size of the set, digest of the set (null for an empty one), band keys, sketch, hash of the text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,9 +143,9 @@ def sign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
                     made.append((0, None, None, None, None))
             kinds = (pa.int64(), pa.string(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int64()))
             columns = [pa.array([m[i] for m in made], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_shingles", "digest", "bands", "samples", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, batch.column(2)], ["doc_id", "n_shingles", "digest", "bands", "samples", "sketch", "text_hash"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, SIGNED)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), text_hash(text)).mapInArrow(run, SIGNED)
 
 
 def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -330,7 +335,7 @@ def in_open_buckets(members: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+    """One row per document: doc_id, n_shingles, text_hash, component_id, kept."""
     signed, _ = common.store(sign(docs, doc_id, text), "near-signed")
     one_each = signed.filter("digest is not null and doc_id is not null")
     classes = one_each.groupBy("digest").agg(F.min("doc_id").alias("id"))
@@ -342,6 +347,6 @@ def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id",
     groups = link(full, docs, doc_id, text, percent).select(F.col("id").alias("__id"), "root")
     by_digest = full.select(F.col("digest").alias("__digest"), F.col("id").alias("class_id")).join(groups, F.col("class_id") == F.col("__id"), "left")
     by_digest, _ = common.store(by_digest.select("__digest", F.coalesce("root", "class_id").alias("class_root")), "near-roots")
-    rows = signed.select("doc_id", "n_shingles", "digest").join(by_digest, F.col("digest") == F.col("__digest"), "left")
+    rows = signed.select("doc_id", "n_shingles", "digest", "text_hash").join(by_digest, F.col("digest") == F.col("__digest"), "left")
     component = F.coalesce("class_root", "doc_id")
-    return rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return rows.select("doc_id", "n_shingles", "text_hash", F.when(F.col("doc_id").isNotNull(), component).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -31,7 +31,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_duplicates(common.table(spark, sf_dir, "documents"), percent=85)
+    return near_dup.near_duplicates(common.table(spark, sf_dir, "documents"), percent=85).drop("text_hash")
 
 
 SQL["op2_near_duplicates"] = r"""
