@@ -26,8 +26,9 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of documents linked by a similarity of 0.8 or more the one with the smallest id stays."""
     common.prepare(spark)
     judged = near_dup.near_duplicates(docs, percent=80)
-    gone = judged.filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    # By id and text: of an id that repeats, a text that is a copy goes and another one stays.
+    gone = judged.filter("not kept").select(F.col("doc_id").alias("__gone"), F.col("text_hash").alias("__gone_text")).distinct()
+    return docs.join(gone, (F.col("doc_id") == F.col("__gone")) & (near_dup.text_hash("text") == F.col("__gone_text")), "left_anti")
 
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
