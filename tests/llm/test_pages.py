@@ -220,6 +220,17 @@ def test_pipeline_stages(spark, sf_dir):
     assert taken == pytest.approx(1.5 * words, rel=0.1)
 
 
+def test_near_dedup_stage_judges_rows_of_one_id_by_their_text(spark, sf_dir):
+    """A copy under a repeated id goes, another text of that id stays, so each group keeps a document."""
+    one, two = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    texts = [(1, one), (5, one), (5, two), (5, two), (7, two), (8, None), (8, ""), (None, one)]
+    docs = spark.createDataFrame([(i, t, "s", i, t) for i, t in texts], "doc_id long, text string, source string, n_shingles long, digest string")
+    kept = corpus_pipeline.near_dedup_stage(spark, docs, sf_dir)
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert got == sorted([(1, one), (5, two), (5, two), (8, None), (8, ""), (None, one)], key=str)
+
+
 def test_pipeline_runs_on_awkward_and_empty_documents(spark, sf_dir):
     docs = brute.awkward(spark).drop("Score", "n_removed")
     for start in (docs, docs.limit(0)):
