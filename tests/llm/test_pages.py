@@ -3,6 +3,7 @@
 import hashlib
 import io
 import os
+import re
 
 import duckdb
 import pyarrow as pa
@@ -42,6 +43,24 @@ def test_url_filters_against_every_rule(spark, rules):
     assert url_filters.judge(pages.limit(0), table).count() == 0
 
 
+def test_url_rules_of_one_prefix_are_told_apart_by_full_digests(spark, monkeypatch):
+    monkeypatch.setattr(url_filters, "PREFIX_DIGITS", 1)  # sixteen prefixes for all rules
+    rules = [(h, p, a) for h, a in (("com", "allow"), ("b.com", "block"), ("org", "block")) for p in ("/", "/f", "/fr/", "/de/", "/e", "/es/", "")]
+    pages = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
+    table = spark.createDataFrame(rules * 3, "host string, path string, action string")
+    folded = url_filters.fold_rules(table)
+    assert folded.count() <= 16 and folded.agg(F.sum(F.size("rules"))).first()[0] == len(rules)
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filters.judge(pages, table).collect()}
+    assert got == {i: brute_rule(u, rules) for i, u in enumerate(URLS)}
+
+
+def test_url_rules_join_on_the_prefix_alone(spark):
+    pages = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
+    table = spark.createDataFrame(queries.URL_RULES, "host string, path string, action string")
+    plan = url_filters.judge(pages, table)._jdf.queryExecution().sparkPlan().toString()
+    assert len(re.findall(r"Join \[digest_prefix#\d+\], \[prefix#\d+\], Inner", plan)) == 1
+
+
 def pages_of(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 

@@ -98,7 +98,8 @@ URL_RULES = [
 @query
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = common.table(spark, sf_dir, "pages").select("page_id", "url")
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    named = [F.struct(F.lit(host).alias("host"), F.lit(path).alias("path"), F.lit(action).alias("action")) for host, path, action in URL_RULES]
+    rules = spark.range(1).select(F.inline(F.array(*named)))
     return url_filters.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
