@@ -3,8 +3,10 @@
 Items become an inverted index; every passage of every training text is a query, and all items whose
 score reaches ``LEAST_SCORE`` are found. A posting's impact is its BM25 weight as a share of the item's own
 score (that of the item as a query), so a passage with the whole item scores 1 and one threshold
-serves all items. Passages are windows of twice the longest item, every half window, so each item-long stretch
-lies whole in one. Items of like length share a block. For all passages of some texts at once, the greatest
+serves all items. Items are put in classes by their length, powers of two from ``LEAST_WIDTH`` words, with an index
+each. Passages are windows of twice the class's length, every half window, so each item-long stretch
+lies whole in one; what is found of an item depends on the item and the text only, not on its shard or the other
+items in it. Items of like length share a block. For all passages of some texts at once, the greatest
 impacts of a passage's words are added up per block; a passage goes on only if some block reaches the
 threshold. Then block-max WAND walks its postings and skips blocks whose greatest impacts do not add up.
 
@@ -14,7 +16,7 @@ edited at its end is found too. The answer is the last sentence of an item's tex
 words is compared word by word.
 
 Word statistics cover all items. The index is cut into shards of at most ``SHARD_WORDS`` words, each broadcast
-in turn, so what is broadcast is bounded whatever the benchmark's size.
+in turn, so what is broadcast is bounded whatever the benchmark's size; a scan searches all classes of a shard.
 
 Defined cases: null and empty texts match nothing, as do items without a word; equal items are each
 reported; repeated rows and null ids are searched like others (rows with equal ids are reported as one); an
@@ -42,6 +44,7 @@ LEAST_SCORE, LEAST_OVERLAP, GRAM = 0.5, 0.5, 5
 WHOLE_OVERLAP = 0.8  # of question and answer together, whatever the answer's own
 BLOCK = 4  # items
 SHARD_WORDS = 50_000
+LEAST_WIDTH = 64  # words of the shortest class; shorter passages would cost more than they tell apart
 GROUP_WORDS = 40_000  # of texts whose passages are made together, whole texts at least
 CELLS = 1 << 24  # (word, window, block) bounds added up at once
 # A-Z to lower case, punctuation to space, so that glued marks do not hide a word.
@@ -65,6 +68,11 @@ def grams(of: list[bytes], n: int) -> set[tuple[bytes, ...]]:
     return set(zip(*[of[i:] for i in range(n)], strict=False))
 
 
+def width(n: int) -> int:
+    """Length of the class of items of ``n`` words: the power of two they fit in, ``LEAST_WIDTH`` at least."""
+    return max(LEAST_WIDTH, 1 << max(n - 1, 0).bit_length())
+
+
 class Part:
     """A question, an answer or both, to be found in passages."""
 
@@ -86,13 +94,13 @@ class _Numbers(dict):
 
 
 class Index:
-    """One shard: postings with impacts, sorted by item; greatest impact per word and per block of items."""
+    """One class of a shard: postings with impacts, sorted by item; greatest impact per word and per block of items."""
 
     def __init__(self, items: list[tuple], items_in_all: int, mean_length: float, found_in: dict[bytes, int]):
         """``items``: (id, text); ``found_in``: items in all that have the word."""
         self.items = []
         postings: dict[bytes, list[tuple[int, float]]] = {}
-        self.window = 2
+        self.window = 2 * LEAST_WIDTH
         parts = [(item_id, *question_and_answer(text)) for item_id, text in items]
         for item_id, question, answer in sorted(parts, key=lambda p: len(p[1]) + len(p[2])):
             own = question + answer
@@ -106,7 +114,7 @@ class Index:
             for w, x in weights.items():
                 postings.setdefault(w, []).append((len(self.items), x / whole))
             self.items.append((item_id, Part(question), Part(answer, GRAM if len(answer) > GRAM else 1), Part(own)))
-            self.window = max(self.window, 2 * len(own))
+            self.window = max(self.window, 2 * width(len(own)))
         self.numbers = _Numbers((w, i) for i, w in enumerate(postings))
         self.numbers.unknown = len(postings)
         self.postings = list(postings.values())
@@ -209,18 +217,8 @@ class Index:
         for i in np.flatnonzero(bounds >= least - 1e-4):
             yield window[begins[i]], term[begins[i] : last[i]].tolist()
 
-    def finds(self, texts: list[bytes], least: float, overlap: float) -> list[list[tuple]]:
-        """Per text (item id, score, overlap of the question, of the answer), the best passage of each item."""
-        out, group, size = [], [], 0
-        for text in texts:
-            group.append(words(text))
-            size += len(group[-1])
-            if size >= GROUP_WORDS:
-                out += self._finds(group, least, overlap)
-                group, size = [], 0
-        return out + self._finds(group, least, overlap)
-
-    def _finds(self, texts: list[list[bytes]], least: float, overlap: float) -> list[list[tuple]]:
+    def finds(self, texts: list[list[bytes]], least: float, overlap: float) -> list[list[tuple]]:
+        """Per text, given as its words, (item id, score, overlap of the question, of the answer): the best passage of each item."""
         best: list[dict[int, tuple]] = [{} for _ in texts]
         for t, passage, terms in self.passages(texts, least):
             for item, score in self.search(terms, least):
@@ -234,8 +232,24 @@ class Index:
 END = 1 << 60
 
 
-def shards(items: DataFrame, item_id: str = "item_id", text: str = "text", most: int = SHARD_WORDS) -> Iterator[Index]:
-    """The index, a shard at a time; statistics are counted over all items."""
+def finds(shard: list[Index], texts: list[bytes], least: float, overlap: float) -> list[list[tuple]]:
+    """``Index.finds`` per text, over all classes of a shard; a text's words are made once."""
+    out, group, size = [], [], 0
+
+    def search() -> list[list[tuple]]:
+        return [[f for found in own for f in found] for own in zip(*[index.finds(group, least, overlap) for index in shard], strict=True)]
+
+    for text in texts:
+        group.append(words(text))
+        size += len(group[-1])
+        if size >= GROUP_WORDS:
+            out += search()
+            group, size = [], 0
+    return out + search()
+
+
+def shards(items: DataFrame, item_id: str = "item_id", text: str = "text", most: int = SHARD_WORDS) -> Iterator[list[Index]]:
+    """The index, a shard at a time, each a list of its classes; statistics are counted over all items."""
     base = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text")).filter("text is not null")
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,11 +266,14 @@ def shards(items: DataFrame, item_id: str = "item_id", text: str = "text", most:
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
     for p in range(parts):
         own = split_items.filter(part == p)
-        rows = own.select("item_id", "text").orderBy("item_id", "text").collect()
+        rows = own.select("length", "item_id", "text").orderBy("item_id", "text").collect()
         used = own.select(F.explode("words").alias("word")).distinct()
         counts = {bytes(r["word"]): r["n"] for r in found_in.join(used, "word", "left_semi").collect()}
-        if rows:
-            yield Index([tuple(r) for r in rows], total["n"], total["mean"], counts)
+        classes: dict[int, list[tuple]] = {}
+        for length, *item in rows:
+            classes.setdefault(width(length), []).append(tuple(item))
+        if classes:
+            yield [Index(classes[n], total["n"], total["mean"], counts) for n in sorted(classes)]
 
 
 FOUND = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
@@ -267,14 +284,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, least: float = LEAST_SCORE, ov
     spark = docs.sparkSession
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     found = spark.createDataFrame([], FOUND)
-    for index in shards(items):
-        sent = spark.sparkContext.broadcast(pickle.dumps(index))
+    for shard in shards(items):
+        sent = spark.sparkContext.broadcast(pickle.dumps(shard))
 
         def run(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             own = pickle.loads(sent.value)
             for batch in batches:
                 ids = batch.column(0).to_pylist()
-                made = [(i, *f) for i, found in zip(ids, own.finds(common.text_bytes(batch.column(1)), least, overlap), strict=True) for f in found]
+                made = [(i, *f) for i, found in zip(ids, finds(own, common.text_bytes(batch.column(1)), least, overlap), strict=True) for f in found]
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], k) for i, k in enumerate(kinds)], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
@@ -286,13 +303,13 @@ def find_leaks(docs: DataFrame, items: DataFrame, least: float = LEAST_SCORE, ov
 def drop_leaks(docs: DataFrame, items: DataFrame, least: float = LEAST_SCORE, overlap: float = LEAST_OVERLAP, text: str = "text") -> DataFrame:
     """``docs`` without the rows that contain a test item; nothing is shuffled."""
     spark, at = docs.sparkSession, docs.columns.index(text)
-    for index in shards(items):
-        sent = spark.sparkContext.broadcast(pickle.dumps(index))
+    for shard in shards(items):
+        sent = spark.sparkContext.broadcast(pickle.dumps(shard))
 
         def run(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             own = pickle.loads(sent.value)
             for batch in batches:
-                found = own.finds(common.text_bytes(batch.column(at)), least, overlap)
+                found = finds(own, common.text_bytes(batch.column(at)), least, overlap)
                 yield batch.filter(pa.array([not f for f in found], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
