@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from txnlake.functions import timing
 from txnlake.functions.amount import amount_category
-from txnlake.operators import ml
+from txnlake.operators import ml, scale
 from txnlake.schemas import HOURLY_COLS
 
 # Kept days per data set.
@@ -26,12 +26,29 @@ def _measures() -> list[Column]:
         F.count(F.lit(1)).alias("total_transactions"),
         F.sum("Amount").alias("total_amount"),
         F.avg("Amount").alias("avg_amount"),
-        F.percentile_approx("Amount", 0.5).alias("median_amount"),
         F.stddev("Amount").alias("std_amount"),
         F.avg("DataQuality_Score").alias("avg_data_quality"),
     ]
 
 
+MEASURES = [
+    "fraud_count",
+    "total_transactions",
+    "total_amount",
+    "avg_amount",
+    "median_amount",
+    "std_amount",
+    "avg_data_quality",
+]
+
+
+def _measured(df: DataFrame, keys: list[str], extra: tuple[Column, ...]) -> DataFrame:
+    """The measures per group; the median is exact, whatever the size of a group."""
+    groups = df.groupBy(*keys).agg(*_measures(), *extra)
+    extras = [c for c in groups.columns if c not in (*keys, *MEASURES)]
+    return scale.with_group_median(groups, df, keys, "Amount", "median_amount").select(*keys, *MEASURES, *extras)
+
+
 def hour_of_offset(time: Column) -> Column:
     """Start of the hour of a seconds offset, as a timestamp counted from 1970."""
     return F.date_trunc("hour", timing.seconds_to_ntz(time).cast("timestamp")).cast("timestamp_ntz")
@@ -40,13 +57,13 @@ def hour_of_offset(time: Column) -> Column:
 def hourly(df: DataFrame, *extra: Column) -> DataFrame:
     """Hourly measures by time, ``Hour`` and ``IsWeekend``."""
     df = default_columns(df)
-    return df.groupBy(hour_of_offset(F.col("Time")).alias("timestamp"), "Hour", "IsWeekend").agg(*_measures(), *extra)
+    return _measured(df.withColumn("timestamp", hour_of_offset(F.col("Time"))), ["timestamp", "Hour", "IsWeekend"], extra)
 
 
 def hourly_no_time(df: DataFrame, as_of: Column, *extra: Column) -> DataFrame:
     """The same measures for a table without time: grouped by ``Hour`` and stamped ``as_of``."""
     df = default_columns(df)
-    grouped = df.groupBy("Hour", "IsWeekend").agg(*_measures(), *extra)
+    grouped = _measured(df, ["Hour", "IsWeekend"], extra)
     return grouped.select(as_of.alias("timestamp"), *grouped.columns)
 
 
