@@ -42,27 +42,33 @@ def unique_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "unique")
 
 
-def _derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transactions from events, whose file has a single row group and so is read by one task."""
-    e, value = F.col("event_id"), F.col("value")
-    amount = (
-        F.when(e % 211 == 0, None)
-        .when(e % 307 == 0, F.lit(0.0))
-        .when(e % 101 == 0, F.round(value * 100.0, 2))
-        .when(e % 13 == 0, F.round(value * 10.0, 2))
-        .otherwise(value)
-    )
+def _derived(rows: DataFrame, *carried: str) -> DataFrame:
+    """Transactions from events; ``carried`` names columns that come along."""
     label = (
-        F.when(e % 499 == 0, None).when((F.col("event_type") == "error") & (e % 5 == 0), F.lit(1)).otherwise(F.lit(0))
+        F.when(F.col("event_id") % 499 == 0, None)
+        .when((F.col("event_type") == "error") & (F.col("event_id") % 5 == 0), F.lit(1))
+        .otherwise(F.lit(0))
     )
-    return events(spark, sf_dir).select(
-        e.alias("id"),
+    return rows.select(
+        F.col("event_id").alias("id"),
         F.col("user_id").alias("account_id"),
         "ts",
         ((timing.micros(F.col("ts")) - ORIGIN_US).cast("double") / F.lit(1e6)).alias("Time"),
         *[F.expr(_component(i)) for i in range(1, len(V_COLS) + 1)],
-        amount.alias("Amount"),
+        _amount().alias("Amount"),
         label.alias("Class"),
+        *carried,
+    )
+
+
+def _amount():
+    e, value = F.col("event_id"), F.col("value")
+    return (
+        F.when(e % 211 == 0, None)
+        .when(e % 307 == 0, F.lit(0.0))
+        .when(e % 101 == 0, F.round(value * 100.0, 2))
+        .when(e % 13 == 0, F.round(value * 10.0, 2))
+        .otherwise(value)
     )
 
 
@@ -91,7 +97,11 @@ def current_table(spark: SparkSession, sf_dir: str, percentile: bool = False, ro
 
 def received(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions as the stream receives them: lower-case names, nulls kept, event time present."""
-    return unique_txn(spark, sf_dir).select(
+    return _as_received(unique_txn(spark, sf_dir))
+
+
+def _as_received(rows: DataFrame, *carried: str) -> DataFrame:
+    return rows.select(
         "id",
         "account_id",
         *[F.col(v).alias(v.lower()) for v in V_COLS],
@@ -99,17 +109,38 @@ def received(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("Class").alias("class"),
         F.col("ts").alias("created"),
         F.lit(True).alias("created_present"),
+        *carried,
     )
 
 
 def realtime_table(spark: SparkSession, sf_dir: str, stats: bool = False) -> DataFrame:
     """Stream features of all transactions, processed two seconds after the event."""
-    processed = F.expr("created + INTERVAL 2 SECONDS")
-    return features.feature_record(received(spark, sf_dir), processed, stats=stats)
+    return features.feature_record(received(spark, sf_dir), F.expr(PROCESSED), stats=stats)
+
+
+PROCESSED = "created + INTERVAL 2 SECONDS"
 
 
 def realtime_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.with_rolling(realtime_table(spark, sf_dir, stats=True))
+    """The stream records with their rolling features and the ``day`` they were processed, dealt and sorted by it.
+
+    The frames and the dealing need the amount and keys only, so rows are shuffled and sorted as events and become records of
+    some sixty columns after that.
+    """
+    rows = events(spark, sf_dir).select(
+        "*",
+        F.col("event_id").alias("transaction_id"),
+        F.col("user_id").alias("account_id"),
+        F.col("ts").alias("time_stamp"),
+        _amount().alias("amount"),
+    )
+    own = ["event_id", "user_id", "ts", "event_type", "value"]
+    framed = features.with_rolling(features.amount_features(rows).select(*own, "transaction_id", "account_id", "time_stamp", "amount_log"))
+    day = F.to_date(F.expr(PROCESSED.replace("created", "ts"))).alias("day")
+    carried = [*features.ROLLING_COLS, "day"]
+    dealt = framed.select(*own, *features.ROLLING_COLS, day).hint("rebalance", "day").sortWithinPartitions("day", "ts")
+    arrived = _as_received(_derived(dealt, *carried), *carried)
+    return features.feature_record(arrived, F.expr(PROCESSED), carried=carried)
 
 
 def stream_raw(spark: SparkSession, sf_dir: str) -> str:
@@ -117,14 +148,19 @@ def stream_raw(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, "stream_raw")
     if key not in _STORED:
         rows = table(spark, sf_dir, "realtime")
-        bucket = timing.hour_bucket(F.col("processed_at")).alias("hour_bucket")
+        bucket = timing.hour_bucket(F.col("processed_at"))
+        # The table is dealt and sorted by time, so a task meets few hours; it sorts columns, not the longer text.
+        placed = rows.withColumn("hour_bucket", bucket).sortWithinPartitions("hour_bucket")
         lines = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("json_data")
         path = work_path(spark, "stream-raw")
-        rows.select(lines, bucket).hint("rebalance", "hour_bucket").write.partitionBy("hour_bucket").text(path)
+        placed.select(lines, "hour_bucket").write.partitionBy("hour_bucket").options(**PACKED).text(path)
         _STORED[key] = (path, None)
     return _STORED[key][0]
 
 
+# Text is stored packed; such a file is read by one task, so its rows are bounded.
+PACKED = {"compression": "gzip", "maxRecordsPerFile": 500_000}
+
 _STORED: dict[tuple[str, str, str], tuple[str, object]] = {}
 ON_RELEASE.append(_STORED.clear)
 
@@ -140,9 +176,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, dated: bool = False) -> D
     and its ``split``, ``hourly`` the gold hours, ``realtime`` the stream records.
     """
     build = {
-        "unique": lambda: _derived(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism),
+        # The events' file may have a single row group, which one task reads; rows are dealt before they get wide.
+        "unique": lambda: _derived(
+            events(spark, sf_dir).drop("props").repartition(spark.sparkContext.defaultParallelism)
+        ),
         "silver": lambda: silver_table(spark, sf_dir, amount_outlier=True),
-        "hourly": lambda: hourly_table(spark, sf_dir),
+        "hourly": lambda: gold.build_hourly(table(spark, sf_dir, "silver"), RUN_ID, created_at=F.max("ts")),
         "current": lambda: ml.with_split(
             ml.build(table(spark, sf_dir, "silver"), rolling="account", created_at=F.col("ts"))
         ),
@@ -154,9 +193,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, dated: bool = False) -> D
         df = build()
         path = work_path(spark, f"table-{name}")
         if name in DAY_OF:
-            df = df.withColumn("day", F.to_date(DAY_OF[name]))
             parts = ["split", "day"] if name == "current" else ["day"]
-            df.hint("rebalance", *parts).write.partitionBy(*parts).parquet(path)
+            if "day" not in df.columns:
+                df = df.withColumn("day", F.to_date(DAY_OF[name])).hint("rebalance", *parts)
+            df.write.partitionBy(*parts).parquet(path)
         else:
             df.write.parquet(path)
         _STORED[key] = (path, df.schema)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,12 +73,18 @@ def interactions(df: DataFrame) -> DataFrame:
     return df.withColumns({f"v{i}_amount_interaction": F.col(f"v{i}") * F.col("amount_log") for i in range(1, 6)})
 
 
-def feature_record(df: DataFrame, processed_at: Column, created_at: Column | None = None, stats: bool = True) -> DataFrame:
+def feature_record(
+    df: DataFrame,
+    processed_at: Column,
+    created_at: Column | None = None,
+    stats: bool = True,
+    carried: Sequence[str] = (),
+) -> DataFrame:
     """All per-row stream features.
 
     Input: ``id, account_id, v1..v28, amount, class`` as received, ``created`` (event time) and
     ``created_present``. ``created_at`` defaults to the processing time. ``stats=False`` leaves out
-    the four component statistics for consumers that do not read them.
+    the four component statistics for consumers that do not read them; ``carried`` names columns that come along.
     """
     # The quality score sees values as received, so it comes before nulls are replaced.
     scored = df.withColumn("data_quality_score", scoring.data_quality_score("amount", COMPONENTS))
@@ -109,7 +117,7 @@ def feature_record(df: DataFrame, processed_at: Column, created_at: Column | Non
             "created_at": (processed_at if created_at is None else created_at).cast("timestamp_ntz"),
         }
     )
-    return out.select(*[c for c in RECORD_COLS if stats or not c.startswith("pca_")])
+    return out.select(*[c for c in RECORD_COLS if stats or not c.startswith("pca_")], *carried)
 
 
 def with_rolling(df: DataFrame, **limits) -> DataFrame:
