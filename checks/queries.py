@@ -130,7 +130,7 @@ def src_json_raw(s, d):
 @query
 def src_json_nested(s, d):
     path = work_path(s, "nested-json")
-    views.stream_nested(fx.table(s, d, "realtime")).write.json(path)
+    views.stream_nested(fx.table(s, d, "realtime")).write.options(**fx.PACKED).json(path)
     data = files.read_json_nested(s, path)
     return data.select("data.id", "data.amount", "data.risk_score", "data.is_anomaly", "data.rolling_amount_mean", "data.v28")
 
