@@ -182,8 +182,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, dated: bool = False) -> D
         ),
         "silver": lambda: silver_table(spark, sf_dir, amount_outlier=True),
         "hourly": lambda: gold.build_hourly(table(spark, sf_dir, "silver"), RUN_ID, created_at=F.max("ts")),
-        "current": lambda: ml.with_split(
-            ml.build(table(spark, sf_dir, "silver"), rolling="account", created_at=F.col("ts"))
+        "current": lambda: ml.build(
+            table(spark, sf_dir, "silver"), rolling="account", created_at=F.col("ts"), row_key="id", deal=_by_side_and_day
         ),
         "realtime": lambda: realtime_rolling(spark, sf_dir),
     }[name]
@@ -205,6 +205,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, dated: bool = False) -> D
     return rows if dated or name not in DAY_OF else rows.drop("day")
 
 
+def _by_side_and_day(rows: DataFrame) -> DataFrame:
+    return ml.with_split(rows).withColumn("day", F.to_date("ts")).hint("rebalance", "split", "day")
+
+
 def feature_sets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """``current`` and its two sides; a side is one partition of the table."""
     current = table(spark, sf_dir, "current")

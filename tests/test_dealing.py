@@ -34,3 +34,21 @@ def test_stream_text_is_packed(spark, sf_dir):
     stored = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path.removeprefix("file:")) for f in fs if f.startswith("part-"))
     text = queries.files.read_json_text(spark, path).agg(F.sum(F.length("json_data"))).first()[0]
     assert stored < text * 0.6
+
+
+def test_rolling_by_row_key_sorts_narrow_rows(spark, sf_dir):
+    rows = fx.table(spark, sf_dir, "silver")
+    plain, keyed = ml.build(rows, created_at=F.col("ts")), ml.build(rows, created_at=F.col("ts"), row_key="id")
+    assert max(_widths(keyed, {"Sort"})) <= 12 < max(_widths(plain, {"Sort"}))
+    assert keyed.columns == plain.columns
+    assert keyed.exceptAll(plain).isEmpty() and plain.exceptAll(keyed).isEmpty()
+
+
+def test_rolling_by_row_key_with_hot_keys(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 3).alias("k"), F.sqrt("id").alias("x"), F.lit("t").alias("text"))
+    kinds = {"m": "mean", "n": "rows"}
+    plain = scale.rolling(df, ["k"], ["id"], 10, "x", kinds)
+    keyed = scale.rolling(df, ["k"], ["id"], 10, "x", kinds, hot_rows=100, block_rows=50, row_key="id")
+    assert keyed.columns == plain.columns
+    want = {r["id"]: (r["k"], r["n"], round(r["m"], 9), r["text"]) for r in plain.collect()}
+    assert {r["id"]: (r["k"], r["n"], round(r["m"], 9), r["text"]) for r in keyed.collect()} == want

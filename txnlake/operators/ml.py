@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,14 +85,32 @@ def metadata(df: DataFrame, created_at: Column | None = None, source: str = "sil
     )
 
 
-def build(silver: DataFrame, rolling: str | None = "account", created_at: Column | None = None) -> DataFrame:
-    """The feature table; ``rolling`` is ``account``, ``global`` or None."""
-    df = cyclic(interactions(select_features(silver)))
+def build(
+    silver: DataFrame,
+    rolling: str | None = "account",
+    created_at: Column | None = None,
+    row_key: str | None = None,
+    deal: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """The feature table; ``rolling`` is ``account``, ``global`` or None.
+
+    ``row_key`` names a column that no two rows share (see :func:`scale.rolling`). ``deal`` may place the rows before they get the
+    columns derived from them, and add columns.
+    """
+    base = select_features(silver)
+    df = base
     if rolling == "account":
-        df = rolling_100(df)
+        df = rolling_100(df, row_key=row_key)
     elif rolling == "global":
-        df = rolling_100_global(df)
-    return metadata(outlier_ratio(df), created_at)
+        df = rolling_100_global(df, row_key=row_key)
+    framed = [c for c in df.columns if c not in base.columns]
+    if deal:
+        df = deal(df)
+    added = [c for c in df.columns if c not in (*base.columns, *framed)]
+    wide = cyclic(interactions(df))
+    derived = [c for c in wide.columns if c not in df.columns]
+    full = metadata(outlier_ratio(wide.select(*base.columns, *derived, *framed, *added)), created_at)
+    return full.select(*[c for c in full.columns if c not in added], *added)
 
 
 def in_train(key: Column, seed: int = SPLIT_SEED, tenths: int = TRAIN_TENTHS) -> Column:
