@@ -704,19 +704,24 @@ def st_quarantine(s, d):
     return kept.groupBy(F.substring("value", 1, 8).alias("starts_with")).agg(F.count(F.lit(1)).alias("messages"))
 
 
+# Rows of one file that a stream reads, about.
+STREAM_FILE_ROWS = 200_000
+
+
 @query
 def st_rolling_100_stream(s, d):
-    """The rolling state of the stream: a third of the time per file, some rows up to 50 minutes late."""
+    """The rolling state of the stream: a third of the time per micro-batch, some rows up to 50 minutes late."""
     rows = fx.table(s, d, "realtime").drop(*features.ROLLING_COLS)
     path, out = work_path(s, "records"), work_path(s, "rolling")
     us = timing.micros(F.col("time_stamp"))
-    border = rows.agg(F.min(us), F.max(us)).first()
+    border = rows.agg(F.min(us), F.max(us), F.count(us)).first()
     third = (border[1] - border[0]) // 3 + 1
     late = F.when(F.col("transaction_id") % 10 == 4, 50 * 60_000_000).otherwise(0)
     part = F.least(F.floor((us + late - border[0]) / third), F.lit(2))
+    parts = border[2] // (3 * STREAM_FILE_ROWS) + 1
     for i in range(3):
-        rows.where(part == i).coalesce(1).write.mode("append").parquet(path)
-    records = s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        rows.where(part == i).repartition(parts).write.mode("append").parquet(path)
+    records = s.readStream.schema(rows.schema).option("maxFilesPerTrigger", parts).parquet(path)
     rolling_state.rolling_files(records, out, work_path(s, "rolling-state"), work_path(s, "rolling-cp"), delay="1 HOUR", once=True)
     return rolling_state.read_rolled(s, rows.schema.toDDL(), out).select("transaction_id", *features.ROLLING_COLS)
 

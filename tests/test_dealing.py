@@ -52,3 +52,21 @@ def test_rolling_by_row_key_with_hot_keys(spark):
     assert keyed.columns == plain.columns
     want = {r["id"]: (r["k"], r["n"], round(r["m"], 9), r["text"]) for r in plain.collect()}
     assert {r["id"]: (r["k"], r["n"], round(r["m"], 9), r["text"]) for r in keyed.collect()} == want
+
+
+def test_stream_reads_a_third_of_the_time_from_several_files(spark, sf_dir, monkeypatch):
+    made, path_of = {}, queries.work_path
+
+    def work_path(s, name):
+        made[name] = path_of(s, name)
+        return made[name]
+
+    monkeypatch.setattr(queries, "work_path", work_path)
+    monkeypatch.setattr(queries, "STREAM_FILE_ROWS", 100)
+    got = queries.REGISTRY["st_rolling_100_stream"](spark, sf_dir)
+    cols = ["transaction_id", *features.ROLLING_COLS]
+    want = queries.rounded(fx.table(spark, sf_dir, "realtime").select(*cols))
+    assert got.select(*cols).exceptAll(want).isEmpty() and want.exceptAll(got.select(*cols)).isEmpty()
+    files = [f for f in os.listdir(made["records"].removeprefix("file:")) if f.endswith(".parquet")]
+    rows = want.count()
+    assert len(files) == 3 * (rows // 300 + 1)
