@@ -370,7 +370,7 @@ def silver_outlier_fixed(s, d):
 @query
 def silver_outlier_iqr(s, d):
     cols = [*V_COLS, "Amount"]
-    flagged = silver.outlier_iqr(clean(s, d), cols)
+    flagged = silver.outlier_iqr(silver.cleaned(fx.txn(s, d)), cols)
     return flagged.select("id", *[f"{c}_IsOutlier" for c in cols])
 
 

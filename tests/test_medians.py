@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from txnlake.operators import gold, scale
+from txnlake.operators import gold, scale, silver
 from txnlake.streaming import windows
 
 ROWS = 200_000
@@ -57,3 +57,22 @@ def test_medians_of_null_keys_empty_groups_and_even_counts(spark):
     groups = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     got = {r["k"]: (r["n"], r["m"]) for r in scale.with_group_median(groups, df, ["k"], "x", "m").collect()}
     assert got == {None: (2, 1.0), 1: (4, 2.0), 2: (1, None)}
+
+
+def test_quartile_flags_are_exact(rows):
+    """Fences lie between neighbouring values: a quartile off by one rank moves a flag."""
+    x = F.col("Amount")
+    far = rows.select(F.when(x < 50_000, x - 250_000).when(x > 149_999, x + 250_000).otherwise(x).alias("x"))
+    quartiles = far.selectExpr(
+        "percentile_disc(0.25) WITHIN GROUP (ORDER BY x) AS a", "percentile_disc(0.75) WITHIN GROUP (ORDER BY x) AS b"
+    ).first()
+    got = {r["prob"]: r["value"] for r in scale.exact_quantiles(far, {"x": F.col("x")}, [0.25, 0.75], discrete=True).collect()}
+    assert got == {0.25: quartiles["a"], 0.75: quartiles["b"]}
+    spread = 1.5 * (quartiles["b"] - quartiles["a"])
+    want = far.where((F.col("x") < quartiles["a"] - spread) | (F.col("x") > quartiles["b"] + spread)).count()
+    assert silver.outlier_iqr(far, ["x"]).agg(F.sum("x_IsOutlier")).first()[0] == want
+
+
+def test_quartile_flags_have_no_digest_in_one_task(rows):
+    plan = silver.outlier_iqr(rows, ["Amount"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in plan and "Aggregate" not in plan
