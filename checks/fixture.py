@@ -205,6 +205,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, dated: bool = False) -> D
     return rows if dated or name not in DAY_OF else rows.drop("day")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The files of a stored table as a stream, with the columns it is partitioned by; nothing is copied."""
+    table(spark, sf_dir, name)
+    path, schema = _STORED[(spark.sparkContext.applicationId, sf_dir, name)]
+    return spark.readStream.schema(schema).parquet(path)
+
+
 def _by_side_and_day(rows: DataFrame) -> DataFrame:
     return ml.with_split(rows).withColumn("day", F.to_date("ts")).hint("rebalance", "split", "day")
 

@@ -684,10 +684,7 @@ def _message_stream(s, d):
 
 
 def _record_stream(s, d):
-    rows = fx.table(s, d, "realtime").drop(*features.ROLLING_COLS)
-    path = work_path(s, "records")
-    rows.write.parquet(path)
-    return s.readStream.schema(rows.schema).parquet(path)
+    return fx.table_stream(s, d, "realtime").drop(*features.ROLLING_COLS, "day")
 
 
 @query

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks import fixture as fx
 from checks import queries
 from txnlake.operators import ml, scale
-from txnlake.streaming import features
+from txnlake.streaming import features, sinks
 
 
 def _widths(df, names):
@@ -70,3 +70,38 @@ def test_stream_reads_a_third_of_the_time_from_several_files(spark, sf_dir, monk
     files = [f for f in os.listdir(made["records"].removeprefix("file:")) if f.endswith(".parquet")]
     rows = want.count()
     assert len(files) == 3 * (rows // 300 + 1)
+
+
+def test_json_sink_deals_hours_to_all_tasks(spark, sf_dir, tmp_path):
+    """An hour has at most ``writers`` files, all of them where it is busy; the tasks that write are not bounded by it."""
+    rows = fx.table(spark, sf_dir, "realtime").select("transaction_id", "processed_at")
+    busy = spark.range(400).select((F.col("id") + 10**9).alias("transaction_id"), F.lit(fx.AS_OF).cast("timestamp_ntz").alias("processed_at"))
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows.unionByName(busy).coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else little data is one task's
+    try:
+        sinks.json_files(stream, out, str(tmp_path / "cp"), once=True, writers=2).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = {d: [f for f in fs if f.startswith("part-")] for d, _, fs in os.walk(out) if "hour_bucket=" in d}
+    assert max(len(fs) for fs in files.values()) == 2 == len(files[f"{out}/hour_bucket={fx.AS_OF[:10]}--00"])
+    assert len({f.split("-")[1] for fs in files.values() for f in fs}) > 2
+    assert queries.files.read_json_text(spark, out).count() == rows.count() + 400
+
+
+def test_record_stream_reads_the_stored_table(spark, sf_dir, monkeypatch):
+    """The stream's files are the table's own; only what a query writes is made."""
+    made, path_of = [], queries.work_path
+    monkeypatch.setattr(queries, "work_path", lambda s, name: made.append(name) or path_of(s, name))
+    for name in ("st_file_sink", "st_checkpoint"):
+        queries.REGISTRY[name](spark, sf_dir).count()
+    assert made and "records" not in made
+
+
+def test_table_stream_is_the_table(spark, sf_dir):
+    stream = fx.table_stream(spark, sf_dir, "realtime")
+    want = fx.table(spark, sf_dir, "realtime", dated=True)
+    assert stream.schema.names == want.schema.names
+    got = sinks.run_to_end(stream, "table-stream")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -28,12 +28,12 @@ def json_files(
 ):
     """Append JSON lines below one folder per hour; a checkpoint every 60 seconds.
 
-    ``writers`` bounds the files of one micro-batch and hour; rows are dealt out evenly, so a busy
-    hour is still written by all of them.
+    ``writers`` bounds the files of one micro-batch and hour: an hour's rows are dealt to so many places by their hash,
+    and all places to the tasks of a shuffle, whose number follows the data.
     """
-    if writers:
-        records = records.repartition(writers)
     bucketed = records.withColumn("hour_bucket", hour_bucket(F.col(bucket_by)))
+    if writers:
+        bucketed = bucketed.repartition("hour_bucket", _place(records, writers))
     writer = (
         bucketed.writeStream.format("json")
         .option("path", path)
@@ -45,6 +45,12 @@ def json_files(
     return trigger(writer, once).start()
 
 
+def _place(rows: DataFrame, places: int) -> Column:
+    """A place from 0 for each row, the same in every run; columns that have no hash (maps) take no part."""
+    hashed = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]), F.lit(places))
+
+
 def table_files(rows: DataFrame, path: str, checkpoint: str, once: bool = False, fmt: str = "parquet"):
     """Append rows to plain files (alerts, closed windows, quarantined records)."""
     writer = (
